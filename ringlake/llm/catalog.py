@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ringlake.llm.decontaminate import op8_greedy_tiling_decontamination
+from ringlake.llm.imatch import op5_imatch_fingerprints
 from ringlake.llm.language import op10_byte_cnn_language
 from ringlake.llm.near_dedup import op7_simhash_near_dedup
 from ringlake.llm.substring_dedup import op4_debruijn_substring_dedup
@@ -10,7 +11,7 @@ from ringlake.llm.toxicity import op2_toxicity_noisy_or
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_toxicity_noisy_or, op4_debruijn_substring_dedup, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op10_byte_cnn_language)}
+    return {f.__name__: f for f in (op2_toxicity_noisy_or, op4_debruijn_substring_dedup, op5_imatch_fingerprints, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op10_byte_cnn_language)}
 
 
 def oracle_sql() -> dict[str, str]:
