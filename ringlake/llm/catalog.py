@@ -6,6 +6,7 @@ from ringlake.llm.decontaminate import op8_greedy_tiling_decontamination
 from ringlake.llm.html_text import op3_tree_model_html_text
 from ringlake.llm.imatch import op5_imatch_fingerprints
 from ringlake.llm.language import op10_byte_cnn_language
+from ringlake.llm.licenses import op1_license_scan
 from ringlake.llm.mixing import op6_min_cost_flow_mixing
 from ringlake.llm.near_dedup import op7_simhash_near_dedup
 from ringlake.llm.pii import op9_keyed_surrogates
@@ -14,7 +15,7 @@ from ringlake.llm.toxicity import op2_toxicity_noisy_or
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_toxicity_noisy_or, op3_tree_model_html_text, op4_debruijn_substring_dedup, op5_imatch_fingerprints, op6_min_cost_flow_mixing, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op9_keyed_surrogates, op10_byte_cnn_language)}
+    return {f.__name__: f for f in (op1_license_scan, op2_toxicity_noisy_or, op3_tree_model_html_text, op4_debruijn_substring_dedup, op5_imatch_fingerprints, op6_min_cost_flow_mixing, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op9_keyed_surrogates, op10_byte_cnn_language)}
 
 
 def oracle_sql() -> dict[str, str]:
