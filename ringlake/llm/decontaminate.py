@@ -86,6 +86,28 @@ class Items:
         return np.repeat(at, n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def leaks(buf: np.ndarray, off: np.ndarray, items: Items, rolling: B.Rolling, coverage: float):
+    """``(row, item, tiles, token starts, token ends)`` of the pairs whose coverage reaches the threshold."""
+    least = items.least
+    h, first, start, end = tokens(buf, off, rolling)
+    p, s = items.hits(rolling.windows(h, least))
+    row = B.row_of(first)
+    ok = row[p] == row[p + least - 1] if len(p) else np.zeros(0, bool)
+    p, s = p[ok], s[ok]
+    if not len(p):
+        return
+    order = np.lexsort((items.item[s], row[p]))
+    p, s = p[order], s[order]
+    pair = np.flatnonzero(np.concatenate([[True], (np.diff(row[p]) != 0) | (np.diff(items.item[s]) != 0)]))
+    for a, b in zip(pair, np.append(pair[1:], len(p)), strict=True):
+        item, size = int(items.item[s[a]]), int(items.size[items.item[s[a]]])
+        if len(np.unique((items.pos[s[a:b], None] + np.arange(least)).ravel())) < coverage * size:
+            continue  # even all its seeds together do not cover enough
+        found = tiles(matches(p[a:b], items.pos[s[a:b]], least), least)
+        if sum(n for n, _, _ in found) >= coverage * size:
+            yield int(row[p[a]]), item, found, start, end
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list]:
     """The benchmark in blocks of at most about ``block_chars`` characters, each collected by itself."""
     items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
@@ -112,29 +134,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def scan(batches: Iterator[pa.RecordBatch], seen=seen) -> Iterator[pa.RecordBatch]:
             items, rolling = Items(*seen.value, least), B.Rolling(21)
             for part, buf, off in B.cut(batches):
-                h, first, start, end = tokens(buf, off, rolling)
-                p, s = items.hits(rolling.windows(h, least))
-                row = B.row_of(first)
-                ok = row[p] == row[p + least - 1] if len(p) else np.zeros(0, bool)
-                p, s = p[ok], s[ok]
-                if not len(p):
-                    continue
-                order = np.lexsort((items.item[s], row[p]))
-                p, s = p[order], s[order]
-                pair = np.flatnonzero(np.concatenate([[True], (np.diff(row[p]) != 0) | (np.diff(items.item[s]) != 0)]))
                 rows: list[tuple] = []
-                for a, b in zip(pair, np.append(pair[1:], len(p)), strict=True):
-                    item, r = int(items.item[s[a]]), int(row[p[a]])
-                    size = int(items.size[item])
-                    if len(np.unique((items.pos[s[a:b], None] + np.arange(least)).ravel())) < coverage * size:
-                        continue  # even all its seeds together do not cover enough
-                    found = tiles(matches(p[a:b], items.pos[s[a:b]], least), least)
-                    covered = sum(n for n, _, _ in found)
-                    if covered >= coverage * size:
-                        x, y = min(q for _, q, _ in found), max(q + n for n, q, _ in found)
-                        lead = buf[off[r] : end[y - 1]]
-                        points = np.cumsum((lead & 0xC0) != 0x80)
-                        rows.append((part.column(0)[r].as_py(), int(items.ids[item]), size, covered, covered / size, len(found), int(points[start[x] - off[r]]) - 1, int(points[-1])))
+                for r, item, found, start, end in leaks(buf, off, items, rolling, coverage):
+                    size, covered = int(items.size[item]), sum(n for n, _, _ in found)
+                    x, y = min(q for _, q, _ in found), max(q + n for n, q, _ in found)
+                    points = np.cumsum((buf[off[r] : end[y - 1]] & 0xC0) != 0x80)
+                    rows.append((part.column(0)[r].as_py(), int(items.ids[item]), size, covered, covered / size, len(found), int(points[start[x] - off[r]]) - 1, int(points[-1])))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -143,5 +148,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 5, coverage: float = 0.6, block_chars: int = 16_000_000) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item leaks into, all columns as they were (see ``contaminated``)."""
+    for block in _blocks(benchmark, item_id, item_text, block_chars):
+        seen = docs.sparkSession.sparkContext.broadcast(([r.i for r in block], [r.t for r in block]))
+
+        def scan(batches: Iterator[pa.RecordBatch], seen=seen) -> Iterator[pa.RecordBatch]:
+            items, rolling = Items(*seen.value, least), B.Rolling(21)
+            for part, buf, off in B.cut(batches, text_col):
+                stay = np.ones(part.num_rows, bool)
+                stay[[r for r, *_ in leaks(buf, off, items, rolling, coverage)]] = False
+                yield part.filter(pa.array(stay))
+
+        docs = docs.mapInArrow(scan, docs.schema)
+    return docs
+
+
 def op8_greedy_tiling_decontamination(spark, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")

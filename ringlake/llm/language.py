@@ -149,6 +149,17 @@ def identify(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, net: Net, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a language, all columns as they were; ``und`` rows, null and letterless texts, go."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, buf, off in B.cut(batches, text_col):
+            best, p, known = classify(net, buf, off)
+            yield part.filter(pa.array(known & lettered(buf, off)))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def lettered(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Rows with a letter: an ASCII letter, or else a character that Unicode calls one."""
     low = B.LOWER[buf]

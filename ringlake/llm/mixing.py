@@ -176,8 +176,8 @@ def cycle_weights(order: list) -> dict:
     return {x: (5, 2, 1)[i % 3] for i, x in enumerate(order)}
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", repeats: int = 3, seed: int = 17) -> DataFrame:
-    """``(id, size, source, source_size, target, copies)`` for every row.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", repeats: int = 3, seed: int = 17, with_mark: bool = False) -> DataFrame:
+    """``(id, size, source, source_size, target, copies)`` for every row; ``with_mark`` adds the text's hash.
 
     Sources by code point, null last, weigh 5, 2, 1 in turn. Null and wordless texts have size 0 and are never taken.
     Repeated rows each count; ties in the seeded order are between equal rows; an empty table gives no rows; other
@@ -187,7 +187,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     sized = staged(word_counts(rows.withColumn("mark", F.xxhash64("text")), "text").withColumn("members", F.array("source")), "sizes")
     out, sizes, goal = mix(sized, "members", "size", ["id", "mark"], cycle_weights, repeats, seed)
     facts = docs.sparkSession.createDataFrame([(x, int(sizes[x]), float(goal[x])) for x in sizes], "_s string, source_size bigint, target double")
-    return out.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("_s"))).select("id", "size", "source", "source_size", "target", F.size("_copies").alias("copies"))
+    return out.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("_s"))).select("id", "size", "source", "source_size", "target", F.size("_copies").alias("copies"), *(["mark"] if with_mark else []))
 
 
 def op6_min_cost_flow_mixing(spark, sf_dir: str) -> DataFrame:

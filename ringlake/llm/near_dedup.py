@@ -42,13 +42,12 @@ def _majority(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarray:
-    """SimHash of each row over its lower-cased word shingles, repeats included; 0 without words."""
+def shingle_hashes(buf: np.ndarray, off: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 (seed 42) of each row's lower-cased word shingles in text order, and each row's first one."""
     buf = B.LOWER[buf]
     start, end, first = B.words(buf, off)
-    out = np.zeros(len(off) - 1, np.uint64)
     if not len(start):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(len(off), np.int64)
     # one space after every word
     size = end - start + 1
     to = np.concatenate([[0], np.cumsum(size)])
@@ -64,8 +63,27 @@ def fingerprints_of(buf: np.ndarray, off: np.ndarray, shingle: int) -> np.ndarra
     tail = np.minimum(lead + shingle, first[1:][row]) - 1
     text, h = flat.tobytes(), xxhash.xxh64_intdigest
     hashes = np.array([h(text[a:b], 42) for a, b in zip(to[lead].tolist(), (to[tail + 1] - 1).tolist(), strict=True)], np.uint64)
-    some = per > 0
-    out[some] = _majority(hashes, head[some])
+    return hashes, np.append(head, len(hashes))
+
+
+def fingerprints_of(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """SimHash of each row over its shingle hashes, repeats included; 0 without words."""
+    out = np.zeros(len(first) - 1, np.uint64)
+    some = np.diff(first) > 0
+    if some.any():
+        out[some] = _majority(hashes, first[:-1][some])
+    return out
+
+
+def sketches_of(hashes: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """``size`` minima of each row's shingle hashes under as many multiplications, 32 bits each."""
+    out = np.zeros((len(first) - 1, size), np.uint32)
+    some = np.diff(first) > 0
+    if some.any():
+        at = first[:-1][some]
+        for j in range(size):
+            m = int(B.mix(np.array([j], np.uint64), 4)[0]) | 1
+            out[some, j] = np.minimum.reduceat(hashes * np.uint64(m), at) >> np.uint64(32)
     return out
 
 
@@ -75,7 +93,7 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, buf, off in B.cut(batches):
-            yield B.batch_of(schema, id=part.column(0), fp=fingerprints_of(buf, off, shingle).view(np.int64))
+            yield B.batch_of(schema, id=part.column(0), fp=fingerprints_of(*shingle_hashes(buf, off, shingle)).view(np.int64))
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, fp long")
 
@@ -111,18 +129,20 @@ class BKTree:
             todo += [to for e, to in self.child[at].items() if d - radius <= e <= d + radius]
 
 
-def tree_links(values: list[int], radius: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs within ``radius``, found by searching the shard's BK-tree for each member."""
+def tree_links(values: list[int], radius: int, confirm=None) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs of distinct values within ``radius`` that ``confirm`` (positions) accepts, found by
+    searching the shard's BK-tree for each member. The search ends early once it cannot join two components any more."""
     tree, root = BKTree(), []
-    a, b = [], []
+    a, b, apart = [], [], 0
     for x in (v & 0xFFFFFFFFFFFFFFFF for v in values):
-        hits = list(tree.within(x, radius))
-        before = len(tree.value)
-        tree.add(x)
-        if len(tree.value) == before:
-            continue
+        before = len(root)
         root.append(before)
-        for y in hits:
+        apart += 1
+        for y in tree.within(x, radius):
+            if apart == 1:
+                break
+            if confirm and not confirm(y, before):
+                continue
             p, q = y, before
             while root[p] != p:
                 root[p] = root[root[p]]
@@ -132,8 +152,10 @@ def tree_links(values: list[int], radius: int) -> tuple[list[int], list[int]]:
                 q = root[q]
             if p != q:
                 root[max(p, q)] = min(p, q)
+                apart -= 1
                 a.append(x)
                 b.append(tree.value[y])
+        tree.add(x)
     return a, b
 
 
@@ -199,6 +221,81 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(rooted.join(found, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
+SKETCH, ROWS = 48, 3
+
+
+def similar_links(prints: DataFrame, radius: int, similar: float, shard_cap: int = 2048) -> DataFrame:
+    """``(src, dst)`` fingerprints of ``prints(fp, sketch)`` within a wide ``radius``, for which bit blocks prune nothing.
+
+    Shards are bands of ``ROWS`` sketch minima: a pair that shares 0.8 of its shingles meets in some shard with a
+    probability over 0.9999. Each shard's BK-tree is searched within the radius, and a hit counts if at least
+    ``similar`` of the sketches agree. A shard above ``shard_cap`` is dealt into parts and every pair of parts is one
+    task's tree and searches, so all its pairs are still seen. Once a tree is one component, one hit links a member.
+    """
+    bands = SKETCH // ROWS
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", b * ROWS * 4 + 1, ROWS * 4)) for b in range(bands)])
+    keyed = prints.select("fp", "sketch", F.explode(keys).alias("key"))
+    sizes = prints.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    parts = F.ceil(F.col("n") / shard_cap).cast("int")
+    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    shards = keyed.join(sizes.withColumn("parts", parts), "key").withColumn("part", part)
+    # a member of part p stands in the pair tasks (p, q) and (q, p)
+    dealt = shards.select("key", "fp", "sketch", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "fp", "sketch")
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, marks = None, [], []
+
+        def done():
+            if len(held) < 2:
+                return None
+            sketch = np.frombuffer(b"".join(marks), np.uint32).reshape(len(held), SKETCH)
+            a, b = tree_links(held, radius, lambda x, y: (sketch[x] == sketch[y]).mean() >= similar)
+            return B.batch_of(schema, src=np.array(a, np.uint64).view(np.int64), dst=np.array(b, np.uint64).view(np.int64)) if a else None
+
+        for batch in batches:
+            for key, p, q, fp, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (key, p, q):
+                    if (out := done()) is not None:
+                        yield out
+                    now, held, marks = (key, p, q), [], []
+                held.append(fp)
+                marks.append(mark)
+        if (out := done()) is not None:
+            yield out
+
+    return dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 12, similar: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` with one, the least id's, of every group of exact and near copies; all columns as they were.
+
+    Near copies differ in at most ``radius`` of 64 fingerprint bits (12: a similarity over 0.8) and agree in ``similar`` of
+    their sketches of ``shingle``-word shingles. Wordless texts are alike, repeated rows leave one row, ties of ids go by
+    the text's hash, null ids come last, an empty table stays empty.
+    """
+    least = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
+    mark = F.xxhash64(F.col(f"`{text_col}`"))
+    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, buf, off in B.cut(batches):
+            h, first = shingle_hashes(buf, off, shingle)
+            yield B.batch_of(schema, id=part.column(0), mark=part.column(1), fp=fingerprints_of(h, first).view(np.int64), sketch=[x.tobytes() for x in sketches_of(h, first, SKETCH)])
+
+    rows = staged(docs.select(least.alias("id"), mark.alias("mark"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(scan, "id long, mark long, fp long, sketch binary"), "sketches")
+    prints = rows.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("least"), F.min("sketch").alias("sketch"))
+    linked = components(similar_links(prints.select("fp", "sketch"), radius, similar))
+    groups = prints.select("fp", "least").join(linked.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("stay"))
+    stay = groups.select("stay.*")
+    kept = docs.withColumn("_id", least).withColumn("_mark", mark).join(stay.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")), ["_id", "_mark"], "left_semi")
+    again = rows.groupBy("id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
+    if not again.isEmpty():  # rows with one id and text: one of them stays
+        kept = kept.join(again, ["_id", "_mark"], "left_anti").unionByName(kept.join(again, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
+    return kept.select(*[f"`{c}`" for c in docs.columns])
+
+
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     from ringlake.llm.spaces import table
 
