@@ -2,9 +2,57 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ringlake.llm import decontaminate, language, mixing, near_dedup, pii
+from ringlake.llm.spaces import staged, table
+
+
+def identify_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Trains on the labelled rows of ``docs``; rows without a language, null or letterless texts, go."""
+    return language.keep_identified(docs, language.fit(docs.select("text", "lang")))
+
+
+def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the least id, stays of every group of exact and near copies."""
+    return near_dedup.one_of_each(docs)
+
+
+def drop_benchmark_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def replace_private_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Private data becomes surrogates; ``n_chars`` follows the text."""
+    found = pii.replaced(docs).drop("_found")
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with ``copies``, the times each is taken, and the target of its source."""
+    mark = F.xxhash64("text")
+    found = mixing.mixed_documents(docs, with_mark=True).where("copies > 0").select("id", "mark", "size", "source_size", "target", "copies").distinct()
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    found = found.withColumn("id", F.coalesce("id", F.lit(-(1 << 63))))
+    return docs.withColumn("_id", key).withColumn("_mark", mark).join(found.withColumnRenamed("id", "_id").withColumnRenamed("mark", "_mark"), ["_id", "_mark"]).drop("_id", "_mark")
+
+
+STAGES = [
+    ("language", identify_languages),
+    ("near_copies", drop_near_copies),
+    ("benchmark_leaks", drop_benchmark_leaks),
+    ("private_data", replace_private_data),
+    ("mix", mix_sources),
+]
+
+#: No SQL can train the language model or draw the surrogates; the tests compare each stage with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    raise NotImplementedError
+def run(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
