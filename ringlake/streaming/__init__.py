@@ -1 +1 @@
-"""Package streaming."""
+"""Structured Streaming forms."""
