@@ -15,16 +15,21 @@ def remainder(doc_id, modulus: int):
 def bounded_sample(rows: DataFrame, cls: str, per_class: int, most_chars: int, seed: int = 11):
     """At most ``per_class`` rows of each class with at most ``most_chars`` characters in all, as pandas.
 
-    Rows come in order of a hash of their text, so reruns pick the same ones. Whole texts only: a text longer than
-    its class's share is passed over for training. Ranks are taken inside hash slices first, then over their heads.
+    Rows come in order of a hash of their text, so reruns pick the same ones. Whole texts only. Classes are counted over
+    all rows; then only rows whose hash falls under a rate that yields somewhat more than the bound are moved and ranked.
     """
     from pyspark.sql import Window as W
 
-    keyed = rows.withColumn("_h", F.xxhash64(F.col("text"), F.lit(seed))).withColumn("_slice", F.pmod("_h", F.lit(64)))
-    head = keyed.withColumn("_r", F.row_number().over(W.partitionBy(cls, "_slice").orderBy("_h", "text"))).where(F.col("_r") <= per_class)
-    head = head.withColumn("_r", F.row_number().over(W.partitionBy(cls).orderBy("_h", "text"))).where(F.col("_r") <= per_class)
-    share = head.withColumn("_n", F.sum(F.length("text")).over(W.partitionBy(cls).orderBy("_r").rowsBetween(W.unboundedPreceding, 0)))
-    return share.where(F.col("_n") <= most_chars).select("text", cls).orderBy(cls, "_r").toPandas()
+    known = {r[0]: (r[1], r[2] or 1) for r in rows.groupBy(cls).agg(F.count("*"), F.sum(F.length("text"))).collect()}
+    rate = {c: min(1.0, 1.3 * per_class / n + 30 / n, 1.3 * most_chars / chars + 30 / n) for c, (n, chars) in known.items()}
+    part = F.pmod(F.xxhash64(F.col("text"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    pick = F.lit(False)
+    for c, r in sorted(rate.items()):
+        pick = pick | ((F.col(cls) == F.lit(c)) & (part < r))
+    some = rows.where(part < max(rate.values(), default=0.0)).where(pick).select("text", cls, part.alias("_h"))
+    by = W.partitionBy(cls).orderBy("_h", "text")
+    head = some.withColumn("_r", F.row_number().over(by)).withColumn("_n", F.sum(F.length("text")).over(by.rowsBetween(W.unboundedPreceding, 0)))
+    return head.where((F.col("_r") <= per_class) & (F.col("_n") <= most_chars)).select("text", cls).orderBy(cls, "_r").toPandas()
 
 
 class Adam:

@@ -63,9 +63,14 @@ def train(texts: list[str], label: np.ndarray, bits: int = 18, rounds: int = 60,
     if len(label) == 0 or label.min() == label.max():
         scorer.bias = 0.0 if len(label) == 0 else (6.0 if label[0] else -6.0)
         return scorer
-    buf, off = B.text_bytes(pa.array(texts, pa.string()))
-    _, _, first, word, sent = sentences(buf, off, B.Rolling(5), bits)
-    bag = B.row_of(first)
+    rolling, bags, words, sents, rows, many = B.Rolling(5), [], [], [], 0, 0
+    for part, buf, off in B.cut(iter([pa.record_batch({"text": pa.array(texts, pa.string())})])):
+        _, _, first, word, sent = sentences(buf, off, rolling, bits)
+        bags.append(B.row_of(first) + rows)
+        words.append(word.astype(np.int32))
+        sents.append((sent + many).astype(np.int32))
+        rows, many = rows + part.num_rows, many + len(bags[-1])
+    bag, word, sent = np.concatenate(bags), np.concatenate(words), np.concatenate(sents)
     seen = np.unique((bag[sent] << bits) | word)
     docs = np.bincount(seen & ((1 << bits) - 1), minlength=1 << bits)
     # words that lean to the positive bags or away from them
@@ -132,7 +137,7 @@ def toxicity(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, score double, worst_score double, worst_start long, worst_end long, worst_sentence string")
 
 
-def fit(labelled: DataFrame, per_class: int = 3000, most_chars: int = 12_000_000) -> Scorer:
+def fit(labelled: DataFrame, per_class: int = 2000, most_chars: int = 7_000_000) -> Scorer:
     """Train on ``labelled(text, toxic)``: at most ``per_class`` rows and ``most_chars`` characters of each class."""
     sample = bounded_sample(labelled.where("text is not null and toxic in (0, 1)"), "toxic", per_class, most_chars)
     return train(list(sample["text"]), sample["toxic"].to_numpy())
