@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +78,10 @@ def by_name(left: DataFrame, names: list[Column], index: DataFrame, index_key: s
     return out.withColumn("hit", F.coalesce(*hits)).drop(*hits)
 
 
+def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b, strict=True)])
+
+
 def fuzzy_names(left: DataFrame, name: str, index: DataFrame, index_name: str, cutoff: float = 0.82) -> DataFrame:
     """Adds ``match, ratio``: the index name of the highest Ratcliff-Obershelp ratio at or above the cutoff, the greatest
     name among equals.
@@ -82,18 +89,12 @@ def fuzzy_names(left: DataFrame, name: str, index: DataFrame, index_name: str, c
     Names meet through shared character pairs, and only where lengths and common letters allow the ratio: both are upper
     bounds of it, so no match is lost. The ratio itself, which no built-in gives, runs in batches over distinct pairs.
     """
-    import difflib
-
-    import pandas as pd
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b, strict=True)])
+    ratio = F.pandas_udf(_ratios, "double")
 
     def grams(df: DataFrame, col: str, out: str) -> DataFrame:
-        c = F.col(col)
+        c = F.col(out)
         pairs = F.when(F.length(c) < 2, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))
-        return df.where(F.length(c) > 0).select(c.alias(out)).distinct().withColumn("_g", F.explode(F.array_distinct(pairs)))
+        return df.select(F.col(col).alias(out)).where(F.length(c) > 0).distinct().withColumn("_g", F.explode(F.array_distinct(pairs)))
 
     cand = grams(left, name, "a").join(grams(index, index_name, "b"), "_g").groupBy("a", "b").agg(F.count("*").alias("_n"))
     la, lb = F.length("a"), F.length("b")

@@ -76,11 +76,13 @@ def points_at(v: DataFrame, at: DataFrame, fraction: str = "fraction", r: Ring =
     m = measured(v, r).select(*r.key, r.seq, F.col(r.lon).alias("_x"), F.col(r.lat).alias("_y"), "lon2", "lat2", "cum_m", "seg_m", "total_m")
     m = m.withColumn("_end", F.col("cum_m") + F.col("seg_m"))
     m = m.withColumn("_lead", F.coalesce(F.max("_end").over(r.inorder.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1.0))).withColumn("_last", F.lead(r.seq).over(r.inorder).isNull())
-    t = at.withColumn("_f", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(fraction))) if clamp else F.pmod(F.col(fraction), F.lit(1.0)))
+    kept = list(at.columns)
+    at = at.select(*r.key, F.struct(*at.columns).alias("_row"), F.col(fraction).alias("_at"))
+    t = at.withColumn("_f", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_at"))) if clamp else F.pmod(F.col("_at"), F.lit(1.0)))
     target = F.col("_f") * F.col("total_m")
     hit = (F.col("_lead") < target) & ((target <= F.col("_end")) | F.col("_last"))
     share = F.when(F.col("seg_m") > 0, F.least(F.lit(1.0), (target - F.col("cum_m")) / F.col("seg_m"))).otherwise(0.0)
-    return t.join(m, list(r.key)).where(hit).select(*[t[c] for c in at.columns], geo.lerp(F.col("_x"), F.col("lon2"), share).alias("lon"), geo.lerp(F.col("_y"), F.col("lat2"), share).alias("lat"))
+    return t.join(m, list(r.key)).where(hit).select(*[F.col(f"_row.{c}").alias(c) for c in kept], geo.lerp(F.col("_x"), F.col("lon2"), share).alias("lon"), geo.lerp(F.col("_y"), F.col("lat2"), share).alias("lat"))
 
 
 def nearest_vertex(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:

@@ -104,9 +104,11 @@ def _smooth_by(samples: DataFrame, key: list[str], window: Column) -> DataFrame:
     """Two moving means, of the window and of half of it, whose width may differ from ring to ring: by differences of a running sum."""
     out = samples.withColumn("_w1", odd(window)).withColumn("_w2", odd(F.greatest(F.lit(1), F.floor(window / 2).cast("int"))))
     for w in ("_w1", "_w2"):
-        g = out.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "kappa"))), lambda x: x["kappa"]).alias("_v"), F.max(w).alias("_w"))
-        half = F.floor(F.col("_w") / 2).cast("int")
-        size = F.size("_v")
-        mean = F.transform("_v", lambda x, i: F.aggregate(F.sequence(-half, half), F.lit(0.0), lambda acc, d: acc + F.element_at("_v", (F.pmod(i + d, size) + 1).cast("int"))) / F.col("_w"))
+        upto = out.withColumn("_c", F.sum("kappa").over(W.partitionBy(*key).orderBy("i").rowsBetween(W.unboundedPreceding, 0)))
+        g = upto.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "_c"))), lambda x: x["_c"]).alias("_v"), F.max(w).alias("_w"))
+        half, size = F.floor(F.col("_w") / 2).cast("int"), F.size("_v")
+        lap = F.element_at("_v", -1)
+        at = lambda j: F.floor(j / size) * lap + F.element_at("_v", (F.pmod(j, size) + 1).cast("int"))
+        mean = F.transform(F.sequence(F.lit(0), size - 1), lambda i: (at(i + half) - at(i - half - 1)) / F.col("_w"))
         out = out.drop("kappa").join(g.select(*key, F.posexplode(mean).alias("i", "kappa")), [*key, "i"])
     return out.drop("_w1", "_w2")
