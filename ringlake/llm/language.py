@@ -172,7 +172,7 @@ def lettered(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def fit(labelled: DataFrame, per_class: int = 400, most_chars: int = 1_000_000) -> Net:
     """Train on ``labelled(text, lang)``: at most ``per_class`` rows and ``most_chars`` characters of each language."""
-    sample = bounded_sample(labelled.where("text is not null and lang is not null"), "lang", per_class, most_chars)
+    sample = bounded_sample(labelled, "lang", per_class, most_chars)
     names = sorted(set(sample["lang"]))
     return train(list(sample["text"]), np.array([names.index(x) for x in sample["lang"]], int), names)
 

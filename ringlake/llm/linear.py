@@ -12,24 +12,32 @@ def remainder(doc_id, modulus: int):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
-def bounded_sample(rows: DataFrame, cls: str, per_class: int, most_chars: int, seed: int = 11):
-    """At most ``per_class`` rows of each class with at most ``most_chars`` characters in all, as pandas.
+def bounded_sample(texts: DataFrame, cls: str, per_class: int, most_chars: int, labels: DataFrame | None = None, on: str | None = None, seed: int = 11):
+    """At most ``per_class`` rows of each class with at most ``most_chars`` characters in all, as pandas ``(text, cls)``.
 
-    Rows come in order of a hash of their text, so reruns pick the same ones. Whole texts only. Classes are counted over
-    all rows; then only rows whose hash falls under a rate that yields somewhat more than the bound are moved and ranked.
+    ``texts(text, ...)`` has the class itself, or ``labels(on, cls)`` joins it by ``on``. Rows come in order of a hash of
+    their text, so reruns pick the same ones. Only hashes and lengths are counted, joined and ranked, over all rows;
+    the few rows of the sample then fetch their whole texts through a broadcast of their keys, which the bounds limit.
     """
     from pyspark.sql import Window as W
 
-    known = {r[0]: (r[1], r[2] or 1) for r in rows.groupBy(cls).agg(F.count("*"), F.sum(F.length("text"))).collect()}
-    rate = {c: min(1.0, 1.3 * per_class / n + 30 / n, 1.3 * most_chars / chars + 30 / n) for c, (n, chars) in known.items()}
-    part = F.pmod(F.xxhash64(F.col("text"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    own = [on] if on else []
+    hashed = texts.where("text is not null").withColumn("_k", F.xxhash64(F.col("text"), F.lit(seed)))
+    light = hashed.select(*own, *([cls] if labels is None else []), "_k", F.length("text").alias("_len"))
+    if labels is not None:
+        light = light.join(labels.select(on, cls), on)
+    light = light.where(F.col(cls).isNotNull())
+    known = {r[0]: (r[1], r[2] or 1) for r in light.groupBy(cls).agg(F.count("*"), F.sum("_len")).collect()}
+    part = F.pmod("_k", F.lit(1 << 30)) / float(1 << 30)
     pick = F.lit(False)
-    for c, r in sorted(rate.items()):
-        pick = pick | ((F.col(cls) == F.lit(c)) & (part < r))
-    some = rows.where(part < max(rate.values(), default=0.0)).where(pick).select("text", cls, part.alias("_h"))
-    by = W.partitionBy(cls).orderBy("_h", "text")
-    head = some.withColumn("_r", F.row_number().over(by)).withColumn("_n", F.sum(F.length("text")).over(by.rowsBetween(W.unboundedPreceding, 0)))
-    return head.where((F.col("_r") <= per_class) & (F.col("_n") <= most_chars)).select("text", cls).orderBy(cls, "_r").toPandas()
+    for c, (n, chars) in sorted(known.items()):
+        pick = pick | ((F.col(cls) == F.lit(c)) & (part < min(1.0, 1.3 * per_class / n + 30 / n, 1.3 * most_chars / chars + 30 / n)))
+    by = W.partitionBy(cls).orderBy(part, "_k", *own)
+    head = light.where(pick).dropDuplicates([cls, "_k", *own]).withColumn("_r", F.row_number().over(by)).withColumn("_n", F.sum("_len").over(by.rowsBetween(W.unboundedPreceding, 0)))
+    keys = head.where((F.col("_r") <= per_class) & (F.col("_n") <= most_chars)).select(*own, cls, "_k", "_r")
+    rows = [tuple(r) for r in keys.collect()]
+    found = hashed.drop(cls).join(F.broadcast(texts.sparkSession.createDataFrame(rows, keys.schema)), ["_k", *own]).dropDuplicates([cls, "_k", *own])
+    return found.select("text", cls, "_r").toPandas().sort_values([cls, "_r"], ignore_index=True)[["text", cls]]
 
 
 class Adam:

@@ -137,15 +137,14 @@ def toxicity(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, score double, worst_score double, worst_start long, worst_end long, worst_sentence string")
 
 
-def fit(labelled: DataFrame, per_class: int = 2000, most_chars: int = 7_000_000) -> Scorer:
-    """Train on ``labelled(text, toxic)``: at most ``per_class`` rows and ``most_chars`` characters of each class."""
-    sample = bounded_sample(labelled.where("text is not null and toxic in (0, 1)"), "toxic", per_class, most_chars)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", per_class: int = 2000, most_chars: int = 7_000_000) -> Scorer:
+    """Train on ``docs(id, text)`` with ``labels(id, toxic)``: at most ``per_class`` rows and ``most_chars`` characters of each label."""
+    sample = bounded_sample(docs.select(id_col, "text"), "toxic", per_class, most_chars, labels.where("toxic in (0, 1)"), id_col)
     return train(list(sample["text"]), sample["toxic"].to_numpy())
 
 
 def op2_toxicity_noisy_or(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learn = docs.where(remainder(F.col("doc_id"), 5) != 0).select("doc_id", "text").join(labels, "doc_id").select("text", "toxic")
-    found = toxicity(docs, fit(learn))
+    found = toxicity(docs, fit(docs.where(remainder(F.col("doc_id"), 5) != 0), labels))
     return found.select(F.col("id").alias("doc_id"), (remainder(F.col("id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "worst_score", "worst_start", "worst_end", "worst_sentence")
