@@ -104,7 +104,7 @@ def parse(source: str) -> Page:
         if tag in DROPPED:
             if m[3].rstrip().endswith("/"):
                 continue
-            if tag != "noscript":
+            if tag == "head":  # the others stand inside a line of text
                 flush()
             end = re.compile(rf"</{tag}\b[^>]*>|\Z" if tag != "head" else r"</head\s*>|(?=<body\b)|\Z", re.I).search(source, at)
             skip_to = at = end.end()

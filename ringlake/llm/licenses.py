@@ -161,7 +161,8 @@ class Scanner:
                 continue
             lo, hi = same[0][0], same[-1][1]
             lacking = [w for op, _, _, x, y in ops if op in ("insert", "replace") for w in want[x:y]]
-            beyond = [w for op, x, y, _, _ in ops if op in ("delete", "replace") for w in own[max(x, lo) : min(y, hi)]]
+            beyond = [w for op, x, y, _, _ in ops if op == "delete" for w in own[max(x, lo) : min(y, hi)]]
+            beyond += [w for op, x, y, p, q in ops if op == "replace" and lo <= x <= hi for w in own[x : y if y <= hi else min(y, x + q - p)]]
             exact = not lacking and not beyond
             rank = (exact, len(want) if exact else 0, share, saving)
             if best is None or rank > best[0]:
