@@ -34,16 +34,16 @@ def placed(targets: DataFrame, anchors: DataFrame, key: list[str]) -> DataFrame:
     o = W.partitionBy(*key).orderBy("marker", "f")
     step = F.col("f") - F.lag("f").over(o)
     a = a.withColumn("_u", F.sum(F.coalesce(F.when(step < 0, step + 1.0).otherwise(step), F.col("f"))).over(o.rowsBetween(W.unboundedPreceding, 0)))
-    knots = a.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("marker", F.col("_u").alias("u")))).alias("k"), F.max("n").alias("n"), F.bool_or("reversed").alias("reversed"))
-    last, first = F.element_at("k", -1), F.element_at("k", 1)
+    knots = a.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("marker", F.col("_u").alias("u")))).alias("_k"), F.max("n").alias("n"), F.bool_or("reversed").alias("reversed"))
+    last, first = F.element_at("_k", -1), F.element_at("_k", 1)
     shift = lambda x, d: F.array(F.struct((x["marker"] + d).alias("marker"), (x["u"] + d).alias("u")))
-    knots = knots.withColumn("k", F.concat(shift(last, -1.0), F.col("k"), shift(first, 1.0)))
+    knots = knots.withColumn("_k", F.concat(shift(last, -1.0), F.col("_k"), shift(first, 1.0)))
     t = targets.join(knots, key, "left")
-    lo, hi = F.element_at("k", 1)["marker"], F.element_at("k", -1)["marker"]
+    lo, hi = F.element_at("_k", 1)["marker"], F.element_at("_k", -1)["marker"]
     m = F.when(F.col("marker") < lo, F.col("marker") + 1.0).when(F.col("marker") > hi, F.col("marker") - 1.0).otherwise(F.col("marker"))
-    t = t.withColumn("_m", m).withColumn("_i", F.size(F.filter(F.slice("k", 1, F.greatest(F.size("k") - 1, F.lit(0))), lambda x: x["marker"] <= F.col("_m"))))
-    p, q = F.try_element_at("k", F.greatest(F.col("_i"), F.lit(1))), F.try_element_at("k", F.greatest(F.col("_i"), F.lit(1)) + 1)
+    t = t.withColumn("_m", m).withColumn("_i", F.size(F.filter(F.slice("_k", 1, F.greatest(F.size("_k") - 1, F.lit(0))), lambda x: x["marker"] <= F.col("_m"))))
+    p, q = F.try_element_at("_k", F.greatest(F.col("_i"), F.lit(1))), F.try_element_at("_k", F.greatest(F.col("_i"), F.lit(1)) + 1)
     width = q["marker"] - p["marker"]
     share = (F.col("_m") - p["marker"]) / F.when(width == 0, 1e-9).otherwise(width)
-    out = F.when(F.col("k").isNull(), cyclic.frac(F.col("marker"))).otherwise(cyclic.frac(p["u"] + share * (q["u"] - p["u"])))
+    out = F.when(F.col("_k").isNull(), cyclic.frac(F.col("marker"))).otherwise(cyclic.frac(p["u"] + share * (q["u"] - p["u"])))
     return t.withColumn("fraction", out).withColumn("reversed", F.coalesce("reversed", F.lit(False))).select(*targets.columns, "fraction", "reversed")
