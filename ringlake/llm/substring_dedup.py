@@ -78,7 +78,8 @@ def repeated_spans(rows: DataFrame, window: int = 35, seed: int = 12) -> DataFra
             yield B.batch_of(schema, mini=mini.view(np.int64), content=content.view(np.int64), doc=part.column(0).take(row), mark=part.column(1).take(row), start=start.astype(np.int32), n=n.astype(np.int16))
 
     paths = rows.mapInArrow(scan, "mini long, content long, doc long, mark long, start int, n smallint")
-    met = paths.groupBy("mini").agg(F.count("*").alias("k"), F.min("content").alias("a"), F.max("content").alias("b")).where("k > 1").select("mini", (F.col("a") != F.col("b")).alias("branches"))
+    # written out, so that the join below stands between two plain exchanges and a minimiser with very many rows can be split
+    met = staged(paths.groupBy("mini").agg(F.count("*").alias("k"), F.min("content").alias("a"), F.max("content").alias("b")).where("k > 1").select("mini", (F.col("a") != F.col("b")).alias("branches")), "minimisers")
     shared = staged(paths.join(met, "mini"), "paths")
     whole = shared.where("not branches").select("doc", "mark", "start", "n")
 
