@@ -84,7 +84,8 @@ def repeated_spans(rows: DataFrame, window: int = 35, seed: int = 12) -> DataFra
     whole = shared.where("not branches").select("doc", "mark", "start", "n")
 
     forks = shared.where("branches")
-    distinct = forks.groupBy("mini", "content").agg(F.count("*").alias("k"), F.min(F.struct("doc", "mark", "start", "n")).alias("at"))
+    # written out for the same reason, as are the edges met twice
+    distinct = staged(forks.groupBy("mini", "content").agg(F.count("*").alias("k"), F.min(F.struct("doc", "mark", "start", "n")).alias("at")), "distinct")
     often = forks.join(distinct.where("k > 1").select("mini", "content"), ["mini", "content"], "left_semi").select("doc", "mark", "start", "n")
     todo = distinct.select("at.*", "k").groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n", F.least("k", F.lit(2)).cast("int").alias("k"))).alias("todo"))
     edge_schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("k", pa.int32())])
@@ -106,7 +107,7 @@ def repeated_spans(rows: DataFrame, window: int = 35, seed: int = 12) -> DataFra
                              doc=part.column(0).take(own), mark=part.column(1).take(own), start=w.astype(np.int32), k=np.repeat(k, n))
 
     single = staged(rows.join(todo, ["doc", "mark"]).select("doc", "mark", "text", "todo").mapInArrow(edges, "h1 long, h2 long, doc long, mark long, start int, k int"), "edges")
-    twice = single.groupBy("h1", "h2").agg(F.sum("k").alias("all")).where("all > 1").select("h1", "h2")
+    twice = staged(single.groupBy("h1", "h2").agg(F.sum("k").alias("all")).where("all > 1").select("h1", "h2"), "twice")
     settled = single.where("k = 1").join(twice, ["h1", "h2"], "left_semi").select("doc", "mark", "start", F.lit(1).cast("smallint").alias("n"))
     return whole.union(often).union(settled).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
