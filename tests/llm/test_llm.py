@@ -267,6 +267,32 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_large_shards_lose_no_link(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for _ in range(6):  # groups of near prints, and all share the minima of one band
+        fp, sketch = int(rng.integers(1 << 62)), rng.integers(1 << 32, size=near_dedup.SKETCH, dtype=np.uint32)
+        for _ in range(8):
+            own, flips = sketch.copy(), rng.choice(62, rng.integers(1, 9), replace=False)
+            at = rng.choice(np.arange(3, near_dedup.SKETCH), rng.integers(0, 10), replace=False)
+            own[at], own[:3] = rng.integers(1 << 32, size=len(at), dtype=np.uint32), (1, 2, 3)
+            rows.append((fp ^ sum(1 << int(b) for b in flips), bytearray(own.tobytes())))
+    root = list(range(len(rows)))
+    sketches = [np.frombuffer(bytes(s), np.uint32) for _, s in rows]
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in range(len(rows)):
+                if (rows[a][0] ^ rows[b][0]).bit_count() <= 12 and (sketches[a] == sketches[b]).mean() >= 0.7:
+                    root[a] = root[b] = min(root[a], root[b])
+    want = {frozenset(f for (f, _), r in zip(rows, root) if r == x) for x in set(root)}
+    prints = spark.createDataFrame(rows, "fp long, sketch binary")
+    for cap in (2048, 5):
+        got = {}
+        for r in spaces.components(near_dedup.similar_links(prints, 12, 0.7, cap)).collect():
+            got.setdefault(r.root, set()).add(r.node)
+        assert {frozenset(g) for g in got.values()} == {g for g in want if len(g) > 1}
+
+
 def test_empty_tables(spark):
     none = docs(spark, ODD).limit(0)
     assert near_dedup.near_components(none).count() == 0 and near_dedup.one_of_each(none).count() == 0
