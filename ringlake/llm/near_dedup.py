@@ -224,24 +224,31 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 SKETCH, ROWS = 48, 3
 
 
-def similar_links(prints: DataFrame, radius: int, similar: float, shard_cap: int = 2048) -> DataFrame:
-    """``(src, dst)`` fingerprints of ``prints(fp, sketch)`` within a wide ``radius``, for which bit blocks prune nothing.
+def dealt(prints: DataFrame, shard_cap: int, *carried: str) -> DataFrame:
+    """``(key, p, q, *carried)``: the members of every shard of two or more rows of ``prints(sketch, n, ...)``.
 
     Shards are bands of ``ROWS`` sketch minima: a pair that shares 0.8 of its shingles meets in some shard with a
-    probability over 0.9999. Each shard's BK-tree is searched within the radius, and a hit counts if at least
-    ``similar`` of the sketches agree. A shard above ``shard_cap`` is dealt into parts and every pair of parts is one
-    task's tree and searches, so all its pairs are still seen. Once a tree is one component, one hit links a member.
+    probability over 0.9999. A shard above ``shard_cap`` rows, or 1024 shingles (``n``) for each of them, is dealt into
+    parts and every pair of parts is one task's, so all its pairs are still seen.
     """
     bands = SKETCH // ROWS
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", b * ROWS * 4 + 1, ROWS * 4)) for b in range(bands)])
-    keyed = prints.select("fp", "sketch", F.explode(keys).alias("key"))
-    sizes = prints.select(F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / shard_cap).cast("int")
+    keyed = prints.select(*carried, F.explode(keys).alias("key"))
+    sizes = prints.select("n", F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("all")).where("rows > 1")
+    parts = F.ceil(F.greatest(F.col("rows") / shard_cap, F.col("all") / (shard_cap * 1024))).cast("int")
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    shards = keyed.join(sizes.withColumn("parts", parts), "key").withColumn("part", part)
+    shards = keyed.join(sizes.select("key", parts.alias("parts")), "key").withColumn("part", part)
     # a member of part p stands in the pair tasks (p, q) and (q, p)
-    dealt = shards.select("key", "fp", "sketch", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "fp", "sketch")
+    pairs = shards.select("key", *carried, "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return pairs.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), *carried)
+
+
+def similar_links(prints: DataFrame, radius: int, similar: float, shard_cap: int = 2048) -> DataFrame:
+    """``(src, dst)`` fingerprints of ``prints(fp, sketch)`` within a wide ``radius``, for which bit blocks prune nothing.
+
+    Each shard's BK-tree is searched within the radius, and a hit counts if at least ``similar`` of the sketches agree.
+    Once a tree is one component, one hit links a member. An estimate; ``shared_links`` compares the shingles themselves.
+    """
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,29 +272,98 @@ def similar_links(prints: DataFrame, radius: int, similar: float, shard_cap: int
         if (out := done()) is not None:
             yield out
 
-    return dealt.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
+    pairs = dealt(prints.withColumn("n", F.lit(0)), shard_cap, "fp", "sketch")
+    return pairs.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
+
+
+def set_links(names: list[int], sets: list[np.ndarray], similar: float) -> tuple[list[int], list[int]]:
+    """A spanning forest of the pairs of ``sets`` (sorted, distinct values) whose Jaccard similarity is at least ``similar``."""
+    root, a, b, apart = list(range(len(sets))), [], [], 0
+
+    def top(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    for x, own in enumerate(sets):
+        apart += 1
+        for y in range(x - 1, -1, -1):
+            if apart == 1:
+                break
+            n, m = len(own), len(sets[y])
+            if min(n, m) < similar * max(n, m) * (1 - 1e-9):
+                continue
+            p, q = top(y), top(x)
+            if p == q:
+                continue
+            both = len(np.intersect1d(own, sets[y], assume_unique=True))
+            if both / max(n + m - both, 1) >= similar:
+                root[max(p, q)] = min(p, q)
+                apart -= 1
+                a.append(names[x])
+                b.append(names[y])
+    return a, b
+
+
+def shared_links(prints: DataFrame, texts: DataFrame, similar: float, shingle: int, shard_cap: int = 2048) -> DataFrame:
+    """``(src, dst)`` of ``prints(fp, sketch, n, id, mark)`` whose sets of ``shingle``-word shingles have a Jaccard
+    similarity of at least ``similar``.
+
+    Shards only find the candidates: their members fetch their texts from ``texts(id, mark, text)`` and all pairs of a
+    shard that are not yet joined are compared by their whole sets.
+    """
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, sets = None, [], []
+
+        def done():
+            a, b = set_links(held, sets, similar)
+            return B.batch_of(schema, src=np.array(a, np.int64), dst=np.array(b, np.int64)) if a else None
+
+        for part, buf, off in B.cut(batches):
+            h, first = shingle_hashes(buf, off, shingle)
+            for i, (key, p, q, fp) in enumerate(zip(*(part.column(c).to_pylist() for c in range(4)), strict=True)):
+                if now != (key, p, q):
+                    if (out := done()) is not None:
+                        yield out
+                    now, held, sets = (key, p, q), [], []
+                if held and held[-1] == fp:  # repeated rows
+                    continue
+                held.append(fp)
+                sets.append(np.unique(h[first[i] : first[i + 1]]))
+        if (out := done()) is not None:
+            yield out
+
+    found = dealt(prints, shard_cap, "fp", "id", "mark").join(texts, ["id", "mark"]).select("key", "p", "q", "fp", "text")
+    return found.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 12, similar: float = 0.7) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with one, the least id's, of every group of exact and near copies; all columns as they were.
 
-    Near copies differ in at most ``radius`` of 64 fingerprint bits (12: a similarity over 0.8) and agree in ``similar`` of
-    their sketches of ``shingle``-word shingles. Wordless texts are alike, repeated rows leave one row, ties of ids go by
-    the text's hash, null ids come last, an empty table stays empty.
+    Near copies are texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similar``; texts of
+    one set are one node. Minima find the candidates, the sets confirm each, and no SimHash radius stands between: repeats
+    move its bits but not the set. Wordless texts are alike, repeated rows leave one row, ties of ids go by the text's
+    hash, null ids come last, an empty table stays empty.
     """
     least = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
     mark = F.xxhash64(F.col(f"`{text_col}`"))
-    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, buf, off in B.cut(batches):
             h, first = shingle_hashes(buf, off, shingle)
-            yield B.batch_of(schema, id=part.column(0), mark=part.column(1), fp=fingerprints_of(h, first).view(np.int64), sketch=[x.tobytes() for x in sketches_of(h, first, SKETCH)])
-
-    rows = staged(docs.select(least.alias("id"), mark.alias("mark"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(scan, "id long, mark long, fp long, sketch binary"), "sketches")
-    prints = rows.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("least"), F.min("sketch").alias("sketch"))
-    linked = components(similar_links(prints.select("fp", "sketch"), radius, similar))
-    groups = prints.select("fp", "least").join(linked.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("stay"))
+            sets = [np.unique(h[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+            names = np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], np.uint64).view(np.int64)
+            yield B.batch_of(schema, id=part.column(0), mark=part.column(1), fp=names, n=[len(x) for x in sets], sketch=[x.tobytes() for x in sketches_of(h, first, SKETCH)])
+
+    texts = docs.select(least.alias("id"), mark.alias("mark"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows = staged(texts.mapInArrow(scan, "id long, mark long, fp long, n long, sketch binary"), "sketches")
+    prints = staged(rows.groupBy("fp").agg(F.min(F.struct("id", "mark")).alias("least"), F.min("n").alias("n"), F.min("sketch").alias("sketch")).select("fp", "least.id", "least.mark", "n", "sketch"), "prints")
+    linked = components(shared_links(prints, texts, similar, shingle))
+    groups = prints.select("fp", F.struct("id", "mark").alias("least")).join(linked.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("stay"))
     stay = groups.select("stay.*")
     kept = docs.withColumn("_id", least).withColumn("_mark", mark).join(stay.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")), ["_id", "_mark"], "left_semi")
     again = rows.groupBy("id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"))

@@ -293,6 +293,35 @@ def test_large_shards_lose_no_link(spark):
         assert {frozenset(g) for g in got.values()} == {g for g in want if len(g) > 1}
 
 
+def test_near_copies_equal_brute_force_jaccard(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(12):
+        base = prose(rng, rng.randint(40, 120)).split()
+        rows.append(" ".join(base))
+        for k in range(6):  # edits about the limit
+            own = list(base)
+            for at in rng.sample(range(len(own)), k % 4):
+                own[at] = "zz" + str(rng.random())
+            rows.append(" ".join(own + prose(rng, rng.randint(1, len(base) // 5)).split()))
+        rows.append(" ".join(base[:30] * 40 + base))  # nearly the same set, repeated
+    sets = []
+    for t in rows:
+        w = t.split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)})
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in range(a):
+                if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                    root[a] = root[b] = min(root[a], root[b])
+    assert 12 < len(set(root)) < len(rows)
+    for cap in (2048, 3):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(near_dedup.shared_links, "__defaults__", (cap,))
+            assert {r.doc_id for r in near_dedup.one_of_each(docs(spark, enumerate(rows))).collect()} == set(root)
+
+
 def test_empty_tables(spark):
     none = docs(spark, ODD).limit(0)
     assert near_dedup.near_components(none).count() == 0 and near_dedup.one_of_each(none).count() == 0
