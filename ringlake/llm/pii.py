@@ -22,7 +22,7 @@ TITLES_M = "Mr|Herr|Señor|Sr|Monsieur|Signor|г-н|Господин"
 TITLES_N = "Mx|Dr|Prof"
 PATTERNS = {
     "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "secret": r"(?<![\p{L}0-9_-])(?:[0-9a-f]{32,128}|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{16,100})(?![\p{L}0-9_-])",
+    "secret": r"(?<![\p{L}0-9_-])(?:[0-9a-f]{32,}+|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{16,}+)(?![\p{L}0-9_-])",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "phone": r"(?<![\p{L}0-9])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![\p{L}0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
@@ -43,7 +43,7 @@ SYLLABLES = {"latin": "ba be bo da de do ka ke ko la le lo ma me mo na ne no ra
              "cyrillic": "ба бе бо да де до ка ке ко ла ле ло ма ме мо на не но ра ре ро са се со та те то ва ве во ви зу".split()}
 ANY = "|".join(PATTERNS.values())
 #: A text without any of these has no entity.
-CUE = rf"[0-9@]|(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? \p{{Lu}}"
+CUE = rf"[0-9@]|(?<![\p{{L}}0-9_-])(?:[a-f]{{32}}|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{{16}})|(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? \p{{Lu}}"
 
 
 def kind(s: Column) -> Column:
@@ -129,7 +129,9 @@ def surrogate(s: Column, k: Column, c: Column, key: str, draw: Column) -> Column
     tail = F.regexp_extract(local, r"[0-9]+$", 0)
     where = F.translate(F.substring(digest(key, F.lit("domain"), domain), 1, 8), "0123456789abcdef", "bcdfghklmnprstvz")
     email = F.concat(letters, F.when(tail != "", F.concat(F.lit("."), F.substring(F.conv(F.substring(h, 20, 15), 16, 10), F.lit(1), F.least(F.length(tail), F.lit(12))))).otherwise(""), F.lit("@"), where, F.when(domain.rlike(r"\.(com|net|org)$"), F.concat(F.lit(".example."), F.substring_index(domain, ".", -1))).otherwise(".example"))
-    hexed = F.when(c.rlike("^[0-9a-f]+$"), F.substring(F.concat(h, digest(key, F.lit("more"), c, draw)), F.lit(1), F.length(s))).otherwise(F.concat(F.regexp_extract(s, "^(?:sk|pk|ghp|xoxb|AKIA)?[_-]?", 0), shaped(F.regexp_replace(s, "^(?:sk|pk|ghp|xoxb|AKIA)?[_-]?", ""), h)))
+    # 64 hex digits a digest, as many as the entity needs
+    more = F.when(F.length(s) > 128, F.array_join(F.transform(F.sequence(F.lit(2), F.floor((F.length(s) - 1) / 64).cast("int")), lambda i: digest(key, F.lit("more"), c, draw, i)), "")).otherwise("")
+    hexed = F.when(c.rlike("^[0-9a-f]+$"), F.substring(F.concat(h, digest(key, F.lit("more"), c, draw), more), F.lit(1), F.length(s))).otherwise(F.concat(F.regexp_extract(s, "^(?:sk|pk|ghp|xoxb|AKIA)?[_-]?", 0), shaped(F.regexp_replace(s, "^(?:sk|pk|ghp|xoxb|AKIA)?[_-]?", ""), h)))
     iban = F.concat(F.left(s, F.lit(2)), shaped(F.substring(s, 3, 100), h))
     title = F.regexp_extract(s, r"^\p{L}[\p{L}-]*\.? ", 0)
     rest = F.regexp_replace(s, r"^\p{L}[\p{L}-]*\.? ", "")

@@ -151,6 +151,17 @@ def test_surrogates(spark):
     assert all(again[i] == got[i].text for i in (1, 2, 3))
 
 
+def test_secrets_of_any_length_and_without_digits(spark):
+    rng = random.Random(3)
+    keys = ["sk-proj-" + "".join(rng.choice("abcdefghXYZ0123_-") for _ in range(160)) + "k", "".join(rng.choice("0123456789abcdef") for _ in range(256)), "AKIA" + "QWERTYUIOPASDFGH", "deadbeef" * 4, "f" * 700]
+    rows = [(i, f"the key {k} here") for i, k in enumerate(keys)]
+    for r in pii.replaced(docs(spark, rows)).collect():
+        lead, _, rest = r.text.partition("the key ")
+        new = rest.removesuffix(" here")
+        assert [f.kind for f in r._found] == ["secret"] and lead == "" and new != keys[r.doc_id] and len(new) == len(keys[r.doc_id])
+        assert re.fullmatch("[0-9a-f]+", new) if r.doc_id in (1, 3, 4) else new[:2] == keys[r.doc_id][:2]
+
+
 def test_digit_permutation_is_one_to_one(spark):
     d = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     got = d.select(pii.permuted(F.col("d"), "k", F.lit("t")).alias("p"))
