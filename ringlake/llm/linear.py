@@ -15,15 +15,17 @@ def remainder(doc_id, modulus: int):
 def bounded_sample(texts: DataFrame, cls: str, per_class: int, most_chars: int, labels: DataFrame | None = None, on: str | None = None, seed: int = 11):
     """At most ``per_class`` rows of each class with at most ``most_chars`` characters in all, as pandas ``(text, cls)``.
 
+    A text over a quarter of ``most_chars`` counts, and comes, as its first quarter, so that no single text ends the sample.
+
     ``texts(text, ...)`` has the class itself, or ``labels(on, cls)`` joins it by ``on``. Rows come in order of a hash of
     their text, so reruns pick the same ones. Only hashes and lengths are counted, joined and ranked, over all rows;
-    the few rows of the sample then fetch their whole texts through a broadcast of their keys, which the bounds limit.
+    the few rows of the sample then fetch their texts through a broadcast of their keys, which the bounds limit.
     """
     from pyspark.sql import Window as W
 
-    own = [on] if on else []
+    own, share = [on] if on else [], max(1, most_chars // 4)
     hashed = texts.where("text is not null").withColumn("_k", F.xxhash64(F.col("text"), F.lit(seed)))
-    light = hashed.select(*own, *([cls] if labels is None else []), "_k", F.length("text").alias("_len"))
+    light = hashed.select(*own, *([cls] if labels is None else []), "_k", F.least(F.length("text"), F.lit(share)).alias("_len"))
     if labels is not None:
         light = light.join(labels.select(on, cls), on)
     light = light.where(F.col(cls).isNotNull())
@@ -37,7 +39,7 @@ def bounded_sample(texts: DataFrame, cls: str, per_class: int, most_chars: int,
     keys = head.where((F.col("_r") <= per_class) & (F.col("_n") <= most_chars)).select(*own, cls, "_k", "_r")
     rows = [tuple(r) for r in keys.collect()]
     found = hashed.drop(cls).join(F.broadcast(texts.sparkSession.createDataFrame(rows, keys.schema)), ["_k", *own]).dropDuplicates([cls, "_k", *own])
-    return found.select("text", cls, "_r").toPandas().sort_values([cls, "_r"], ignore_index=True)[["text", cls]]
+    return found.select(F.substring("text", 1, share).alias("text"), cls, "_r").toPandas().sort_values([cls, "_r"], ignore_index=True)[["text", cls]]
 
 
 class Adam:

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ringlake.llm import decontaminate, html_text, imatch, language, licenses, mixing, near_dedup, pii, substring_dedup, toxicity
+from ringlake.llm import decontaminate, html_text, imatch, language, licenses, linear, mixing, near_dedup, pii, substring_dedup, toxicity
 from ringlake.llm import spaces
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -242,6 +242,12 @@ def test_language(spark):
     assert language.identify(d, language.fit(d.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_one_long_text_does_not_end_the_sample(spark):
+    rows = [(f"{i:010d}", c) for i in range(40) for c in "ab"] + [("x" * 5000, "a"), ("y" * 5000, "c")]
+    got = linear.bounded_sample(spark.createDataFrame(rows, "text string, cls string"), "cls", 100, 1000)
+    assert got.groupby("cls").size().to_dict() == {"a": 41, "b": 40, "c": 1} and got.text.str.len().max() == 250
+
+
 def test_toxicity(spark):
     rng = random.Random(0)
     rows, label = [], []
