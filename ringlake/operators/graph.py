@@ -3,6 +3,8 @@ graph, is one Arrow-batched Python call; groups spread over the cluster."""
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,6 +44,15 @@ def in_order(lines: list[Line]) -> Line:
     return joined(lines, 1.0)
 
 
+def walked(link: tuple | None) -> list:
+    """The values of a chain of links (value, link before), first one first."""
+    out = []
+    while link:
+        out.append(link[0])
+        link = link[1]
+    return out[::-1]
+
+
 def lap_cycle(lines: list[Line], expected: float | None, most_steps: int = 200_000) -> Line | None:
     """The simple cycle through the longest line whose length is nearest the expected one (or greatest).
 
@@ -56,21 +67,22 @@ def lap_cycle(lines: list[Line], expected: float | None, most_steps: int = 200_0
         at.setdefault(b, []).append((i, a))
     seed = max(range(len(lines)), key=size.__getitem__)
     goal, limit = ends[seed][0], expected * 1.6 + 2000 if expected else float("inf")
-    best: tuple[float, list[int]] | None = None
-    todo = [(ends[seed][1], (seed,), size[seed])]
+    best: tuple[float, tuple] | None = None
+    # a state: node, last link (line, link before), lines used as bits, length
+    todo = [(ends[seed][1], (seed, None), 1 << seed, size[seed])]
     for _ in range(most_steps):
         if not todo:
             break
-        node, path, run = todo.pop()
+        node, path, used, run = todo.pop()
         if run > limit:
             continue
-        if node == goal and len(path) > 1:
+        if node == goal and path[1]:
             off = abs(run - expected) if expected else -run
             if best is None or off < best[0]:
-                best = off, list(path)
+                best = off, path
             continue
-        todo += [(to, (*path, i), run + size[i]) for i, to in at.get(node, ()) if i not in path]
-    return joined([lines[i] for i in best[1]], 10.0) if best else None
+        todo += [(to, (i, path), used | 1 << i, run + size[i]) for i, to in at.get(node, ()) if not used >> i & 1]
+    return joined([lines[i] for i in walked(best[1])], 10.0) if best else None
 
 
 def relation_lap(lines: list[Line], expected: float | None) -> Line | None:
@@ -85,18 +97,34 @@ def stitched_lap(lines: list[Line], expected: float | None, reach: float = 120.0
     """Closed chain of the best score (gap plus length error) from the longest seeds: at most three of the tightest joins
     are followed from each of the first seven links, one from there on."""
     lines = sorted(lines, key=lambda s: -length(s))
-    size = np.array([length(s) for s in lines])
+    size = [length(s) for s in lines]
     ends = np.array([[s[0], s[-1]] for s in lines])
+    near: dict = {}
+    held = 0
+
+    def joins(i: int, e: int) -> list:
+        """Joins within reach of an end, the tightest first."""
+        nonlocal held
+        if (i, e) not in near:
+            if held > 1_000_000:  # bounds the memory of a large group
+                near.clear()
+                held = 0
+            d = metres(ends, ends[i, e])
+            near[i, e] = sorted((float(d[j, f]), int(j), bool(f)) for j, f in np.argwhere(d < reach))
+            held += len(near[i, e])
+        return near[i, e]
+
     best = None
     for seed in range(min(seeds, len(lines))):
         left = budget
-        # a state: points walked as (line, flipped) links, length
-        todo = [(((seed, False),), float(size[seed]))]
+        # a state: last link ((line, flipped), link before), links, lines used as bits, length
+        todo = [(((seed, False), None), 1, 1 << seed, size[seed])]
+        home = metres(ends[seed][0], ends).tolist()
         while todo and left:
             left -= 1
-            chain, run = todo.pop()
-            tail = ends[chain[-1][0]][0 if chain[-1][1] else 1]
-            open_m = float(metres(ends[seed][0], tail))
+            chain, links, used, run = todo.pop()
+            tail = chain[0][0], 0 if chain[0][1] else 1
+            open_m = home[tail[0]][tail[1]]
             if open_m <= gap:
                 whole = run + open_m
                 if not expected or 0.6 * expected <= whole <= 1.5 * expected:
@@ -105,14 +133,11 @@ def stitched_lap(lines: list[Line], expected: float | None, reach: float = 120.0
                         best = off, chain
             if expected and run > 1.6 * expected:
                 continue
-            used = [i for i, _ in chain]
-            d = metres(ends, tail)
-            d[used] = np.inf
-            near = sorted((float(d[i, e]), int(i), bool(e)) for i, e in np.argwhere(d < reach))[: 3 if len(chain) <= 7 else 1]
-            todo += [((*chain, (i, flip)), run + join * (join >= 1) + float(size[i])) for join, i, flip in reversed(near)]
+            free = list(islice((x for x in joins(*tail) if not used >> x[1] & 1), 3 if links <= 7 else 1))
+            todo += [(((i, flip), chain), links + 1, used | 1 << i, run + join * (join >= 1) + size[i]) for join, i, flip in reversed(free)]
     if best is None:
         return None
-    parts = [lines[i][::-1] if flip else lines[i] for i, flip in best[1]]
+    parts = [lines[i][::-1] if flip else lines[i] for i, flip in walked(best[1])]
     out = parts[0]
     for s in parts[1:]:
         out = np.concatenate([out, s[1:] if metres(out[-1], s[0]) < 1 else s])
