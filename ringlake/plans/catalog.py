@@ -438,7 +438,7 @@ def close_pairs(spark, sf):
 @query(f"""WITH {RINGS}, p AS (SELECT ring, seq, CAST(seq AS DOUBLE) / 100.0 AS marker, lon, lat FROM ring WHERE seq <= 100) SELECT x.ring, x.seq AS seq, count(*) AS near FROM p x JOIN p y ON x.ring = y.ring AND (least(abs(x.marker - y.marker) % 1.0, 1.0 - abs(x.marker - y.marker) % 1.0) < 0.0035
   OR {hav('x.lon', 'x.lat', 'y.lon', 'y.lat')} < 8500.0) GROUP BY 1, 2""")
 def point_hits(spark, sf):
-    v = rings(spark, sf).where("seq <= 100").withColumn("marker", F.col("seq") / 100.0)
+    v = rings(spark, sf).withColumn("marker", F.col("seq") / 100.0)
     return locate.near_points(v, v.select("ring", F.col("marker").alias("marker2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2")), ["ring"], most_m=8500.0).groupBy("ring", "seq").agg(F.count("*").alias("near"))
 
 
