@@ -100,15 +100,32 @@ def members(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Printer:
-    """Fingerprints of rows under a lexicon: (mode, hash of all kept terms, one byte per subset, 0 where it keeps none)."""
+    """Fingerprints of rows under a lexicon: (mode, hash of all kept terms, one byte per subset, 0 where it keeps none, the
+    same bytes of all the row's terms)."""
 
     def __init__(self, lex: Lexicon):
         self.term, self.rolling = lex.term, B.Rolling(31)
-        at, sub = members(lex.term)
+        self.subsets = self.by_term(lex.term)
+
+    @staticmethod
+    def by_term(term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Subsets in order of their term, and each term's first one."""
+        at, sub = members(term)
         order = np.argsort(at, kind="stable")
-        self.sub, self.head = sub[order], np.searchsorted(at[order], np.arange(len(lex.term) + 1))
+        return sub[order], np.searchsorted(at[order], np.arange(len(term) + 1))
+
+    @staticmethod
+    def cells(subsets: tuple[np.ndarray, np.ndarray], at: np.ndarray, h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """One byte per row and subset from terms ``h``, whose subsets stand at ``at``."""
+        sub, head = subsets
+        n = head[at + 1] - head[at]
+        key = np.repeat(row, n) * SUBSETS + sub[np.repeat(head[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        # sums below 2**53 are exact, and do not depend on the order
+        total = np.bincount(key, weights=np.repeat((B.mix(h, 7) >> np.uint64(40)).astype(np.float64), n), minlength=rows * SUBSETS)
+        some = np.bincount(key, minlength=rows * SUBSETS) > 0
+        return np.where(some, 1 + B.mix(total.astype(np.uint64), 8) % np.uint64(255), np.uint64(0)).astype(np.uint8).reshape(rows, SUBSETS)
 
-    def prints(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def prints(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         rows = len(off) - 1
         h, row = terms(buf, off, self.rolling)
         at = np.searchsorted(self.term, h)
@@ -118,38 +135,35 @@ class Printer:
         plenty = np.bincount(row[inside], minlength=rows) >= 8
         band = inside & plenty[row]
         rest = ~plenty[row]  # rows with few band terms keep all their terms
-        n = self.head[at[band] + 1] - self.head[at[band]]
-        sub = self.sub[np.repeat(self.head[at[band]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        key, value = np.repeat(row[band], n) * SUBSETS + sub, np.repeat(h[band], n)
-        x, s = members(h[rest])
-        key = np.concatenate([key, row[rest][x] * SUBSETS + s])
-        value = np.concatenate([value, h[rest][x]])
-        # sums below 2**53 are exact, and do not depend on the order
-        total = np.bincount(key, weights=(B.mix(value, 7) >> np.uint64(40)).astype(np.float64), minlength=rows * SUBSETS)
-        some = np.bincount(key, minlength=rows * SUBSETS) > 0
-        cell = np.where(some, 1 + B.mix(total.astype(np.uint64), 8) % np.uint64(255), np.uint64(0)).astype(np.uint8).reshape(rows, SUBSETS)
+        own, where = np.unique(h, return_inverse=True)
+        every = self.cells(self.by_term(own), where, h, row, rows)
+        cell = np.where(plenty[:, None], self.cells(self.subsets, at[band], h[band], row[band], rows), every)
         kept = band | rest
         first = np.searchsorted(row[kept], np.arange(rows + 1))
         sums = self.rolling.sums(h[kept])
         whole = self.rolling.spans(sums, first[:-1], first[1:])
         mode = np.where(plenty, 2, np.where(np.diff(first) > 0, 1, 0)).astype(np.uint8)
-        return mode, whole, cell
+        return mode, whole, cell, every
 
 
 def likeness(a: tuple, b: tuple) -> np.ndarray:
-    """0 to 1: twice the shared part of two term sets over both sizes, from equal subset hashes; 1 for equal prints."""
-    x, y = a[2].reshape(-1, LEVELS, EACH), b[2].reshape(-1, LEVELS, EACH)
+    """0 to 1: twice the shared part of two term sets over both sizes, from equal subset hashes; 1 for equal prints.
+
+    Band terms are compared where both have enough of them, else all terms of both."""
+    alike = (a[0] == b[0])[:, None]
+    x, y = (np.where(alike, p[2], p[3]).reshape(-1, LEVELS, EACH) for p in (a, b))
     union = ((x > 0) | (y > 0)).sum(2)
     equal = ((x == y) & (x > 0)).sum(2)
     weight = ((x == 0) | (y == 0)).sum(2) / EACH + 1e-6  # crowded levels say little
     j = (weight * equal).sum(1) / np.maximum((weight * union).sum(1), 1e-12)
     same = (a[0] == b[0]) & (a[1] == b[1]) & (a[2] == b[2]).all(1)
-    return np.where(same, 1.0, np.where(a[0] == b[0], 2 * j / (1 + j), 0.0))
+    return np.where(same, 1.0, 2 * j / (1 + j))
 
 
 def shown(p: tuple) -> list[str]:
-    """Mode letter (b: band terms, a: all terms, n: no letters), hash of all kept terms, two digits per subset."""
-    return ["nab"[m] + f"{w:016x}" + c.tobytes().hex() for m, w, c in zip(p[0].tolist(), p[1].tolist(), p[2], strict=True)]
+    """Mode letter (b: band terms, a: all terms, n: no letters), hash of all kept terms, two digits per subset; after
+    band terms also two digits per subset of all terms, for comparison with a print of all terms."""
+    return ["nab"[m] + f"{w:016x}" + c.tobytes().hex() + (e.tobytes().hex() if m == 2 else "") for m, w, c, e in zip(p[0].tolist(), p[1].tolist(), p[2], p[3], strict=True)]
 
 
 def fingerprints(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -113,6 +113,18 @@ def test_imatch(spark, corpus):
     assert sum(df.values()) == sum(len({w for w in re.findall(r"[^\W\d_]+", (t or "").lower())}) for _, t in corpus)
 
 
+def test_prints_compare_across_the_switch_of_terms():
+    words = "alpha bravo charlie delta echo foxtrot golf hotel".split()
+    rest = prose(random.Random(6), 40)
+    read = lambda *t: (np.frombuffer("".join(t).encode(), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in t])]))
+    band = np.unique(imatch.terms(*read(" ".join(words)), imatch.B.Rolling(31))[0])
+    p = imatch.Printer(imatch.Lexicon(band)).prints(*read(" ".join(words) + " " + rest, " ".join(words[:7]) + " " + rest, prose(random.Random(9), 40).upper().replace("A", "xyz"), "12 34"))
+    assert p[0].tolist() == [2, 1, 1, 0]
+    first = tuple(x[[0, 0, 0]] for x in p)
+    near = imatch.likeness(first, tuple(x[1:] for x in p))
+    assert near[0] > 0.7 and near[1] < 0.3 and near[2] == 0.0
+
+
 def test_tiling(spark):
     rng = random.Random(2)
     item = prose(rng, 30)
