@@ -114,16 +114,17 @@ class Scanner:
         self.longest = max(len(w) for _, w, _ in self.all)
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Paragraphs of several lines with a cue, windowed about the cue where they run long, then the cue's own lines."""
+        """Paragraphs of several lines with a cue, windowed about the cue by a template's length on each side where they run long,
+        then the cue's own lines."""
         seen = set()
         for p in PARAGRAPH.finditer(text):
             lines = [(p.start() + m.start(), p.start() + m.end()) for m in LINE.finditer(p[0])]
             hits = [i for i, (a, b) in enumerate(lines) if self.cue.search(text, a, b)]
             for i in hits:
                 lo = hi = i
-                while lo > 0 and lines[hi][1] - lines[lo - 1][0] < 16 * self.longest:
+                while lo > 0 and lines[i][1] - lines[lo - 1][0] < 16 * self.longest:
                     lo -= 1
-                while hi + 1 < len(lines) and lines[hi + 1][1] - lines[lo][0] < 16 * self.longest:
+                while hi + 1 < len(lines) and lines[hi + 1][1] - lines[i][0] < 16 * self.longest:
                     hi += 1
                 for a, b in ((lo, hi), (i, i)):
                     span = lines[a][0], lines[b][1]

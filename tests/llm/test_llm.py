@@ -290,6 +290,15 @@ def test_licences(spark):
     assert rows[0][1][got[1].start : got[1].end] == "Released under the MIT License"
 
 
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD-3-Clause"])
+def test_wrapped_notice_amid_many_lines(name):
+    rng = random.Random(1)
+    notice = max(licenses.TEMPLATES[name], key=len)
+    lines = [prose(rng, 12) for _ in range(60)]
+    text = "\n".join(lines + [re.sub(r"(.{40,60}) ", r"\1\n", notice)] + lines)
+    assert [(v.license, v.verdict) for v in licenses.Scanner().scan(text)] == [(name, "exact")]
+
+
 def test_components_of_a_long_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "src long, dst long")
     got = {r.node: r.root for r in spaces.components(e).collect()}
