@@ -170,9 +170,18 @@ class Scanner:
                 best = rank, Verdict(found[lo][1], found[hi - 1][2], name, "exact" if exact else "variant", saving, lacking, beyond)
         return best and best[1]
 
+    def settled(self, text: str, a: int, b: int) -> Iterator[Verdict]:
+        """The verdict on a block, then those on what lies before and after it as long as a cue is left there."""
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            if self.cue.search(text, a, b) and (v := self.settle(text, a, b)):
+                yield v
+                todo += [(a, v.start), (v.end, b)]
+
     def scan(self, text: str) -> list[Verdict]:
         """Non-overlapping verdicts in text order; of overlapping ones exact beats variant, then longer beats shorter."""
-        got = [v for a, b in self.blocks(text) for x, y in self.pieces(text, a, b) if (v := self.settle(text, x, y))]
+        got = [v for a, b in self.blocks(text) for x, y in self.pieces(text, a, b) for v in self.settled(text, x, y)]
         out: list[Verdict] = []
         for v in sorted(got, key=lambda v: (v.verdict != "exact", v.start - v.end, v.start, v.license)):
             if all(v.end <= o.start or v.start >= o.end for o in out):

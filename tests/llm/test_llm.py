@@ -299,6 +299,12 @@ def test_wrapped_notice_amid_many_lines(name):
     assert [(v.license, v.verdict) for v in licenses.Scanner().scan(text)] == [(name, "exact")]
 
 
+def test_several_statements_on_one_line():
+    text = "Released under the MIT License. Licensed under the Apache License, Version 2.0."
+    got = licenses.Scanner().scan(text)
+    assert [(v.license, v.verdict, text[v.start : v.end]) for v in got] == [("MIT", "exact", "Released under the MIT License"), ("Apache-2.0", "exact", "Licensed under the Apache License, Version 2.0")]
+
+
 def test_components_of_a_long_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "src long, dst long")
     got = {r.node: r.root for r in spaces.components(e).collect()}
