@@ -3,7 +3,8 @@
 A page's block elements and text runs are nodes of a tree with the states mixed, content and rest. Unary potentials
 come from a softmax over each node's features, parent-child potentials from counted state pairs, both trained on
 labelled pages. Sum-product messages go up the tree and down again; text runs whose content marginal passes one half
-make the text. Parsing is lenient: unclosed and misnested tags, comments, and unknown elements are all accepted.
+make the text. Parsing is lenient and takes time in proportion to the page: unclosed and misnested tags, comments and
+unknown elements are all accepted, scripts end by the rules of HTML, and what is hidden gives no text.
 """
 
 from __future__ import annotations
@@ -26,13 +27,24 @@ MIXED, CONTENT, REST = 0, 1, 2
 #: Fixed values of the HTML syntax.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("head script style template noscript iframe object svg math canvas select textarea button title audio video".split())
+DROPPED = frozenset("template noscript object svg math canvas select button audio video".split())
+ENDED = frozenset("svg math select button canvas audio video".split())  # by a section that opens in them
+SECTIONS = frozenset("article main section nav aside header footer h1 h2 h3 h4 h5 h6".split())
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead"), "tfoot": ("tr", "td", "th", "tbody")}
 SCOPES = frozenset("ul ol dl table div section article aside nav header footer main form blockquote body td th".split())
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"\b(class|id|role|data-state)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+#: What a tag closes besides itself stands at a known place of the stack under these keys.
+KEYS = {t: (t, *(["scope"] if t in SCOPES else []), *(["list"] if t in ("ul", "ol", "dl", "table", "select") else [])) for t in SCOPES | {"select"}}
+#: Attributes of a tag up to its end; no part is read twice, so that unclosed tags and quotes take linear time.
+INSIDE = r"""(?>[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)?+)*+"""
+PIECE = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)({INSIDE})(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s>"'][^\s>]*+))?+)?+""")
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
+SCRIPT = re.compile(r"<!--(?:-?>)?|-->|<(/?)script(?=[\s/>]|\Z)", re.I)
+HIDES = re.compile(r"hidden|display|visibility", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+DEEPEST = 512  # further elements become siblings, as in browsers; their text stays
 
 
 @dataclass
@@ -52,105 +64,177 @@ class Page:
         return len(self.parent) - 1
 
 
+class Open:
+    """The open elements. ``at`` has the places of each tag and kind, so that no search walks the stack."""
+
+    def __init__(self):
+        self.tags, self.nodes = ["body"], [0]
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, tag: str, node: int) -> None:
+        for k in KEYS.get(tag, (tag,)):
+            self.at.setdefault(k, []).append(len(self.tags))
+        self.tags.append(tag)
+        self.nodes.append(node)
+
+    def cut(self, to: int) -> None:
+        for tag in self.tags[to:]:
+            for k in KEYS.get(tag, (tag,)):
+                self.at[k].pop()
+        del self.tags[to:], self.nodes[to:]
+
+    def last(self, *keys: str) -> int:
+        """Place of the innermost of the tags or kinds; 0 without one."""
+        return max((self.at[k][-1] for k in keys if self.at.get(k)), default=0)
+
+    def closed_by(self, tag: str) -> int:
+        """Place of the outermost element that an opening tag ends; 0 without one."""
+        p = self.last("p") if tag in CLOSES_P else 0
+        p = p if p > self.last("scope") else 0
+        if tag in CLOSED_BY:
+            edge = self.last("list")
+            return min((x for x in (p, *map(self.last, CLOSED_BY[tag])) if x > edge), default=p)
+        return p
+
+
+def raw_end(source: str, tag: str, at: int, strict: bool) -> tuple[int, bool]:
+    """Where the text of a script, style ... ends, and whether its end tag is there.
+
+    ``strict``: in a script, an end tag inside ``<!-- <script`` does not count."""
+    depth = 0
+    for m in SCRIPT.finditer(source, at) if tag == "script" and strict else RAW_END[tag].finditer(source, at):
+        if tag != "script" or not strict or m[1] == "/" and depth < 2:
+            return PIECE.match(source, m.start()).end(), True
+        if m[1] is None:
+            depth = 0 if m[0].endswith(">") else max(depth, 1)
+        else:
+            depth = 1 if m[1] else 2 if depth else 0
+    return len(source), False
+
+
 def parse(source: str) -> Page:
-    """The page's tree. A closing tag without its opening one is skipped; whatever is open at the end is closed."""
+    """The page's tree. A closing tag without its opening one is skipped; whatever is open at the end is closed.
+
+    Hidden elements, and those that hold no text of the page, say nothing up to their end or that of an element around.
+    """
     page = Page()
     page.add(-1, "body", [])
-    stack = [("body", 0)]
+    depth, stack = [0], Open()
     run: list[str] = []
     links, in_link = [0, 0], 0
-    at, skip_to = 0, 0
+    at, muted, strict = 0, 0, True  # muted: place of the outermost silent element
 
     def flush():
         nonlocal run, links
         if run:
             words = html.unescape("".join(run)).split()
             if words:
-                page.add(stack[-1][1], "#text", [], " ".join(words), links[1] / max(1, links[0]))
+                page.add(stack.nodes[-1], "#text", [], " ".join(words), links[1] / max(1, links[0]))
+                depth.append(0)
             run, links = [], [0, 0]
 
     def say(s: str):
-        if s:
+        if s and not muted:
             run.append(s)
             n = len(s) - s.count(" ")
             links[0] += n
             links[1] += n * (in_link > 0)
 
-    for m in PIECE.finditer(source):
-        if m.start() < skip_to:
-            continue
-        say(source[max(at, skip_to) : m.start()])
+    def cut(to: int):
+        nonlocal muted
+        stack.cut(to)
+        muted = 0 if to <= muted else muted
+
+    while m := PIECE.search(source, at):
+        say(source[at : m.start()])
         at = m.end()
-        tag = m[2]
-        if tag is None:
+        if m[2] is None:
             continue
-        tag = tag.lower()
+        tag = m[2].lower()
         if m[1]:
+            own = stack.last(tag)
+            if muted and own >= muted:
+                cut(own)
+                continue
+            if muted and (own == 0 or tag in INLINE):
+                continue
             if tag == "a":
-                in_link = max(0, in_link - 1)
-            if tag in INLINE or tag in VOID or tag == "html":
+                in_link = 0
+            if tag in INLINE or tag in VOID or tag in ("html", "head"):
                 if tag == "br":
                     flush()
                 continue
             flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag == "p" and stack[i][0] in SCOPES:
-                    break
+            if own and (tag != "p" or own > stack.last("scope")):
+                cut(own)
             in_link = 0 if tag != "p" else in_link
             continue
-        if tag in DROPPED:
-            if m[3].rstrip().endswith("/"):
-                continue
-            if tag == "head":  # the others stand inside a line of text
-                flush()
-            end = re.compile(rf"</{tag}\b[^>]*>|\Z" if tag != "head" else r"</head\s*>|(?=<body\b)|\Z", re.I).search(source, at)
-            skip_to = at = end.end()
-            continue
-        if tag in INLINE:
-            in_link += tag == "a"
+        if tag in RAW:
+            start = at
+            at, ended = raw_end(source, tag, start, strict)
+            if not ended and tag == "script" and strict:  # rather than to lose the rest of the page
+                strict = False
+                at, _ = raw_end(source, tag, start, strict)
             continue
-        flush()
-        if tag in ("html", "body"):
+        if tag in ("html", "head", "body"):
+            if not muted:
+                flush()
             if tag == "body" and m[3]:
                 page.names[0] += words_of(m[3])[0]
             continue
         if tag in VOID:
+            if tag in ("br", "hr") and not muted:
+                flush()
+                if tag == "hr" and (to := stack.closed_by(tag)):
+                    cut(to)
+            continue
+        inline = tag in INLINE or tag in DROPPED  # these stand inside a line of text
+        names, state, hidden = words_of(m[3]) if m[3] and (not inline or HIDES.search(m[3])) else ([], "", False)
+        if muted and (around := stack.tags[muted]) in ENDED:
+            if tag in SECTIONS or around in ("svg", "math") and tag in CLOSES_P and stack.last("foreignobject") <= muted:
+                cut(muted)
+        if not inline and (to := stack.closed_by(tag)):
+            if not muted or to <= muted:
+                flush()
+            cut(to)
+        if muted or hidden or tag in DROPPED:
+            if m[3].endswith("/") and (inline or muted):
+                continue
+            if not muted:
+                if not inline:
+                    flush()
+                muted = len(stack.tags)
+            stack.push(tag, stack.nodes[-1])
+            continue
+        if inline:
+            if tag == "a":  # links do not nest; a mere anchor is none
+                in_link = int("href" in m[3].lower())
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in SCOPES:
-                    break
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in CLOSED_BY.get(tag, ()):
-                del stack[i:]
-                break
-            if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
-                break
-        names, state = words_of(m[3]) if m[3] else ([], "")
-        stack.append((tag, page.add(stack[-1][1], tag, names, state=state)))
-    say(source[max(at, skip_to) :])
+        flush()
+        above = stack.nodes[-1]
+        if depth[above] >= DEEPEST:
+            above = page.parent[above]
+        stack.push(tag, page.add(above, tag, names, state=state))
+        depth.append(depth[above] + 1)
+    say(source[at:])
     flush()
     return page
 
 
-def words_of(attributes: str) -> tuple[list[str], str]:
-    """Words of class, id and role, and the label of a training page."""
-    out, state = [], ""
-    for m in NAMED.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        if m[1].lower() == "data-state":
-            state = value
-        else:
+def words_of(attributes: str) -> tuple[list[str], str, bool]:
+    """Words of class, id and role, the label of a training page, and whether the element is hidden."""
+    out, state, hidden = [], "", False
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id", "role"):
             out += [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", value)]
-    if HIDDEN.search(attributes):
-        out.append("hidden")
-    return out, state
+        elif name == "data-state":
+            state = value
+        elif name == "hidden":
+            hidden |= value.lower() != "until-found"
+        elif name == "style":
+            hidden |= UNSEEN.search(value) is not None
+    return out, state, hidden
 
 
 BITS = 12
@@ -281,7 +365,8 @@ def extract(pages: list[str | None], model: Model, at_least: float = 0.5) -> lis
 def main_text(pages: DataFrame, model: Model, id_col: str = "page_id", html_col: str = "html", block_pages: int = 128) -> DataFrame:
     """``(id, text, n_chars)`` for every row: whole pages, nothing capped.
 
-    The key may be any column, a struct too. Null, empty and textless pages give an empty text. Repeated rows and null ids keep their row, an empty table gives
+    The key may be any column, a struct too. Null, empty and textless pages give an empty text; hidden elements, scripts and
+    comments give none, and what an unclosed tag or comment holds to the page's end is no text, as in browsers. Repeated rows and null ids keep their row, an empty table gives
     no rows, other columns are ignored.
     """
     key = pages.select(id_col).schema[0].dataType
@@ -398,8 +483,9 @@ def labelled_pages(n: int = 400, seed: int = 1) -> list[str]:
             body = f'<div data-state="content">{title}{inside}</div>'
         parts = [*kinds(["nav", "header", "notice", "ad", "form"], 4), body, *kinds(["comments", "footer", "aside", "share", "nav", "ad", "notice"], 4)]
         text = "".join(parts)
-        if rng.random() < 0.4:
-            text = f'<div{attrs(["wrapper", "container", "page", "site", "layout"])}>{text}</div>'
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
+            wrap = rng.choice(["div", "div", "section", "x-" + rng.choice("abcd")])
+            text = f"<{wrap}{attrs(['wrapper', 'container', 'page', 'site', 'layout'])}>{text}</{wrap}>"
         out.append(f"<html><head><title>{words(2, 6)}</title><style>p{{margin:0}}</style></head><body>{text}</body></html>")
     return out
 
