@@ -34,6 +34,18 @@ def widths(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for columns of one's own that no column of ``df`` has, whatever its case."""
+    used, out = {c.lower() for c in df.columns}, []
+    for w in wanted:
+        name = f"_{w}"
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges(src, dst)`` as ``(node, root)``, root the least node.
 

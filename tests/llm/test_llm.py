@@ -14,6 +14,7 @@ from ringlake.llm import decontaminate, html_text, imatch, language, licenses, l
 from ringlake.llm import spaces
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+KEY = "a key of the tests"
 ODD = [(None, "no id"), (1, None), (2, ""), (3, " \n\t "), (4, "word"), (4, "word"), (5, "... 123 !!"), (6, "Ünïcode wörds ß " * 3000)]
 
 
@@ -149,7 +150,7 @@ def test_tiles_do_not_overlap():
 def test_surrogates(spark):
     rows = [(1, "mail Anna.Meier7@corp.example.org or anna.meier7@corp.example.org, 4111 1111 1111 1111 and 4111111111111111"), (2, "call +1 (017) 555-7713 from 10.2.3.4, key deadbeefdeadbeefdeadbeefdeadbeef"), (3, "Frau Müller und Herr Müller; Dr. Иван Петров"), (4, "version 2.0. released 1999"), *FAR]
     d = docs(spark, rows)
-    got = {r.doc_id: r for r in pii.replaced(d).collect()}
+    got = {r.doc_id: r for r in pii.replaced(d, KEY).collect()}
     assert got[4].text == rows[3][1] and not got[4]._found and got[101].text is None and got[102].text == ""
     a = got[1].text
     mails, cards = re.findall(r"\S+@[\w.]+", a), re.findall(r"\d{16}", a.replace(" ", ""))
@@ -157,9 +158,9 @@ def test_surrogates(spark):
     assert re.search(r"\d{4} \d{4} \d{4} \d{4}", a)
     assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4} from \d+\.\d+\.\d+\.\d+, key [0-9a-f]{32}$", got[2].text) and "7713" not in got[2].text
     f = re.match(r"Frau (\S+) und Herr (\S+); Dr\. (\S+ \S+)$", got[3].text)
-    assert f and f[1] != f[2] and re.search("[а-я]", f[3])
+    assert f and f[1] == f[2] != "Müller" and re.search("[а-я]", f[3])
     assert got[106].text == ODD[-1][1] and got[1].fp == "x"
-    again = {r.doc_id: r.text for r in pii.replaced(d).collect()}
+    again = {r.doc_id: r.text for r in pii.replaced(d, KEY).collect()}
     assert all(again[i] == got[i].text for i in (1, 2, 3))
 
 
@@ -167,7 +168,7 @@ def test_secrets_of_any_length_and_without_digits(spark):
     rng = random.Random(3)
     keys = ["sk-proj-" + "".join(rng.choice("abcdefghXYZ0123_-") for _ in range(160)) + "k", "".join(rng.choice("0123456789abcdef") for _ in range(256)), "AKIA" + "QWERTYUIOPASDFGH", "deadbeef" * 4, "f" * 700]
     rows = [(i, f"the key {k} here") for i, k in enumerate(keys)]
-    for r in pii.replaced(docs(spark, rows)).collect():
+    for r in pii.replaced(docs(spark, rows), KEY).collect():
         lead, _, rest = r.text.partition("the key ")
         new = rest.removesuffix(" here")
         assert [f.kind for f in r._found] == ["secret"] and lead == "" and new != keys[r.doc_id] and len(new) == len(keys[r.doc_id])
@@ -180,12 +181,6 @@ def test_digit_permutation_is_one_to_one(spark):
     assert got.distinct().count() == 1000 and got.where("length(p) <> 3").count() == 0
 
 
-def test_clashes_take_the_next_draw(spark):
-    names = spark.createDataFrame([("name", f"Dr. A{c}b", f"Dr. A{c}b") for c in "cdefghijklmnop"], "kind string, canon string, form string")
-    late = pii.draws(names, "k")
-    assert late is None or late.count() < 14
-
-
 def test_mixing(spark, corpus):
     rng = random.Random(4)
     rows = [(i, prose(rng, rng.randint(1, 9)), rng.choice(["a", "b", "c", None])) for i in range(2000)] + [(None, None, "a"), (5000, "", "d")]
@@ -369,7 +364,7 @@ def test_near_copies_equal_brute_force_jaccard(spark):
 def test_empty_tables(spark):
     none = docs(spark, ODD).limit(0)
     assert near_dedup.near_components(none).count() == 0 and near_dedup.one_of_each(none).count() == 0
-    assert substring_dedup.cut_repeats(none).count() == 0 and pii.replaced(none).count() == 0
+    assert substring_dedup.cut_repeats(none).count() == 0 and pii.replaced(none, KEY).count() == 0
     assert imatch.with_edited(none, imatch.lexicon(none)).count() == 0 and licenses.licences(none).count() == 0
 
 
