@@ -26,8 +26,8 @@ def drop_benchmark_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def replace_private_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private data becomes surrogates; ``n_chars`` follows the text."""
-    found = pii.replaced(docs).drop("_found")
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = pii.replaced(docs, pii.session_key(spark), found_col=None)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
