@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK = 1 << 20
 U = np.uint64
@@ -29,12 +30,50 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+#: Masks that keep the first 0 to 8 bytes of a little-endian block.
+FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
+
+
+def hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte ranges, eight bytes at a time through the finaliser.
+
+    No polynomial of the bytes: sums modulo 2**64 are equal for some long words whatever the base."""
+    out = mix((end - start).astype(U), seed)
+    block = np.lib.stride_tricks.as_strided(np.concatenate([buf, np.zeros(8, np.uint8)]), (len(buf) + 1, 8), (1, 1))
+    long = np.flatnonzero(end - start > 4096)
+    live, at = np.flatnonzero((end > start) & (end - start <= 4096)), 0
+    while len(live):
+        pos = start[live] + at
+        left = end[live] - pos
+        own = np.ascontiguousarray(block[pos]).view("<u8").ravel() & FIRST[np.minimum(left, 8)]
+        out[live] = mix(out[live] ^ own, seed + 1)
+        live, at = live[left > 8], at + 8
+    for i in long:
+        out[i] ^= U(xxhash.xxh3_64_intdigest(buf[start[i] : end[i]], seed))
+    return out
+
+
+def spaced(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words with one space after each, and where each begins (and the last one's end)."""
+    to = np.concatenate([[0], np.cumsum(end - start + 1)])
+    flat = np.full(to[-1], 32, np.uint8)
+    keep = np.ones(to[-1], bool)
+    keep[to[1:] - 1] = False
+    flat[keep] = buf[~SPACE[buf]]
+    return flat.tobytes(), to
+
+
+def digests(flat: bytes, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """128-bit digests of byte ranges, as two columns."""
+    h = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([h(flat[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)]), np.int64).reshape(-1, 2).copy()
+
+
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any span of a sequence, from one running sum (Karp-Rabin)."""
+    """Hashes of any span of a sequence of hashes, polynomials modulo 2**64 from one running sum (Karp-Rabin)."""
 
     def __init__(self, seed: int):
         self.seed = seed
-        self.byte = mix(np.arange(256, dtype=U), seed)
         base = int(mix(np.array([seed + 77], U))[0]) | 1
         self.base, self.back = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, U)

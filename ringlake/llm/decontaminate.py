@@ -20,11 +20,11 @@ from ringlake.llm import bytescan as B
 from ringlake.llm.spaces import table
 
 
-def tokens(buf: np.ndarray, off: np.ndarray, rolling: B.Rolling):
+def tokens(buf: np.ndarray, off: np.ndarray):
     """Lower-cased runs of letters and digits: hashes, rows' first tokens, starts and ends."""
     low = B.lowered(buf)
     start, end, first = B.runs(B.letters(low) | ((low >= 48) & (low <= 57)), off)
-    return rolling.spans(rolling.sums(rolling.byte[low]), start, end), first, start, end
+    return B.hashes(low, start, end, 21), first, start, end
 
 
 def matches(p: np.ndarray, q: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -67,7 +67,7 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str | None], least: int):
         r = B.Rolling(21)
-        h, first, _, _ = tokens(*B.text_bytes(pa.array(texts, pa.string())), r)
+        h, first, _, _ = tokens(*B.text_bytes(pa.array(texts, pa.string())))
         self.ids, self.least, self.size = np.array(ids, np.int64), least, np.diff(first)
         seeds = r.windows(h, least)
         row = B.row_of(first)
@@ -89,7 +89,7 @@ class Items:
 def leaks(buf: np.ndarray, off: np.ndarray, items: Items, rolling: B.Rolling, coverage: float):
     """``(row, item, tiles, token starts, token ends)`` of the pairs whose coverage reaches the threshold."""
     least = items.least
-    h, first, start, end = tokens(buf, off, rolling)
+    h, first, start, end = tokens(buf, off)
     p, s = items.hits(rolling.windows(h, least))
     row = B.row_of(first)
     ok = row[p] == row[p + least - 1] if len(p) else np.zeros(0, bool)

@@ -13,21 +13,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import bytescan as B
-from ringlake.llm.spaces import table, widths
+from ringlake.llm.spaces import staged, table, widths
 
 LEVELS, EACH = 10, 8
 SUBSETS = LEVELS * EACH
 
 
-def terms(buf: np.ndarray, off: np.ndarray, rolling: B.Rolling) -> tuple[np.ndarray, np.ndarray]:
+def terms(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct lower-cased letter runs of every row, sorted: 64-bit hashes and their rows."""
     start, end, first = B.runs(B.letters(buf), off)
-    h = rolling.spans(rolling.sums(rolling.byte[B.lowered(buf)]), start, end)
+    h = B.hashes(B.lowered(buf), start, end, 31)
     row = B.row_of(first)
     order = np.argsort(h)
     order = order[np.argsort(row[order], kind="stable")]
@@ -44,14 +45,14 @@ def document_frequency(docs: DataFrame, text_col: str = "text") -> DataFrame:
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, held, size = B.Rolling(31), [], 0
+        held, size = [], 0
 
         def merged():
             key, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
             return key, np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
 
         for _, buf, off in B.cut(batches):
-            key, n = np.unique(terms(buf, off, rolling)[0], return_counts=True)
+            key, n = np.unique(terms(buf, off)[0], return_counts=True)
             held.append((key, n))
             size += len(key)
             if size > 2_000_000:
@@ -127,7 +128,7 @@ class Printer:
 
     def prints(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         rows = len(off) - 1
-        h, row = terms(buf, off, self.rolling)
+        h, row = terms(buf, off)
         at = np.searchsorted(self.term, h)
         inside = np.zeros(len(h), bool)
         if len(self.term):
@@ -167,7 +168,8 @@ def shown(p: tuple) -> list[str]:
 
 
 def fingerprints(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fingerprint)`` for every row; null counts as empty, and rows without letters print alike."""
+    """``(id, fingerprint)`` for every row; null counts as empty, and rows without letters print alike. Repeated rows and null ids
+    keep their row, an empty table gives no rows, other columns are ignored."""
     schema = pa.schema([("id", pa.int64()), ("fingerprint", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,35 +180,42 @@ def fingerprints(docs: DataFrame, lex: Lexicon, id_col: str = "doc_id", text_col
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, fingerprint string")
 
 
-def in_order_with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def in_order_with_next(docs: DataFrame, id_col: str, text_col: str, slice_bytes: int = 128 << 20) -> DataFrame:
     """``(slice, guest, id, mark, text)`` dealt to one partition a slice, in ascending id; each slice ends with a guest, the
-    first row of the next slice, so that every row's successor follows it. Rows with one id go by their text's hash."""
+    first row of the next slice, so that every row's successor follows it. Rows with one id go by their text's hash.
+
+    Slices are ranges of (id, hash), as many as ``slice_bytes`` asks for, so that they do not grow with the table and null or
+    repeated ids spread over them. The driver holds one row a slice.
+    """
     least = -(1 << 63)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(least)).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
-    n = min(4096, 2 * widths(docs.sparkSession))
-    cuts = rows.agg(F.percentile_approx("id", F.array(*[F.lit(i / n) for i in range(1, n)]), 100_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    where = _bisect("id", cuts)
-    rows = rows.withColumn("slice", where.cast("int"))
-    heads = {r[0]: r[1] for r in rows.groupBy("slice").agg(F.min(F.struct("id", "mark"))).collect()}
-    order = sorted(heads)
-    pairs = [(b, heads[order[(i + 1) % len(order)]].id, heads[order[(i + 1) % len(order)]].mark) for i, b in enumerate(order)]
-    if not pairs:
-        return rows.select("slice", F.lit(False).alias("guest"), "id", "mark", "text")
-    ends = docs.sparkSession.createDataFrame(pairs, "to int, id long, mark long")
-    guests = rows.where(F.col("id").isin([p[1] for p in pairs])).join(F.broadcast(ends), ["id", "mark"]).dropDuplicates(["to"]).select(F.col("to").alias("slice"), F.lit(True).alias("guest"), "id", "mark", "text")
-    return rows.select("slice", F.lit(False).alias("guest"), "id", "mark", "text").union(guests).repartitionById(len(cuts) + 1, F.col("slice")).sortWithinPartitions("slice", "guest", "id", "mark")
-
-
-def _bisect(name: str, cuts: list[int]):
-    """How many of the sorted ``cuts`` are at most the column."""
-    def of(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(name) >= F.lit(cuts[mid]).cast("long"), of(mid + 1, hi)).otherwise(of(lo, mid))
-
-    return of(0, len(cuts))
+    light = staged(rows.select("id", "mark", F.octet_length("text").alias("size")), "order")
+    total = light.agg(F.coalesce(F.sum(F.col("size") + 16), F.lit(0))).first()[0]
+    n = max(2 * widths(docs.sparkSession), -(-total // slice_bytes))
+    dealt = light.select("id", "mark").repartitionByRange(n, "id", "mark").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("id", "mark")).alias("at"))
+    heads = sorted((r.at.id, r.at.mark) for r in dealt.collect())
+    if not heads:
+        return rows.select(F.lit(0).alias("slice"), F.lit(False).alias("guest"), "id", "mark", "text")
+    ids, marks = (np.array([h[j] for h in heads], np.int64) for j in range(2))
+
+    def place(i: pd.Series, m: pd.Series) -> pd.DataFrame:
+        """The last head at or before each row, and whether it is that row."""
+        i, m = i.to_numpy(), m.to_numpy()
+        lo, hi = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
+        at = lo.copy()
+        for x in np.unique(i[lo < hi]):  # ids that heads have: by the hash
+            own = np.flatnonzero(i == x)
+            a, b = lo[own[0]], hi[own[0]]
+            at[own] = a + np.searchsorted(marks[a:b], m[own], "right")
+        at -= 1
+        return pd.DataFrame({"slice": at.astype(np.int32), "head": (ids[at] == i) & (marks[at] == m)})
+
+    put = F.pandas_udf(place, "struct<slice:int,head:boolean>")("id", "mark")
+    spot = lambda s, guest: F.struct(s.alias("slice"), F.lit(guest).alias("guest"))
+    own = spot(F.col("put.slice"), False)
+    before = spot(F.pmod(F.col("put.slice") - 1, F.lit(len(heads))), True)
+    spread = rows.withColumn("put", put).select(F.inline(F.when(F.col("put.head"), F.array(own, before)).otherwise(F.array(own))), "id", "mark", "text")
+    return spread.repartitionById(len(heads), F.col("slice")).sortWithinPartitions("slice", "guest", "id", "mark")
 
 
 def edited_bytes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,8 +5,10 @@ one: consecutive edges that share a minimiser (the least hash among their ``seed
 and paths meet by minimiser through Spark joins. Every occurrence of an edge lies at the same place of a path with
 the same minimiser, so an edge can only repeat among paths of its minimiser. Where all paths of a minimiser are the
 same words, the graph does not branch there and the path is repeated as a whole. Where they differ, it branches;
-one source coordinate of each distinct path is looked up in its text again, and its edges are settled singly by
-128-bit hashes. Repeated paths and edges of a document compact into maximal spans, which are cut from its text.
+one source coordinate of each distinct path is looked up in its text again, and its edges are settled singly.
+Rolling hashes only choose the minimisers. What counts as the same words is verified on the words that stand at the
+source coordinates, by 128-bit digests of a whole path or edge. Repeated paths and edges of a document compact into
+maximal spans, which are cut from its text.
 """
 
 from __future__ import annotations
@@ -34,82 +36,78 @@ def _leftmost_min(a: np.ndarray, w: int) -> np.ndarray:
     return p
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray, rolling: B.Rolling) -> tuple[np.ndarray, np.ndarray]:
-    start, end, first = B.words(buf, off)
-    return rolling.spans(rolling.sums(rolling.byte[buf]), start, end), first
-
-
-def paths_of(h: np.ndarray, first: np.ndarray, window: int, seed: int, rolling: B.Rolling):
-    """Runs of windows with one minimiser: (minimiser, content hash, row, first window in the row, windows)."""
-    none = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 3)
-    if len(h) < window:
+def paths_of(buf: np.ndarray, off: np.ndarray, window: int, seed: int, rolling: B.Rolling):
+    """Runs of windows with one minimiser: (minimiser, digest of the words, row, first window in the row, windows)."""
+    begin, end, first = B.words(buf, off)
+    none = (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), *(np.zeros(0, np.int64),) * 3)
+    if len(begin) < window:
         return none
     row = B.row_of(first)
-    n = len(h) - window + 1
-    valid = row[:n] == row[window - 1 :]
-    at = np.flatnonzero(valid)
+    n = len(begin) - window + 1
+    at = np.flatnonzero(row[:n] == row[window - 1 :])
     if not len(at):
         return none
-    grams = rolling.windows(h, seed)
+    grams = rolling.windows(B.hashes(buf, begin, end, 1), seed)
     low = _leftmost_min(grams, window - seed + 1)[at]
     fresh = np.ones(len(at), bool)
     fresh[1:] = (low[1:] != low[:-1]) | (row[at[1:]] != row[at[:-1]])
     head = np.flatnonzero(fresh)
     count = np.diff(np.append(head, len(at)))
     start = at[head]
-    sums = rolling.sums(h)
-    content = rolling.spans(sums, start, start + count + window - 1) ^ B.mix(low[head].astype(np.uint64) - start.astype(np.uint64), 3)
+    flat, to = B.spaced(buf, begin, end)
+    content = B.digests(flat, to[start], to[start + count + window - 1])
+    # the minimiser's place belongs to the path: the same words about another place are another path
+    content[:, 1] ^= B.mix(low[head].astype(np.uint64) - start.astype(np.uint64), 3).view(np.int64)
     return grams[low[head]], content, row[start], start - first[row[start]], count
 
 
 def repeated_spans(rows: DataFrame, window: int = 35, seed: int = 12) -> DataFrame:
     """``(doc, mark, spans array<struct<start, n>>)``: runs of repeated windows in ``rows(doc, mark, text)``.
 
-    ``mark`` tells apart rows that share an id; rows equal in both are the same text and both count as sources.
+    ``mark`` tells apart rows that share an id; rows equal in both are the same text and both count as sources, but their
+    spans are held once.
     """
-    schema = pa.schema([("mini", pa.int64()), ("content", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("n", pa.int16())])
+    schema = pa.schema([("mini", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("n", pa.int16())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = B.Rolling(1)
         for part, buf, off in B.cut(batches):
-            h, first = word_hashes(buf, off, rolling)
-            mini, content, row, start, n = paths_of(h, first, window, seed, rolling)
+            mini, content, row, start, n = paths_of(buf, off, window, seed, rolling)
             row = pa.array(row)
-            yield B.batch_of(schema, mini=mini.view(np.int64), content=content.view(np.int64), doc=part.column(0).take(row), mark=part.column(1).take(row), start=start.astype(np.int32), n=n.astype(np.int16))
+            yield B.batch_of(schema, mini=mini.view(np.int64), c1=content[:, 0], c2=content[:, 1], doc=part.column(0).take(row), mark=part.column(1).take(row), start=start.astype(np.int32), n=n.astype(np.int16))
 
-    paths = rows.mapInArrow(scan, "mini long, content long, doc long, mark long, start int, n smallint")
+    paths = rows.mapInArrow(scan, "mini long, c1 long, c2 long, doc long, mark long, start int, n smallint")
     # written out, so that the join below stands between two plain exchanges and a minimiser with very many rows can be split
-    met = staged(paths.groupBy("mini").agg(F.count("*").alias("k"), F.min("content").alias("a"), F.max("content").alias("b")).where("k > 1").select("mini", (F.col("a") != F.col("b")).alias("branches")), "minimisers")
+    met = staged(paths.groupBy("mini").agg(F.count("*").alias("k"), *[f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in ("c1", "c2")]).where("k > 1").selectExpr("mini", "minc1 <> maxc1 or minc2 <> maxc2 as branches"), "minimisers")
     shared = staged(paths.join(met, "mini"), "paths")
     whole = shared.where("not branches").select("doc", "mark", "start", "n")
 
     forks = shared.where("branches")
     # written out for the same reason, as are the edges met twice
-    distinct = staged(forks.groupBy("mini", "content").agg(F.count("*").alias("k"), F.min(F.struct("doc", "mark", "start", "n")).alias("at")), "distinct")
-    often = forks.join(distinct.where("k > 1").select("mini", "content"), ["mini", "content"], "left_semi").select("doc", "mark", "start", "n")
+    distinct = staged(forks.groupBy("mini", "c1", "c2").agg(F.count("*").alias("k"), F.min(F.struct("doc", "mark", "start", "n")).alias("at")), "distinct")
+    often = forks.join(distinct.where("k > 1").select("mini", "c1", "c2"), ["mini", "c1", "c2"], "left_semi").select("doc", "mark", "start", "n")
     todo = distinct.select("at.*", "k").groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n", F.least("k", F.lit(2)).cast("int").alias("k"))).alias("todo"))
     edge_schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("mark", pa.int64()), ("start", pa.int32()), ("k", pa.int32())])
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r1, r2 = B.Rolling(1), B.Rolling(2)
         for part, buf, off in B.cut(batches):
-            h, first = word_hashes(buf, off, r1)
-            g, _ = word_hashes(buf, off, r2)
+            word, end, first = B.words(buf, off)
             spans = part.column(part.schema.get_field_index("todo"))
             at, todo = np.asarray(spans.offsets), spans.values
             row = np.repeat(np.arange(part.num_rows), np.diff(at))
             begin, n, k = (np.asarray(todo.field(i))[at[0] : at[-1]] for i in range(3))
             w = np.repeat(begin.astype(np.int64), n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             own = np.repeat(row, n)
-            x, s1, s2 = w + first[own], r1.sums(h), r2.sums(g)
+            x = w + first[own]
+            flat, to = B.spaced(buf, word, end)
+            found = B.digests(flat, to[x], to[x + window])
             own = pa.array(own)
-            yield B.batch_of(edge_schema, h1=r1.spans(s1, x, x + window).view(np.int64), h2=r2.spans(s2, x, x + window).view(np.int64),
-                             doc=part.column(0).take(own), mark=part.column(1).take(own), start=w.astype(np.int32), k=np.repeat(k, n))
+            yield B.batch_of(edge_schema, h1=found[:, 0], h2=found[:, 1], doc=part.column(0).take(own), mark=part.column(1).take(own), start=w.astype(np.int32), k=np.repeat(k, n))
 
     single = staged(rows.join(todo, ["doc", "mark"]).select("doc", "mark", "text", "todo").mapInArrow(edges, "h1 long, h2 long, doc long, mark long, start int, k int"), "edges")
     twice = staged(single.groupBy("h1", "h2").agg(F.sum("k").alias("all")).where("all > 1").select("h1", "h2"), "twice")
     settled = single.where("k = 1").join(twice, ["h1", "h2"], "left_semi").select("doc", "mark", "start", F.lit(1).cast("smallint").alias("n"))
-    return whole.union(often).union(settled).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return whole.union(often).union(settled).groupBy("doc", "mark").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, with_text: bool = False) -> DataFrame:

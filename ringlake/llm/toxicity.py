@@ -33,15 +33,15 @@ class Scorer:
     bias: float
 
 
-def sentences(buf: np.ndarray, off: np.ndarray, rolling: B.Rolling, bits: int):
+def sentences(buf: np.ndarray, off: np.ndarray, bits: int):
     """Distinct hashed words of every sentence with a letter: sentence starts, ends, rows' first sentences, words, their sentences."""
     start, end, first = B.runs(B.letters(buf), off)
     if not len(start):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(off), np.int64), z, z
-    sums = rolling.sums(rolling.byte[B.lowered(buf)])
-    word = (rolling.spans(sums, start, end) >> np.uint64(64 - bits)).astype(np.int64)
-    stem = (B.mix(rolling.spans(sums, start, np.minimum(end, start + STEM)), 9) >> np.uint64(64 - bits)).astype(np.int64)
+    low = B.lowered(buf)
+    word = (B.hashes(low, start, end, 5) >> np.uint64(64 - bits)).astype(np.int64)
+    stem = (B.hashes(low, start, np.minimum(end, start + STEM), 9) >> np.uint64(64 - bits)).astype(np.int64)
     # a sentence ends at stop bytes that a space, a line or the row's end follows
     stop = STOPS[buf]
     nxt = np.ones(len(buf), bool)
@@ -63,9 +63,9 @@ def train(texts: list[str], label: np.ndarray, bits: int = 18, rounds: int = 60,
     if len(label) == 0 or label.min() == label.max():
         scorer.bias = 0.0 if len(label) == 0 else (6.0 if label[0] else -6.0)
         return scorer
-    rolling, bags, words, sents, rows, many = B.Rolling(5), [], [], [], 0, 0
+    bags, words, sents, rows, many = [], [], [], 0, 0
     for part, buf, off in B.cut(iter([pa.record_batch({"text": pa.array(texts, pa.string())})])):
-        _, _, first, word, sent = sentences(buf, off, rolling, bits)
+        _, _, first, word, sent = sentences(buf, off, bits)
         bags.append(B.row_of(first) + rows)
         words.append(word.astype(np.int32))
         sents.append((sent + many).astype(np.int32))
@@ -98,9 +98,9 @@ def train(texts: list[str], label: np.ndarray, bits: int = 18, rounds: int = 60,
     return scorer
 
 
-def score_rows(buf: np.ndarray, off: np.ndarray, scorer: Scorer, rolling: B.Rolling):
+def score_rows(buf: np.ndarray, off: np.ndarray, scorer: Scorer):
     """Bag scores, and each row's worst sentence: its score and byte span."""
-    start, end, first, word, sent = sentences(buf, off, rolling, scorer.bits)
+    start, end, first, word, sent = sentences(buf, off, scorer.bits)
     n = len(off) - 1
     z = scorer.bias + np.bincount(sent, weights=scorer.weight[word], minlength=len(start))
     p = 1 / (1 + np.exp(-z))
@@ -122,9 +122,8 @@ def toxicity(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col:
     schema = pa.schema([("id", pa.int64()), ("score", pa.float64()), ("worst_score", pa.float64()), ("worst_start", pa.int64()), ("worst_end", pa.int64()), ("worst_sentence", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = B.Rolling(5)
         for part, buf, off in B.cut(batches):
-            score, p, worst, start, end = score_rows(buf, off, scorer, rolling)
+            score, p, worst, start, end = score_rows(buf, off, scorer)
             none = worst < 0
             at = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
             a = np.where(none, 0, start[np.maximum(worst, 0)] if len(start) else 0)

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ringlake.llm import decontaminate, html_text, imatch, language, licenses, linear, mixing, near_dedup, pii, substring_dedup, toxicity
+from ringlake.llm import bytescan, decontaminate, html_text, imatch, language, licenses, linear, mixing, near_dedup, pii, substring_dedup, toxicity
 from ringlake.llm import spaces
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,6 +96,39 @@ def test_substring_cut(spark, corpus, window):
     assert got == want
 
 
+def thue_morse(n, x, y):
+    s = [0]
+    while len(s) < n:
+        s += [1 - b for b in s]
+    return "".join((x, y)[b] for b in s[:n])
+
+
+def test_words_that_polynomials_confuse_stay_apart(spark):
+    """Thue-Morse words collide under every polynomial modulo 2**64."""
+    odd = [thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")]
+    lead, rest = prose(random.Random(1), 19), prose(random.Random(2), 20)
+    got = {r.id: r.n_removed for r in substring_dedup.cut_repeats(docs(spark, [(i, f"{lead} {w} {rest}") for i, w in enumerate(odd)]), window=35).collect()}
+    assert got == {0: 0, 1: 0}
+    buf = np.frombuffer(" ".join(odd).encode(), np.uint8)
+    assert len(set(bytescan.hashes(buf, np.array([0, 2049]), np.array([2048, 4097])).tolist())) == 2
+
+
+def test_hashes_depend_on_the_bytes_alone():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abé ") for _ in range(rng.choice([0, 1, 7, 8, 9, 16, 40, 5000]))) for _ in range(300)] * 2
+    raw = [w.encode() for w in words]
+    end = np.cumsum([len(w) for w in raw])
+    h = bytescan.hashes(np.frombuffer(b"".join(raw), np.uint8), end - [len(w) for w in raw], end, 4).tolist()
+    assert len(set(zip(raw, h))) == len(set(raw)) == len(set(h))
+
+
+def test_many_copies_of_one_row(spark):
+    """Repeated rows of one id and text: every one loses all its windows, in linear work."""
+    text = prose(random.Random(4), 200)
+    got = substring_dedup.cut_repeats(docs(spark, [(None, text)] * 60 + [(1, text)] * 40), window=35).collect()
+    assert len(got) == 100 and {r.n_removed for r in got} == {200}
+
+
 def test_imatch(spark, corpus):
     d = docs(spark, corpus)
     lex = imatch.lexicon(d, least=0.01, most=0.5)
@@ -114,11 +147,30 @@ def test_imatch(spark, corpus):
     assert sum(df.values()) == sum(len({w for w in re.findall(r"[^\W\d_]+", (t or "").lower())}) for _, t in corpus)
 
 
+def test_imatch_slices_follow_the_bytes(spark):
+    """Small slices over null and repeated ids: every row's successor is the next by id and text hash."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, 3, i]), prose(rng, rng.randint(1, 30))) for i in range(120)] + [(3, "same text")] * 4
+    d = docs(spark, rows)
+    dealt = imatch.in_order_with_next(d, "doc_id", "text", slice_bytes=700)
+    parts = dealt.select(F.spark_partition_id().alias("p"), "*").collect()
+    assert len({r.p for r in parts}) > 8
+    key = {(i, t): (i if i is not None else -(1 << 63), m) for i, t, m in d.select("doc_id", "text", F.xxhash64("text")).collect()}
+    order = sorted((key[i, t], t) for i, t in rows)
+    follows = {(a, b) for (_, a), (_, b) in zip(order, order[1:] + order[:1])}
+    seen = []
+    for a, b in zip(parts, parts[1:] + parts[-1:]):
+        if not a.guest:
+            assert a.p == b.p and (a.text, b.text) in follows
+            seen.append(a.text)
+    assert sorted(seen) == sorted(t for _, t in rows)
+
+
 def test_prints_compare_across_the_switch_of_terms():
     words = "alpha bravo charlie delta echo foxtrot golf hotel".split()
     rest = prose(random.Random(6), 40)
     read = lambda *t: (np.frombuffer("".join(t).encode(), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in t])]))
-    band = np.unique(imatch.terms(*read(" ".join(words)), imatch.B.Rolling(31))[0])
+    band = np.unique(imatch.terms(*read(" ".join(words)))[0])
     p = imatch.Printer(imatch.Lexicon(band)).prints(*read(" ".join(words) + " " + rest, " ".join(words[:7]) + " " + rest, prose(random.Random(9), 40).upper().replace("A", "xyz"), "12 34"))
     assert p[0].tolist() == [2, 1, 1, 0]
     first = tuple(x[[0, 0, 0]] for x in p)
