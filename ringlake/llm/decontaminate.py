@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import bytescan as B
-from ringlake.llm.spaces import table
+from ringlake.llm.spaces import free_names, staged, table
 
 
 def tokens(buf: np.ndarray, off: np.ndarray):
@@ -75,6 +76,11 @@ class Items:
         at = np.flatnonzero(ok)
         at = at[np.argsort(seeds[at], kind="stable")]
         self.seed, self.item, self.pos = seeds[at], row[at], at - first[row[at]]
+        # items too short for a seed match whole texts only
+        sums, short = r.sums(h), np.flatnonzero((self.size > 0) & (self.size < least))
+        self.short: dict[int, list[int]] = {}
+        for x, i in zip(r.spans(sums, first[short], first[short + 1]).tolist(), short.tolist(), strict=True):
+            self.short.setdefault(x, []).append(i)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.seed >> np.uint64(44)).astype(np.int64)] = True
 
@@ -90,6 +96,11 @@ def leaks(buf: np.ndarray, off: np.ndarray, items: Items, rolling: B.Rolling, co
     """``(row, item, tiles, token starts, token ends)`` of the pairs whose coverage reaches the threshold."""
     least = items.least
     h, first, start, end = tokens(buf, off)
+    if items.short:
+        some = np.flatnonzero((np.diff(first) > 0) & (np.diff(first) < least))
+        for i, x in zip(some.tolist(), rolling.spans(rolling.sums(h), first[some], first[some + 1]).tolist(), strict=True):
+            for item in items.short.get(x, ()):
+                yield i, item, [(int(items.size[item]), int(first[i]), 0)], start, end
     p, s = items.hits(rolling.windows(h, least))
     row = B.row_of(first)
     ok = row[p] == row[p + least - 1] if len(p) else np.zeros(0, bool)
@@ -108,30 +119,41 @@ def leaks(buf: np.ndarray, off: np.ndarray, items: Items, rolling: B.Rolling, co
             yield int(row[p[a]]), item, found, start, end
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list]:
-    """The benchmark in blocks of at most about ``block_chars`` characters, each collected by itself."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[int, Iterator[list]]:
+    """How many blocks of at most about ``block_chars`` characters the benchmark has, and each, collected by itself."""
+    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("i"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("t"))
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     k = max(1, -(-2 * total // block_chars)) if total > block_chars else 1
-    for b in range(k):
-        yield (items.where(F.pmod(F.xxhash64("i", "t"), F.lit(k)) == b) if k > 1 else items).orderBy("i", "t").collect()
+    return k, ((items.where(F.pmod(F.xxhash64("i", "t"), F.lit(k)) == b) if k > 1 else items).orderBy("i", "t").collect() for b in range(k))
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, block_chars: int, of, schema) -> list[DataFrame]:
+    """``of(seen)`` applied to ``docs`` for each block of the benchmark, broadcast as ``seen``. Of several blocks each is scanned,
+    its rows are written and its broadcast is dropped before the next one comes, so that one block is held at a time."""
+    count, blocks = _blocks(benchmark, item_id, item_text, block_chars)
+    out = []
+    for block in blocks:
+        seen = docs.sparkSession.sparkContext.broadcast(([r.i for r in block], [r.t for r in block]))
+        got = docs.mapInArrow(of(seen), schema)
+        if count > 1:
+            got = staged(got, "leaks")
+            seen.unpersist()
+        out.append(got)
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 5, coverage: float = 0.6, block_chars: int = 16_000_000) -> DataFrame:
     """``(id, item_id, item_tokens, covered, coverage, tiles, first_start, last_end)`` for each document row and item
     whose coverage reaches the threshold; the offsets are code points of the document.
 
-    Items under ``least`` tokens cannot match. Null and empty texts match nothing; repeated rows, ties and null ids keep
-    their rows; either table may be empty; further columns of both are ignored. The benchmark is broadcast in blocks
-    of at most about ``block_chars`` characters, one scan of the documents each.
+    Items under ``least`` tokens match a document whose tokens are the item's and no others. Null and empty texts match
+    nothing; repeated rows, ties and null ids keep their rows; either table may be empty; further columns of both are ignored.
+    The benchmark is broadcast in blocks of at most about ``block_chars`` characters, one scan of the documents each.
     """
     schema = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("item_tokens", pa.int64()), ("covered", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.int64()), ("first_start", pa.int64()), ("last_end", pa.int64())])
-    ddl = "id long, item_id long, item_tokens long, covered long, coverage double, tiles long, first_start long, last_end long"
-    out = None
-    for block in _blocks(benchmark, item_id, item_text, block_chars):
-        seen = docs.sparkSession.sparkContext.broadcast(([r.i for r in block], [r.t for r in block]))
 
-        def scan(batches: Iterator[pa.RecordBatch], seen=seen) -> Iterator[pa.RecordBatch]:
+    def of(seen):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items, rolling = Items(*seen.value, least), B.Rolling(21)
             for part, buf, off in B.cut(batches):
                 rows: list[tuple] = []
@@ -143,25 +165,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-        got = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, ddl)
-        out = got if out is None else out.union(got)
-    return out
+        return scan
+
+    light = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return reduce(DataFrame.union, _scanned(light, benchmark, item_id, item_text, block_chars, of, "id long, item_id long, item_tokens long, covered long, coverage double, tiles long, first_start long, last_end long"))
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 5, coverage: float = 0.6, block_chars: int = 16_000_000) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item leaks into, all columns as they were (see ``contaminated``)."""
-    for block in _blocks(benchmark, item_id, item_text, block_chars):
-        seen = docs.sparkSession.sparkContext.broadcast(([r.i for r in block], [r.t for r in block]))
+    """The rows of ``docs`` that no benchmark item leaks into, all columns as they were.
 
-        def scan(batches: Iterator[pa.RecordBatch], seen=seen) -> Iterator[pa.RecordBatch]:
+    Null and empty texts stay, and so do repeated rows; either table may be empty; see ``contaminated``. With several blocks
+    of the benchmark the texts with leaks are gathered by their 128-bit marks and then taken out.
+    """
+    def of(seen, leaky: bool, column: str = text_col):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items, rolling = Items(*seen.value, least), B.Rolling(21)
-            for part, buf, off in B.cut(batches, text_col):
+            for part, buf, off in B.cut(batches, column):
                 stay = np.ones(part.num_rows, bool)
                 stay[[r for r, *_ in leaks(buf, off, items, rolling, coverage)]] = False
-                yield part.filter(pa.array(stay))
-
-        docs = docs.mapInArrow(scan, docs.schema)
-    return docs
+                out = part.filter(pa.array(~stay if leaky else stay))
+                yield out.select(["a", "b"]) if leaky else out
+
+        return scan
+
+    text = F.col(f"`{text_col}`")
+    if _blocks(benchmark, item_id, item_text, block_chars)[0] == 1:
+        return _scanned(docs, benchmark, item_id, item_text, block_chars, lambda seen: of(seen, False), docs.schema)[0]
+    mark = [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+    light = docs.select(*[m.alias(c) for m, c in zip(mark, "ab", strict=True)], text.cast("string").alias("text"))
+    found = reduce(DataFrame.union, _scanned(light, benchmark, item_id, item_text, block_chars, lambda seen: of(seen, True, "text"), "a long, b long")).distinct()
+    a, b = free_names(docs, "a", "b")
+    return docs.withColumn(a, mark[0]).withColumn(b, mark[1]).join(found.withColumnsRenamed({"a": a, "b": b}), [a, b], "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op8_greedy_tiling_decontamination(spark, sf_dir: str) -> DataFrame:

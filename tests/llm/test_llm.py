@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ringlake.llm import bytescan, decontaminate, html_text, imatch, language, licenses, linear, mixing, near_dedup, pii, substring_dedup, toxicity
+from ringlake.llm import bytescan, catalog, decontaminate, html_text, imatch, language, licenses, linear, mixing, near_dedup, pii, substring_dedup, toxicity
 from ringlake.llm import spaces
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -191,6 +191,53 @@ def test_tiling(spark):
     assert decontaminate.contaminated(docs(spark, rows), bench.where("item_id < 0")).count() == 0
 
 
+def greedy_coverage(doc, item, least):
+    """Plain greedy string tiling: longest matches of unmarked words first."""
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    a, b = words(doc), words(item)
+    if 0 < len(b) < least:
+        return float(a == b)
+    free_a, free_b, covered = [True] * len(a), [True] * len(b), 0
+    while b:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and free_a[i + n] and free_b[j + n] and a[i + n] == b[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < least:
+            break
+        free_a[i : i + n], free_b[j : j + n], covered = [False] * n, [False] * n, covered + n
+    return covered / len(b) if b else 0.0
+
+
+@pytest.mark.parametrize("block_chars", [16_000_000, 150])
+def test_tiling_equals_brute_force(spark, tmp_path, block_chars):
+    rng = random.Random(12)
+    items = [(i, prose(rng, rng.choice([2, 4, 6, 12, 20]) if i else 3)) for i in range(12)] + [(90, None), (91, "")]
+    rows = [(500, items[0][1].upper() + "!"), (501, "x " + items[0][1]), (None, items[3][1])]
+    for k in range(40):
+        w = rng.choice(items[:12])[1].split()
+        cut = sorted(rng.sample(range(len(w) + 1), min(2, len(w))))
+        parts = [w[: cut[0]], w[cut[0] : cut[-1]], w[cut[-1] :]]
+        rng.shuffle(parts)
+        rows.append((k, " ".join(" ".join(p) + " " + prose(rng, rng.randint(0, 3)) for p in parts)))
+    rows += FAR
+    want = Counter((i, j) for i, t in rows for j, u in items if greedy_coverage(t or "", u or "", 5) >= 0.6)
+    d, bench = docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    assert len(want) > 8 and (500, 0) in want and (501, 0) not in want
+    assert Counter((r.id, r.item_id) for r in decontaminate.contaminated(d, bench, block_chars=block_chars).collect()) == want
+    kept = Counter((r.doc_id, r.text) for r in decontaminate.uncontaminated(d, bench, block_chars=block_chars).collect())
+    assert kept == Counter((i, t) for i, t in rows if not any(greedy_coverage(t or "", u or "", 5) >= 0.6 for _, u in items))
+    if block_chars > 1000:
+        d.write.parquet(f"{tmp_path}/documents.parquet")
+        bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+        assert Counter((r.doc_id, r.item_id) for r in catalog.queries()["op8_greedy_tiling_decontamination"](spark, str(tmp_path)).collect()) == want
+        assert decontaminate.uncontaminated(d.limit(0), bench).count() == 0 and decontaminate.contaminated(d.limit(0), bench).count() == 0
+
+
 def test_tiles_do_not_overlap():
     found = [(8, 0, 0), (6, 4, 20), (5, 30, 2), (7, 50, 18)]
     got = decontaminate.tiles(found, 3)
