@@ -149,13 +149,18 @@ def identify(docs: DataFrame, net: Net, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, net: Net, text_col: str = "text") -> DataFrame:
-    """Rows whose text has a language, all columns as they were; ``und`` rows, null and letterless texts, go."""
+def keep_identified(docs: DataFrame, net: Net, text_col: str = "text", at_least: float = 0.5, languages: list[str] | None = None) -> DataFrame:
+    """Rows whose predicted language has a probability of ``at_least`` and is one of ``languages`` (None: any), all columns as they were.
+
+    ``und`` rows go: null, empty and letterless texts, and all where nothing was learned. Repeated rows and null ids are judged
+    by their text, equal scores take the first name, an empty table stays empty, further columns pass through.
+    """
+    good = np.array([languages is None or x in languages for x in net.names] or [False])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, buf, off in B.cut(batches, text_col):
             best, p, known = classify(net, buf, off)
-            yield part.filter(pa.array(known & lettered(buf, off)))
+            yield part.filter(pa.array(known & good[best] & (p >= at_least) & lettered(buf, off)))
 
     return docs.mapInArrow(scan, docs.schema)
 

@@ -4,16 +4,18 @@ Fingerprints that differ in at most ``radius`` bits agree on at least ``blocks -
 blocks, so every choice of that many blocks is a band and its bits a shard key. Each shard of distinct
 fingerprints becomes one BK-tree, built where its rows were dealt: children hang under the integer Hamming
 distance to their parent and a search follows only edges within the radius. The trees are dealt by a shuffle,
-not broadcast, since their total size grows with the corpus. A shard above ``shard_cap`` fingerprints would make
-one long task, so its members link exactly through shared one-bit neighbours instead (two fingerprints are
-within two bits exactly if some 64-bit value is within one bit of both), at most 65 members a key.
+not broadcast, since their total size grows with the corpus. A shard above ``shard_cap`` fingerprints is dealt
+again by blocks of the bits that its key leaves open, until its trees are small.
+
+``one_of_each`` uses the same trees for texts with a given share of equal shingles: shards are bands of shingle
+minima, the trees are searched within a radius that such pairs practically always keep, and every hit is confirmed
+by the two sets themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import bytescan as B
-from ringlake.llm.spaces import components, staged
+from ringlake.llm.spaces import components, free_names, staged
 
 LANES = np.uint64(0x0101010101010101)
 
@@ -105,19 +107,21 @@ class BKTree:
         self.value: list[int] = []
         self.child: list[dict[int, int]] = []
 
-    def add(self, x: int) -> None:
-        if not self.value:
-            self.value, self.child = [x], [{}]
-            return
+    def add(self, x: int) -> int:
+        """The place of ``x``, which is new unless the tree has it."""
         at = 0
-        while d := (self.value[at] ^ x).bit_count():
+        while self.value and (d := (self.value[at] ^ x).bit_count()):
             to = self.child[at].get(d)
             if to is None:
                 self.child[at][d] = len(self.value)
-                self.value.append(x)
-                self.child.append({})
-                return
+                break
             at = to
+        else:
+            if self.value:
+                return at
+        self.value.append(x)
+        self.child.append({})
+        return len(self.value) - 1
 
     def within(self, x: int, radius: int) -> Iterator[int]:
         todo = [0] if self.value else []
@@ -129,80 +133,97 @@ class BKTree:
             todo += [to for e, to in self.child[at].items() if d - radius <= e <= d + radius]
 
 
-def tree_links(values: list[int], radius: int, confirm=None) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of distinct values within ``radius`` that ``confirm`` (positions) accepts, found by
-    searching the shard's BK-tree for each member. The search ends early once it cannot join two components any more."""
-    tree, root = BKTree(), []
-    a, b, apart = [], [], 0
-    for x in (v & 0xFFFFFFFFFFFFFFFF for v in values):
-        before = len(root)
-        root.append(before)
-        apart += 1
-        for y in tree.within(x, radius):
+def tree_links(values: list[int], radius: int, confirm=None, joined: list[int] | None = None) -> tuple[list[tuple[int, int]], list[int]]:
+    """A spanning forest of the pairs of positions whose values lie within ``radius`` and that ``confirm`` accepts, found by
+    searching the shard's BK-tree for each member, and the positions of its roots. Members with one ``joined`` number are
+    joined already. The search ends early once it cannot join two components any more."""
+    tree, held, root, known = BKTree(), [], [], {}
+    out, apart = [], 0
+
+    def top(p: int) -> int:
+        while root[p] != p:
+            root[p] = root[root[p]]
+            p = root[p]
+        return p
+
+    for i, x in enumerate(v & 0xFFFFFFFFFFFFFFFF for v in values):
+        root.append(i)
+        first = known.setdefault(joined[i], i) if joined else i
+        if first != i:
+            root[i] = top(first)
+        else:
+            apart += 1
+        for at in tree.within(x, radius) if apart > 1 else ():
+            for j in held[at]:
+                p, q = top(j), top(i)
+                if p != q and (not confirm or confirm(j, i)):
+                    root[max(p, q)] = min(p, q)
+                    apart -= 1
+                    out.append((i, j))
             if apart == 1:
                 break
-            if confirm and not confirm(y, before):
-                continue
-            p, q = y, before
-            while root[p] != p:
-                root[p] = root[root[p]]
-                p = root[p]
-            while root[q] != q:
-                root[q] = root[root[q]]
-                q = root[q]
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                apart -= 1
-                a.append(x)
-                b.append(tree.value[y])
-        tree.add(x)
-    return a, b
+        at = tree.add(x)
+        if at == len(held):
+            held.append([])
+        held[at].append(i)
+    return out, [i for i in range(len(root)) if root[i] == i]
+
+
+def finer(mask: int, radius: int) -> list[int]:
+    """The bits of ``mask`` and each of ``radius + 1`` blocks of the others: a pair within the radius agrees on one of them."""
+    open_, n = [b for b in range(64) if not mask >> b & 1], radius + 1
+    return [mask | sum(1 << b for b in open_[len(open_) * i // n : len(open_) * (i + 1) // n]) for i in range(n)]
 
 
 def links(prints: DataFrame, radius: int = 2, shard_cap: int = 1024, shard_fill: int = 8) -> DataFrame:
     """``(src, dst)`` fingerprints that connect all of ``prints(fp)``, which are distinct, within ``radius`` bits.
 
-    The block count is the least for which a band's key space is at least ``n / shard_fill``.
+    The block count is the least for which a band's key space is at least ``n / shard_fill``. A shard over ``shard_cap``
+    is dealt anew by further bits, which ends at shards of few open bits.
     """
-    if radius > 2:
-        raise ValueError("shards above the cap are linked through one-bit neighbours, exact up to radius 2")
     n = prints.count()
     blocks = radius + 1
-    while 2 ** (64 // blocks * (blocks - radius)) < n / shard_fill and blocks < 8:
+    while 2 ** (64 // blocks * (blocks - radius)) < n / shard_fill and blocks < radius + 6:
         blocks += 1
     edge = [64 * i // blocks for i in range(blocks + 1)]
-    masks = []
-    for kept in combinations(range(blocks), blocks - radius):
-        m = sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in kept)
-        masks.append(m - (1 << 64) if m >> 63 else m)
-    assert len(masks) == comb(blocks, radius)
-    bands = prints.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long").bitwiseAND(F.col("fp")) for m in masks])).alias("band", "key"))
-    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shards = staged(bands.join(sizes, ["band", "key"]), "shards")
+    masks = [sum(((1 << (edge[i + 1] - edge[i])) - 1) << edge[i] for i in kept) for kept in combinations(range(blocks), blocks - radius)]
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
     schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(group: list[int]):
-            a, b = tree_links(group, radius)
-            return B.batch_of(schema, src=np.array(a, np.uint64).view(np.int64), dst=np.array(b, np.uint64).view(np.int64)) if a else None
+            pairs = tree_links(group, radius)[0]
+            return B.batch_of(schema, src=[group[i] for i, _ in pairs], dst=[group[j] for _, j in pairs])
 
         now, held = None, []
         for batch in batches:
-            for band, key, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != (band, key):
-                    if held and (out := done(held)):
-                        yield out
-                    now, held = (band, key), []
+            for mask, key, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (mask, key):
+                    if held:
+                        yield done(held)
+                    now, held = (mask, key), []
                 held.append(fp)
-        if held and (out := done(held)):
-            yield out
-
-    cold = shards.where(F.col("n") <= shard_cap).select("band", "key", "fp").repartition("band", "key").sortWithinPartitions("band", "key", "fp").mapInArrow(search, "src long, dst long")
-    hot = shards.where(F.col("n") > shard_cap).select("fp").distinct()
-    flips = [0, *(1 << i for i in range(63)), -(1 << 63)]
-    near = hot.select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(f).cast("long")) for f in flips])).alias("key"))
-    shared = near.groupBy("key").agg(F.collect_list("fp").alias("all")).where("size(all) > 1")
-    return cold.union(shared.select(F.explode("all").alias("src"), F.array_min("all").alias("dst")).where("src <> dst").distinct())
+        if held:
+            yield done(held)
+
+    out, rows = None, prints
+    finest = {m: [m] for m in masks}
+    rows = prints.withColumn("above", F.explode(F.array(*[F.lit(signed(m)) for m in masks])))
+    while True:
+        spread = prints.sparkSession.createDataFrame([(signed(m), signed(f)) for m, fs in finest.items() for f in fs], "above long, mask long")
+        bands = rows.join(F.broadcast(spread), "above").select("fp", "mask").distinct() if out is not None else rows.select("fp", F.col("above").alias("mask"))
+        bands = bands.select("fp", "mask", F.col("mask").bitwiseAND(F.col("fp")).alias("key"))
+        # written out, so that the join stands between two plain exchanges and a shard of very many rows can be split
+        sizes = staged(bands.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        shards = staged(bands.join(sizes, ["mask", "key"]), "shards")
+        large = (F.col("n") > shard_cap) & (F.bit_count(F.col("mask")) < 56)
+        small = shards.where(~large).select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key", "fp").mapInArrow(search, "src long, dst long")
+        out = small if out is None else out.union(small)
+        again = [r.mask & 0xFFFFFFFFFFFFFFFF for r in sizes.where(large).select("mask").distinct().collect()]  # few: bands and blocks of them
+        if not again:
+            return out
+        finest = {m: finer(m, radius) for m in again}
+        rows = shards.where(large).select("fp", F.col("mask").alias("above"))
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 2, shard_cap: int = 1024) -> DataFrame:
@@ -222,130 +243,105 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 SKETCH, ROWS = 48, 3
+#: SimHashes of sets that share 0.8 differ in 10 of 64 bits, give or take 3, also of very small sets; those of others in 32.
+REACH = 28
 
 
-def dealt(prints: DataFrame, shard_cap: int, *carried: str) -> DataFrame:
-    """``(key, p, q, *carried)``: the members of every shard of two or more rows of ``prints(sketch, n, ...)``.
+def members_of(prints: DataFrame, shard_cap: int) -> DataFrame:
+    """``(key, part, parts, fp, id, mark)``: the members of every shard of two or more rows of ``prints(fp, id, mark, sketch, n)``.
 
     Shards are bands of ``ROWS`` sketch minima: a pair that shares 0.8 of its shingles meets in some shard with a
-    probability over 0.9999. A shard above ``shard_cap`` rows, or 1024 shingles (``n``) for each of them, is dealt into
-    parts and every pair of parts is one task's, so all its pairs are still seen.
+    probability over 0.9999. A shard above ``shard_cap`` rows, or 1024 shingles (``n``) for each of them, has parts.
     """
     bands = SKETCH // ROWS
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("sketch", b * ROWS * 4 + 1, ROWS * 4)) for b in range(bands)])
-    keyed = prints.select(*carried, F.explode(keys).alias("key"))
-    sizes = prints.select("n", F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("all")).where("rows > 1")
-    parts = F.ceil(F.greatest(F.col("rows") / shard_cap, F.col("all") / (shard_cap * 1024))).cast("int")
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    shards = keyed.join(sizes.select("key", parts.alias("parts")), "key").withColumn("part", part)
-    # a member of part p stands in the pair tasks (p, q) and (q, p)
-    pairs = shards.select("key", *carried, "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    return pairs.select("key", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), *carried)
+    parts = F.ceil(F.greatest(F.count("*") / shard_cap, F.sum("n") / (shard_cap * 1024))).cast("int")
+    # written out, so that the join stands between two plain exchanges
+    sizes = staged(prints.select("n", F.explode(keys).alias("key")).groupBy("key").agg(F.count("*").alias("rows"), parts.alias("parts")).where("rows > 1").drop("rows"), "sizes")
+    return staged(prints.select("fp", "id", "mark", F.explode(keys).alias("key")).join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")), "members")
 
 
-def similar_links(prints: DataFrame, radius: int, similar: float, shard_cap: int = 2048) -> DataFrame:
-    """``(src, dst)`` fingerprints of ``prints(fp, sketch)`` within a wide ``radius``, for which bit blocks prune nothing.
-
-    Each shard's BK-tree is searched within the radius, and a hit counts if at least ``similar`` of the sketches agree.
-    Once a tree is one component, one hit links a member. An estimate; ``shared_links`` compares the shingles themselves.
-    """
-    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+def compared(tasks: DataFrame, texts: DataFrame, similar: float, shingle: int) -> DataFrame:
+    """``(src, dst, key)`` for ``tasks(key, p, q, root, fp, id, mark)``: links that join the members of each (key, p, q) as far as
+    their sets are similar, beyond those that share a ``root``, with null keys; and each of its components' leaders with itself."""
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64()), ("key", pa.int64())])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, marks = None, [], []
-
-        def done():
-            if len(held) < 2:
-                return None
-            sketch = np.frombuffer(b"".join(marks), np.uint32).reshape(len(held), SKETCH)
-            a, b = tree_links(held, radius, lambda x, y: (sketch[x] == sketch[y]).mean() >= similar)
-            return B.batch_of(schema, src=np.array(a, np.uint64).view(np.int64), dst=np.array(b, np.uint64).view(np.int64)) if a else None
-
-        for batch in batches:
-            for key, p, q, fp, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != (key, p, q):
-                    if (out := done()) is not None:
-                        yield out
-                    now, held, marks = (key, p, q), [], []
-                held.append(fp)
-                marks.append(mark)
-        if (out := done()) is not None:
-            yield out
-
-    pairs = dealt(prints.withColumn("n", F.lit(0)), shard_cap, "fp", "sketch")
-    return pairs.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
-
+        now, fps, roots, sets, prints = None, [], [], [], []
 
-def set_links(names: list[int], sets: list[np.ndarray], similar: float) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of ``sets`` (sorted, distinct values) whose Jaccard similarity is at least ``similar``."""
-    root, a, b, apart = list(range(len(sets))), [], [], 0
-
-    def top(p: int) -> int:
-        while root[p] != p:
-            root[p] = root[root[p]]
-            p = root[p]
-        return p
-
-    for x, own in enumerate(sets):
-        apart += 1
-        for y in range(x - 1, -1, -1):
-            if apart == 1:
-                break
-            n, m = len(own), len(sets[y])
+        def alike(x: int, y: int) -> bool:
+            n, m = len(sets[x]), len(sets[y])
             if min(n, m) < similar * max(n, m) * (1 - 1e-9):
-                continue
-            p, q = top(y), top(x)
-            if p == q:
-                continue
-            both = len(np.intersect1d(own, sets[y], assume_unique=True))
-            if both / max(n + m - both, 1) >= similar:
-                root[max(p, q)] = min(p, q)
-                apart -= 1
-                a.append(names[x])
-                b.append(names[y])
-    return a, b
-
-
-def shared_links(prints: DataFrame, texts: DataFrame, similar: float, shingle: int, shard_cap: int = 2048) -> DataFrame:
-    """``(src, dst)`` of ``prints(fp, sketch, n, id, mark)`` whose sets of ``shingle``-word shingles have a Jaccard
-    similarity of at least ``similar``.
-
-    Shards only find the candidates: their members fetch their texts from ``texts(id, mark, text)`` and all pairs of a
-    shard that are not yet joined are compared by their whole sets.
-    """
-    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, sets = None, [], []
+                return False
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            return both / max(n + m - both, 1) >= similar
 
         def done():
-            a, b = set_links(held, sets, similar)
-            return B.batch_of(schema, src=np.array(a, np.int64), dst=np.array(b, np.int64)) if a else None
+            pairs, leaders = tree_links(prints, REACH, alike, roots)
+            return B.batch_of(schema, src=[fps[i] for i, _ in pairs] + [fps[i] for i in leaders], dst=[fps[j] for _, j in pairs] + [fps[i] for i in leaders], key=[None] * len(pairs) + [now[0]] * len(leaders))
 
         for part, buf, off in B.cut(batches):
             h, first = shingle_hashes(buf, off, shingle)
-            for i, (key, p, q, fp) in enumerate(zip(*(part.column(c).to_pylist() for c in range(4)), strict=True)):
+            own = [np.unique(h[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+            print_ = fingerprints_of(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])])).tolist()
+            for i, (key, p, q, root, fp) in enumerate(zip(*(part.column(c).to_pylist() for c in range(5)), strict=True)):
                 if now != (key, p, q):
-                    if (out := done()) is not None:
-                        yield out
-                    now, held, sets = (key, p, q), [], []
-                if held and held[-1] == fp:  # repeated rows
+                    if fps:
+                        yield done()
+                    now, fps, roots, sets, prints = (key, p, q), [], [], [], []
+                if fps and fps[-1] == fp:  # repeated rows
                     continue
-                held.append(fp)
-                sets.append(np.unique(h[first[i] : first[i + 1]]))
-        if (out := done()) is not None:
-            yield out
+                fps.append(fp)
+                roots.append(root)
+                sets.append(own[i])
+                prints.append(print_[i])
+        if fps:
+            yield done()
 
-    found = dealt(prints, shard_cap, "fp", "id", "mark").join(texts, ["id", "mark"]).select("key", "p", "q", "fp", "text")
-    return found.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long").distinct()
+    found = tasks.join(texts, ["id", "mark"]).select("key", "p", "q", "root", "fp", "text")
+    return staged(found.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long, key long").distinct(), "links")
+
+
+def shared_links(prints: DataFrame, texts: DataFrame, similar: float, shingle: int, shard_cap: int = 2048) -> DataFrame:
+    """``(src, dst)`` that connect ``prints(fp, id, mark, sketch, n)`` whose sets of ``shingle``-word shingles have a Jaccard
+    similarity of at least ``similar``; ``texts(id, mark, text)`` has their texts.
+
+    The members of a shard's part are linked first, then the leaders of all its parts, which joins a large group of near
+    copies in time linear in its size. Of what is left apart then, members outside the shard's largest component meet
+    all others of the shard, part by part, so no link is lost.
+    """
+    one = F.lit(0)
+    members = members_of(prints, shard_cap)
+    out = compared(members.select("key", F.col("part").alias("p"), one.alias("q"), F.col("fp").alias("root"), "fp", "id", "mark"), texts, similar, shingle)
+    hot = members.where("parts > 1")
+    if hot.isEmpty():
+        return out.where("src <> dst").select("src", "dst")
+    leaders = out.where("key is not null").select("key", F.col("src").alias("fp")).join(hot, ["key", "fp"])
+    few = staged(leaders.groupBy("key").agg(F.ceil(F.count("*") / shard_cap).cast("int").alias("few")), "few")
+    tasks = leaders.join(few, "key").select("key", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("few")).cast("int").alias("p"), one.alias("q"), F.col("fp").alias("root"), "fp", "id", "mark")
+    out = out.union(compared(tasks, texts, similar, shingle)).where("src <> dst").select("src", "dst")
+    roots = components(out)
+    hot = staged(hot.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    sizes = hot.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all")).where("all > most")
+    shares = main.select("key", "main", *[F.ceil(F.col(n) / shard_cap).cast("int").alias(c) for n, c in (("most", "of_main"),)], F.ceil((F.col("all") - F.col("most")) / shard_cap).cast("int").alias("of_rest"))
+    left = hot.join(staged(shares, "shares"), "key").withColumn("large", F.col("root") == F.col("main"))
+    slot = F.pmod(F.xxhash64("fp", F.lit(9)), F.when(F.col("large"), F.col("of_main")).otherwise(F.col("of_rest"))).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda p, q: F.struct(p.cast("int").alias("p"), q.cast("int").alias("q"))
+    # pairs of the rest's parts (p <= q), and of each of them with the main component's (-1 - q)
+    rest = F.concat(F.transform(upto("of_rest"), lambda x: pair(F.least(F.col("slot"), x), F.greatest(F.col("slot"), x))), F.transform(upto("of_main"), lambda x: pair(F.col("slot"), -1 - x)))
+    mine = F.transform(upto("of_rest"), lambda x: pair(x, -1 - F.col("slot")))
+    tasks = left.withColumn("slot", slot).select("key", F.inline(F.when(F.col("large"), mine).otherwise(rest)), "root", "fp", "id", "mark")
+    return out.union(compared(tasks, texts, similar, shingle).where("src <> dst").select("src", "dst"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similar: float = 0.8) -> DataFrame:
     """The rows of ``docs`` with one, the least id's, of every group of exact and near copies; all columns as they were.
 
     Near copies are texts whose sets of ``shingle``-word shingles have a Jaccard similarity of at least ``similar``; texts of
-    one set are one node. Minima find the candidates, the sets confirm each, and no SimHash radius stands between: repeats
-    move its bits but not the set. Wordless texts are alike, repeated rows leave one row, ties of ids go by the text's
+    one set are one node. Minima deal the shards, BK-trees of SimHashes find the candidates, and the sets confirm each. The
+    SimHashes are those of the sets, since repeats move bits but not the set. Wordless texts are alike, repeated rows leave one row, ties of ids go by the text's
     hash, null ids come last, an empty table stays empty.
     """
     least = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1))
@@ -365,10 +361,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = components(shared_links(prints, texts, similar, shingle))
     groups = prints.select("fp", F.struct("id", "mark").alias("least")).join(linked.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("stay"))
     stay = groups.select("stay.*")
-    kept = docs.withColumn("_id", least).withColumn("_mark", mark).join(stay.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")), ["_id", "_mark"], "left_semi")
-    again = rows.groupBy("id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
+    i, m = free_names(docs, "id", "mark")
+    kept = docs.withColumn(i, least).withColumn(m, mark).join(stay.select(F.col("id").alias(i), F.col("mark").alias(m)), [i, m], "left_semi")
+    again = rows.groupBy("id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias(i), F.col("mark").alias(m))
     if not again.isEmpty():  # rows with one id and text: one of them stays
-        kept = kept.join(again, ["_id", "_mark"], "left_anti").unionByName(kept.join(again, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]))
+        kept = kept.join(again, [i, m], "left_anti").unionByName(kept.join(again, [i, m], "left_semi").dropDuplicates([i, m]))
     return kept.select(*[f"`{c}`" for c in docs.columns])
 
 

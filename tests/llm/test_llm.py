@@ -344,7 +344,12 @@ def test_language(spark):
     assert np.mean([got[i] == k for i, _, k in rows[200:]]) > 0.95
     odd = {(r.id, r.lang_pred == "und") for r in language.identify(docs(spark, ODD), net).collect()}
     assert odd == {(None, False), (1, True), (2, True), (3, True), (4, False), (5, True), (6, False)}
-    assert language.keep_identified(docs(spark, ODD), net).count() == 4
+    sure = Counter(r.id for r in language.identify(docs(spark, ODD), net).where("score >= 0.5").collect())
+    assert Counter(r.doc_id for r in language.keep_identified(docs(spark, ODD), net).collect()) == sure
+    yes = {r.id for r in language.identify(d, net).where("score >= 0.5 and lang_pred = 'yy'").collect()}
+    assert 100 < len(yes) and {r.doc_id for r in language.keep_identified(d, net, languages=["yy"]).collect()} == yes
+    raw = language.fresh(["xx", "yy", "zz"])
+    assert language.keep_identified(d, raw).count() < 300 and language.keep_identified(d, language.fit(d.limit(0))).count() == 0
     assert language.identify(d, language.fit(d.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
@@ -405,30 +410,41 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
-def test_large_shards_lose_no_link(spark):
-    rng = np.random.default_rng(7)
-    rows = []
-    for _ in range(6):  # groups of near prints, and all share the minima of one band
-        fp, sketch = int(rng.integers(1 << 62)), rng.integers(1 << 32, size=near_dedup.SKETCH, dtype=np.uint32)
-        for _ in range(8):
-            own, flips = sketch.copy(), rng.choice(62, rng.integers(1, 9), replace=False)
-            at = rng.choice(np.arange(3, near_dedup.SKETCH), rng.integers(0, 10), replace=False)
-            own[at], own[:3] = rng.integers(1 << 32, size=len(at), dtype=np.uint32), (1, 2, 3)
-            rows.append((fp ^ sum(1 << int(b) for b in flips), bytearray(own.tobytes())))
-    root = list(range(len(rows)))
-    sketches = [np.frombuffer(bytes(s), np.uint32) for _, s in rows]
-    for _ in rows:
-        for a in range(len(rows)):
-            for b in range(len(rows)):
-                if (rows[a][0] ^ rows[b][0]).bit_count() <= 12 and (sketches[a] == sketches[b]).mean() >= 0.7:
-                    root[a] = root[b] = min(root[a], root[b])
-    want = {frozenset(f for (f, _), r in zip(rows, root) if r == x) for x in set(root)}
-    prints = spark.createDataFrame(rows, "fp long, sketch binary")
-    for cap in (2048, 5):
-        got = {}
-        for r in spaces.components(near_dedup.similar_links(prints, 12, 0.7, cap)).collect():
-            got.setdefault(r.root, set()).add(r.node)
-        assert {frozenset(g) for g in got.values()} == {g for g in want if len(g) > 1}
+@pytest.mark.parametrize("radius, cap", [(2, 4), (3, 6), (1, 1000)])
+def test_large_shards_lose_no_link(spark, radius, cap):
+    """Shards over the cap are dealt by further bits: dense balls about a few prints, and strays."""
+    rng = random.Random(7)
+    prints = {rng.getrandbits(64) for _ in range(40)}
+    for _ in range(3):
+        centre = rng.getrandbits(64)
+        prints |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(60)}
+    prints = sorted(prints)
+    root = {p: p for p in prints}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, p in enumerate(prints):
+        for q in prints[:i]:
+            if (p ^ q).bit_count() <= radius:
+                root[max(top(p), top(q))] = min(top(p), top(q))
+    want = {}
+    for p in prints:
+        want.setdefault(top(p), set()).add(p)
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    edges = near_dedup.links(spark.createDataFrame([(signed(p),) for p in prints], "fp long"), radius, cap)
+    got = {}
+    for r in spaces.components(edges).collect():
+        got.setdefault(r.root, set()).add(r.node & (1 << 64) - 1)
+    assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in want.values() if len(g) > 1}
+
+
+def test_trees_keep_equal_values_apart():
+    pairs, roots = near_dedup.tree_links([5, 5, 5, 255 << 40], 3, lambda x, y: {x, y} != {0, 1})
+    assert pairs == [(2, 0), (2, 1)] and roots == [0, 3]
+    assert near_dedup.tree_links([5, 9, 5], 64, None, [7, 7, 8]) == ([(2, 0)], [0])
 
 
 def test_near_copies_equal_brute_force_jaccard(spark):
@@ -454,7 +470,7 @@ def test_near_copies_equal_brute_force_jaccard(spark):
                 if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
                     root[a] = root[b] = min(root[a], root[b])
     assert 12 < len(set(root)) < len(rows)
-    for cap in (2048, 3):
+    for cap in (2048, 3, 40):
         with pytest.MonkeyPatch.context() as m:
             m.setattr(near_dedup.shared_links, "__defaults__", (cap,))
             assert {r.doc_id for r in near_dedup.one_of_each(docs(spark, enumerate(rows))).collect()} == set(root)
@@ -479,8 +495,26 @@ def test_pipeline_stages(spark, tmp_path, corpus):
         d = spaces.staged(stage(spark, d, str(tmp_path)), f"t{k}")
         seen.append({r.doc_id: r for r in d.collect()})
         assert k == 4 or d.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert set(seen[0]) == {r[0] for r in rows} - {92, 93}
+    net = language.fit(spaces.table(spark, str(tmp_path), "documents").select("text", "lang"))
+    sure = {r.id for r in language.identify(spaces.table(spark, str(tmp_path), "documents"), net).where("lang_pred <> 'und' and score >= 0.5").collect()}
+    assert set(seen[0]) == sure and not {92, 93} & sure and len(sure) > 45
     assert set(seen[1]) <= set(seen[0]) and not {40, 41, 42, 43, 44} & set(seen[1]) and set(range(10, 40)) <= set(seen[1])
     assert set(seen[1]) - set(seen[2]) == {91}
     assert "x.y@z" not in seen[3][90].text and seen[3][90].n_chars == len(seen[3][90].text)
     assert set(seen[4]) <= set(seen[3]) and all(1 <= r.copies <= 3 for r in seen[4].values())
+
+
+def test_stages_keep_clashing_columns(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(3)
+    extra = ["_id", "_mark", "_e", "_late", "_m", "_found", "a", "b", "key", "p", "root", "_source", "__id"]
+    rows = [(i, prose(rng, 60), ["en", "de"][i % 2], None if i % 5 == 0 else "s" + str(i % 3), 5, *range(len(extra)), 9) for i in range(30)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in extra) + ", size int"
+    d = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, prose(rng, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for k, (_, stage) in enumerate(pipeline.STAGES):
+        got = stage(spark, d, str(tmp_path))
+        assert k == 4 or got.columns == d.columns
+        for r in got.limit(3).collect():
+            assert [r[c] for c in extra] == list(range(len(extra)))
+    assert {"copies", "target", "source_size", "size"} <= set(got.columns)
