@@ -6,37 +6,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import decontaminate, language, mixing, near_dedup, pii
-from ringlake.llm.spaces import staged, table
+from ringlake.llm.spaces import free_names, staged, table
 
 
 def identify_languages(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Trains on the labelled rows of ``docs``; rows without a language, null or letterless texts, go."""
+    """Trains on the labelled rows of ``docs``; a row stays if its predicted language has at least half of the probability.
+
+    Null, empty and letterless texts go, and all rows where no row has a language to learn from. Texts of any length are judged
+    whole; ties take the first name, repeated rows are judged alike, an empty table stays empty, further columns pass through.
+    """
     return language.keep_identified(docs, language.fit(docs.select("text", "lang")))
 
 
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, stays of every group of exact and near copies."""
+    """One document, that of the least id, stays of every group of exact and near copies (a Jaccard similarity of 0.8 or
+    more of the five-word shingles).
+
+    Null and wordless texts are one group, null ids come last, ties of ids go by the text's hash, repeated rows leave one, texts
+    are compared whole, an empty table stays empty, further columns pass through.
+    """
     return near_dedup.one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go: 0.6 of its words under common runs of five, in any order.
+
+    Null and empty texts and items match nothing, items under five words only whole texts; repeated rows are judged alike,
+    texts are read whole, either table may be empty, further columns pass through.
+    """
     return decontaminate.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def replace_private_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Private data becomes surrogates; ``n_chars`` follows the text."""
+    """Private data becomes surrogates; ``n_chars`` follows the text. The key is ``ringlake.pii.secret``, else the session's own.
+
+    Null texts stay null with a null ``n_chars``, empty ones empty; repeated rows are replaced alike, ties do not arise, texts are
+    read whole, an empty table stays empty, further columns pass through.
+    """
     found = pii.replaced(docs, pii.session_key(spark), found_col=None)
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with ``copies``, the times each is taken, and the target of its source."""
-    mark = F.xxhash64("text")
-    found = mixing.mixed_documents(docs, with_mark=True).where("copies > 0").select("id", "mark", "size", "source_size", "target", "copies").distinct()
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    found = found.withColumn("id", F.coalesce("id", F.lit(-(1 << 63))))
-    return docs.withColumn("_id", key).withColumn("_mark", mark).join(found.withColumnRenamed("id", "_id").withColumnRenamed("mark", "_mark"), ["_id", "_mark"]).drop("_id", "_mark")
+    """The documents that the mix takes, with ``copies``, the times each is taken, and ``size``, ``source_size`` and ``target``;
+    columns of these names that ``docs`` has give way.
+
+    Null and wordless texts have no words and are never taken; null sources are one source; repeated rows each count; ties in the
+    seeded order are between equal rows; texts are counted whole, an empty table stays empty, further columns pass through.
+    """
+    names = ["size", "source_size", "target", "copies"]
+    i, m = free_names(docs, "id", "mark")
+    key, mark = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), F.xxhash64("text")
+    found = mixing.mixed_documents(docs, with_mark=True).where("copies > 0").select(F.coalesce("id", F.lit(-(1 << 63))).alias(i), F.col("mark").alias(m), "source", *names).distinct()
+    return docs.drop(*names).withColumn(i, key).withColumn(m, mark).join(found.withColumnRenamed("source", "_" + i), [i, m]).where(F.col("source").eqNullSafe(F.col("_" + i))).drop(i, m, "_" + i)
 
 
 STAGES = [
