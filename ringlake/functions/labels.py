@@ -2,23 +2,35 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Label layers in display order, severity words, generic words of corner names, accents and their bases.
+#: Label layers in display order, severity words, generic words of corner names.
 LAYERS = ["numbered", "official", "driver", "historical", "sponsor", "local"]
 OVERLAYS = LAYERS[1:]
 SCALES = {1: "Hairpin", 2: "Slow", 3: "Medium", 4: "Fast", 5: "Very fast", 6: "Kink"}
 SCALE_RADII = [55.0, 95.0, 160.0, 280.0, 550.0]
 GENERIC = "virage|courbe|chicane|esses|ligne droite|le|la|les|l|du|de|des|d|the|s"
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+#: What compatibility decomposition leaves in ASCII, for every character that it changes.
+FOLDED = {c: d for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]) if (d := unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode())}
+ONE = {c: d for c, d in FOLDED.items() if len(d) == 1}
+#: Characters that become several, as pairs beyond ASCII text's own separators.
+SEVERAL = {c: d for c, d in FOLDED.items() if len(d) > 1}
+
+
+def folded(s: Column) -> Column:
+    """Compatibility decomposition, then ASCII only."""
+    pairs = F.str_to_map(F.lit("\x02".join(f"{c}\x01{d}" for c, d in SEVERAL.items())), F.lit("\x02"), F.lit("\x01"))
+    many = F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), "")
+    plain = F.regexp_replace(F.translate(F.when(s.rlike("[" + "".join(SEVERAL) + "]"), many).otherwise(s), "".join(ONE), "".join(ONE.values())), r"[^\x00-\x7F]", "")
+    return F.when(s.rlike(r"[^\x00-\x7F]"), plain).otherwise(s)
 
 
 def normalized(s: Column) -> Column:
-    """Loose key: accents folded, other non-ASCII dropped, lower case, generic words and all but a-z and 0-9 removed."""
-    s = F.lower(F.regexp_replace(F.translate(s, ACCENTED, PLAIN), r"[^\x00-\x7F]", ""))
-    return F.regexp_replace(F.regexp_replace(s, rf"\b({GENERIC})\b", " "), "[^a-z0-9]+", "")
+    """Loose key: folded to ASCII, lower case, generic words and all but a-z and 0-9 removed."""
+    return F.regexp_replace(F.regexp_replace(F.lower(folded(s)), rf"\b({GENERIC})\b", " "), "[^a-z0-9]+", "")
 
 
 def numbered(code: Column) -> Column:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringlake.functions import geo
 from ringlake.functions.geo import RADIUS_M
 
 Line = np.ndarray  # (points, 2) of lon, lat
@@ -56,7 +57,8 @@ def walked(link: tuple | None) -> list:
 def lap_cycle(lines: list[Line], expected: float | None, most_steps: int = 200_000) -> Line | None:
     """The simple cycle through the longest line whose length is nearest the expected one (or greatest).
 
-    Nodes are end points snapped to 1/20000 degree; paths over 1.6 times the expected length plus 2 km are dropped.
+    Nodes are end points snapped to 1/20000 degree; paths over 1.6 times the expected length plus 2 km are dropped. The search
+    ends once no cycle can be better: at the expected length, or with all lines.
     """
     snap = lambda p: tuple(np.rint(p * 20_000).astype(int))
     ends = [(snap(s[0]), snap(s[-1])) for s in lines]
@@ -68,6 +70,7 @@ def lap_cycle(lines: list[Line], expected: float | None, most_steps: int = 200_0
     seed = max(range(len(lines)), key=size.__getitem__)
     goal, limit = ends[seed][0], expected * 1.6 + 2000 if expected else float("inf")
     best: tuple[float, tuple] | None = None
+    ideal = 0.0 if expected else -sum(size) * (1 - 1e-12)
     # a state: node, last link (line, link before), lines used as bits, length
     todo = [(ends[seed][1], (seed, None), 1 << seed, size[seed])]
     for _ in range(most_steps):
@@ -80,6 +83,8 @@ def lap_cycle(lines: list[Line], expected: float | None, most_steps: int = 200_0
             off = abs(run - expected) if expected else -run
             if best is None or off < best[0]:
                 best = off, path
+                if off <= ideal:
+                    break
             continue
         todo += [(to, (i, path), used | 1 << i, run + size[i]) for i, to in at.get(node, ()) if not used >> i & 1]
     return joined([lines[i] for i in walked(best[1])], 10.0) if best else None
@@ -95,7 +100,8 @@ def relation_lap(lines: list[Line], expected: float | None) -> Line | None:
 
 def stitched_lap(lines: list[Line], expected: float | None, reach: float = 120.0, gap: float = 300.0, seeds: int = 8, budget: int = 20_000) -> tuple[float, Line] | None:
     """Closed chain of the best score (gap plus length error) from the longest seeds: at most three of the tightest joins
-    are followed from each of the first seven links, one from there on."""
+    are followed from each of the first seven links, one from there on. A score of 0 ends the search, since only a
+    lower one would count."""
     lines = sorted(lines, key=lambda s: -length(s))
     size = [length(s) for s in lines]
     ends = np.array([[s[0], s[-1]] for s in lines])
@@ -120,7 +126,7 @@ def stitched_lap(lines: list[Line], expected: float | None, reach: float = 120.0
         # a state: last link ((line, flipped), link before), links, lines used as bits, length
         todo = [(((seed, False), None), 1, 1 << seed, size[seed])]
         home = metres(ends[seed][0], ends).tolist()
-        while todo and left:
+        while todo and left and (best is None or best[0] > 0.0):
             left -= 1
             chain, links, used, run = todo.pop()
             tail = chain[0][0], 0 if chain[0][1] else 1
@@ -159,7 +165,7 @@ def assembled(segments: DataFrame, key: list[str], how: str = "relation") -> Dat
         if lines and how == "relation":
             lap = relation_lap(lines, expected)
         elif lines:
-            names = group["name"].replace("", np.nan).dropna()
+            names = group["name"][group["name"].fillna("") != ""]
             top = names.value_counts(sort=False)
             top = top[top == top.max()].index[0] if len(top) and top.max() >= 3 else None
             pools = ([[x for x, n in zip(lines, group["name"], strict=True) if n == top]] if top else []) + [lines]
@@ -194,6 +200,34 @@ def way_segments(ways: DataFrame, key: list[str], drop: str = OFF_LAP) -> DataFr
     return w.where(~name.rlike(drop)).select(*key, "ord", name.alias("name"), "expected_m", F.transform("e.geometry", lambda g: F.struct(g["lon"].alias("lon"), g["lat"].alias("lat"))).alias("points"))
 
 
+def pit_lane_centres(ways: DataFrame, key: list[str]) -> DataFrame:
+    """Mean of all vertices of the loose ways (``elements``) that are named like a pit lane: ``lon, lat``; no row without one."""
+    e = ways.select(*key, F.explode("elements").alias("e")).where((F.col("e.type") == "way") & F.coalesce(F.try_element_at("e.tags", F.lit("name")), F.lit("")).rlike("(?i)pit ?lane"))
+    return e.select(*key, F.explode("e.geometry").alias("g")).groupBy(*key).agg(F.avg("g.lon").alias("lon"), F.avg("g.lat").alias("lat"))
+
+
+#: Names of ways that no trace of the racing surface takes.
+OFF_TRACE = r"(?i)pit|bugatti|prost|c\.?i\.?k|amateur|\bkart\b|karting|\bmoto\b|penalty|safety|maison blanche|garage bleu|chapelle|mus[eé]e|garage vert|b[oœ]ufs|porsche cent"
+
+
+def traced_loop(ways: DataFrame, corners: DataFrame, key: list[str], least: int = 4) -> DataFrame:
+    """``(key, seq, lon, lat)``: ways ``(key, name, ord, points)`` laid end to end in the order of the corners ``(key, norm, marker)`` that bear
+    their name, the one of most points for each marker, each turned so that its nearer end follows. Under ``least`` ways: none."""
+    from ringlake.functions import labels
+
+    w = ways.where(~F.col("name").rlike(OFF_TRACE) & (F.size("points") >= 2)).withColumn("norm", labels.normalized(F.col("name")))
+    first = corners.where("marker is not null and norm <> ''").groupBy(*key, "norm").agg(F.min("marker").alias("marker"))
+    one = w.join(first, [*key, "norm"]).groupBy(*key, "marker").agg(F.max_by("points", F.struct(F.size("points"), -F.col("ord"))).alias("points"))
+    segments = one.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("marker", "points"))), lambda x: x["points"]).alias("_s")).where(F.size("_s") >= least)
+
+    def laid(acc, s):
+        near = lambda p: geo.haversine(F.element_at(acc, -1)["lon"], F.element_at(acc, -1)["lat"], p["lon"], p["lat"])
+        return F.concat(acc, F.when(near(F.element_at(s, -1)) < near(s[0]), F.reverse(s)).otherwise(s))
+
+    loop = F.aggregate(F.slice("_s", 2, F.size("_s")), F.col("_s")[0], laid)
+    return segments.select(*key, F.posexplode(loop).alias("seq", "p")).select(*key, (F.col("seq") + 1).alias("seq"), "p.lon", "p.lat")
+
+
 def name_mode(ways: DataFrame, key: list[str], name: str = "name", order: str = "ord", least: int = 3) -> DataFrame:
     """Each key's most frequent non-empty name, the first seen among equals, if at least ``least`` ways bear it."""
     n = ways.where(F.coalesce(F.col(name), F.lit("")) != "").groupBy(*key, name).agg(F.count("*").alias("n"), F.min(order).alias("_o"))

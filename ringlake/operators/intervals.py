@@ -102,9 +102,38 @@ def complexes(corners: DataFrame, key: list[str], number: str, group: str, label
 
 
 def suffixed_ids(rows: DataFrame, key: list[str], base: str, order: list[str], out: str = "id") -> DataFrame:
-    """The base id, then ``-2``, ``-3`` ... for its repeats in order."""
+    """The base id, then the first free of ``-2``, ``-3`` ... for its repeats in order.
+
+    Where no base of a key ends in such a suffix, the place among its repeats tells; the other keys fold over their rows.
+    """
     n = F.row_number().over(W.partitionBy(*key, base).orderBy(*order))
-    return rows.withColumn(out, F.when(n == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), n.cast("string"))))
+    plain = F.when(n == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("-"), n.cast("string")))
+    marked = rows.withColumn("_plain", plain).withColumn("_chained", F.max(F.col(base).rlike("-[0-9]+$")).over(W.partitionBy(*key)))
+    items = marked.where("_chained").groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(base).alias("_base"), F.struct(*rows.columns).alias("_row")))).alias("_all"))
+
+    def put(used, x):
+        free = F.filter(F.sequence(F.lit(2), F.size(used) + 2), lambda i: ~F.array_contains(used, F.concat(x["_base"], F.lit("-"), i.cast("string"))))
+        return F.array_append(used, F.when(F.array_contains(used, x["_base"]), F.concat(x["_base"], F.lit("-"), free[0].cast("string"))).otherwise(x["_base"]))
+
+    ids = F.aggregate("_all", F.array().cast("array<string>"), put)
+    folded = items.select(F.inline(F.arrays_zip(F.col("_all._row").alias("r"), ids.alias("i")))).select("r.*", F.col("i").alias(out))
+    return marked.where("not coalesce(_chained, false)").withColumn(out, F.col("_plain")).drop("_plain", "_chained").unionByName(folded.select(*rows.columns, out))
+
+
+def merged_into(runs: DataFrame, groups: DataFrame, key: list[str], members: str = "members") -> DataFrame:
+    """Runs with ``merged``: whether all their members are in one group of the same key."""
+    g = groups.select(*key, F.col(members).alias("_g"))
+    own = F.array_sort(F.col(members))
+    hit = runs.withColumn("_id", own).join(g, key).where(F.size(F.array_except(F.col(members), F.col("_g"))) == 0).select(*key, "_id").distinct().withColumn("merged", F.lit(True))
+    return runs.withColumn("_id", own).join(hit, [*key, "_id"], "left").withColumn("merged", F.coalesce("merged", F.lit(False))).drop("_id")
+
+
+def spread_out(labels: DataFrame, key: list[str], at: str, order: list[str], apart: float = 32.0, most: float | None = None) -> DataFrame:
+    """``at`` pushed up so that neighbours of one key stand ``apart``: the greatest of each predecessor's place plus the steps between,
+    which a running maximum gives; held to ``most`` at the end."""
+    o = W.partitionBy(*key).orderBy(at, *order)
+    moved = labels.withColumn("_i", F.row_number().over(o)).withColumn("_free", F.col(at) - F.col("_i") * apart).withColumn("placed", F.max("_free").over(o.rowsBetween(W.unboundedPreceding, 0)) + F.col("_i") * apart)
+    return moved.withColumn("placed", F.least(F.col("placed"), F.lit(most)) if most is not None else F.col("placed")).drop("_i", "_free")
 
 
 def partition_faults(ranges: DataFrame, key: list[str], start: str = "start", end: str = "end", tolerance: float = 1e-6) -> DataFrame:

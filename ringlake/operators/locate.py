@@ -62,9 +62,22 @@ def near_points(a: DataFrame, b: DataFrame, key: list[str], most: float = 0.0035
 
 
 def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, key: list[str], at: str, target_at: str, target_id: str) -> DataFrame:
-    """Each point's nearest target on the lap, the least target id among equals."""
-    j = points.join(targets, key).withColumn("_d", cyclic.distance(F.col(at), F.col(target_at)))
-    return j.groupBy(*key, *point_id).agg(F.min_by(F.struct(target_id, F.col("_d").alias("lap_distance")), F.struct("_d", target_id)).alias("n")).select(*key, *point_id, f"n.{target_id}", "n.lap_distance")
+    """Each point's nearest target on the lap, the least target id among equals.
+
+    Points and the targets of three laps are merged by their place, so each point looks only at its neighbours.
+    """
+    from pyspark.sql import Window as W
+
+    t = targets.select(*key, F.struct(F.col(target_id).alias("id"), F.col(target_at).alias("at")).alias("_t"), cyclic.frac(F.col(target_at)).alias("_p"))
+    t = t.withColumn("_p", F.explode(F.array(F.col("_p") - 1.0, F.col("_p"), F.col("_p") + 1.0)))
+    p = points.select(*key, F.struct(*point_id, F.col(at).alias("_at")).alias("_row"), cyclic.frac(F.col(at)).alias("_p"))
+    both = t.unionByName(p, allowMissingColumns=True)
+    last = lambda o: F.last("_t", ignorenulls=True).over(o.rowsBetween(W.unboundedPreceding, 0))
+    by = W.partitionBy(*key)
+    both = both.withColumn("_a", last(by.orderBy("_p", F.col("_t").isNull(), F.col("_t.id").desc()))).withColumn("_b", last(by.orderBy(F.col("_p").desc(), F.col("_t").isNull(), F.col("_t.id").desc())))
+    far = lambda c: F.struct(cyclic.distance(F.col("_row._at"), F.col(f"{c}.at")).alias("d"), F.col(f"{c}.id").alias("id"))
+    near = both.where(F.col("_row").isNotNull() & F.col("_a").isNotNull()).withColumn("n", F.least(far("_a"), far("_b")))
+    return near.select(*key, *[F.col(f"_row.{c}").alias(c) for c in point_id], F.col("n.id").alias(target_id), F.col("n.d").alias("lap_distance"))
 
 
 def close_pairs(rows: DataFrame, key: list[str], number: str, at: str, most: float = 0.003) -> DataFrame:

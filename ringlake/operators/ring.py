@@ -71,18 +71,20 @@ def points_at(v: DataFrame, at: DataFrame, fraction: str = "fraction", r: Ring =
     """Rows of ``at(ring key, fraction, ...)`` with the interpolated ``lon, lat`` on their ring.
 
     Fractions wrap (1.0 is the start); with ``clamp`` they are held to 0..1 instead. A target belongs to the first leg
-    whose end reaches it. Rings without length answer their first vertex.
+    whose end reaches it, the last one beyond all. Rings without length answer their first vertex. Legs and targets are
+    merged by their place on the ring, so the work is that of a sort, not of their product.
     """
-    m = measured(v, r).select(*r.key, r.seq, F.col(r.lon).alias("_x"), F.col(r.lat).alias("_y"), "lon2", "lat2", "cum_m", "seg_m", "total_m")
-    m = m.withColumn("_end", F.col("cum_m") + F.col("seg_m"))
-    m = m.withColumn("_lead", F.coalesce(F.max("_end").over(r.inorder.rowsBetween(W.unboundedPreceding, -1)), F.lit(-1.0))).withColumn("_last", F.lead(r.seq).over(r.inorder).isNull())
-    kept = list(at.columns)
-    at = at.select(*r.key, F.struct(*at.columns).alias("_row"), F.col(fraction).alias("_at"))
-    t = at.withColumn("_f", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_at"))) if clamp else F.pmod(F.col("_at"), F.lit(1.0)))
-    target = F.col("_f") * F.col("total_m")
-    hit = (F.col("_lead") < target) & ((target <= F.col("_end")) | F.col("_last"))
-    share = F.when(F.col("seg_m") > 0, F.least(F.lit(1.0), (target - F.col("cum_m")) / F.col("seg_m"))).otherwise(0.0)
-    return t.join(m, list(r.key)).where(hit).select(*[F.col(f"_row.{c}").alias(c) for c in kept], geo.lerp(F.col("_x"), F.col("lon2"), share).alias("lon"), geo.lerp(F.col("_y"), F.col("lat2"), share).alias("lat"))
+    key = list(r.key)
+    leg = F.struct(F.col(r.lon).alias("x"), F.col(r.lat).alias("y"), F.col("lon2").alias("x2"), F.col("lat2").alias("y2"), "cum_m", "seg_m", F.col(r.seq).cast("long").alias("seq"))
+    legs_ = measured(v, r).select(*key, leg.alias("_leg"), (F.col("cum_m") + F.col("seg_m")).alias("_pos"), F.col("total_m").alias("_total"))
+    f = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(fraction))) if clamp else F.pmod(F.col(fraction), F.lit(1.0))
+    both = legs_.unionByName(at.select(*key, F.struct(*at.columns).alias("_row"), f.alias("_f")), allowMissingColumns=True)
+    both = both.withColumn("_total", F.max("_total").over(r.by)).withColumn("_last", F.max(F.struct(F.col("_leg.seq").alias("s"), F.col("_leg").alias("leg"))).over(r.by)["leg"])
+    both = both.withColumn("_pos", F.coalesce("_pos", F.col("_f") * F.col("_total")))
+    down = r.by.orderBy(F.col("_pos").desc(), F.col("_leg").isNull(), F.col("_leg.seq").desc()).rowsBetween(W.unboundedPreceding, 0)
+    hit = both.withColumn("_hit", F.coalesce(F.last("_leg", ignorenulls=True).over(down), F.col("_last"))).where(F.col("_row").isNotNull() & F.col("_hit").isNotNull())
+    share = F.when(F.col("_hit.seg_m") > 0, F.least(F.lit(1.0), (F.col("_pos") - F.col("_hit.cum_m")) / F.col("_hit.seg_m"))).otherwise(0.0)
+    return hit.select(*[F.col(f"_row.{c}").alias(c) for c in at.columns], geo.lerp(F.col("_hit.x"), F.col("_hit.x2"), share).alias("lon"), geo.lerp(F.col("_hit.y"), F.col("_hit.y2"), share).alias("lat"))
 
 
 def nearest_vertex(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:
@@ -105,6 +107,37 @@ def nearest_on_line(v: DataFrame, points: DataFrame, point_key: list[str], r: Ri
     return j.groupBy(*r.key, *point_key).agg(F.min_by(F.struct("fraction", "dist_m"), F.struct("dist_m", r.seq)).alias("n")).select(*r.key, *point_key, "n.fraction", "n.dist_m")
 
 
+def off_line(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:
+    """``dist_m`` from each point (``plon, plat``) to its open line, by the nearest vertex and the two legs beside it."""
+    m = legs(v, r, closed=False)
+    x = lambda c: F.col(c) * F.cos(F.radians("plat"))
+    qx, qy = x("lon2") - x(r.lon), F.col("lat2") - F.col(r.lat)
+    t = F.when((qx == 0) & (qy == 0), 0.0).otherwise(geo.along(x("plon") - x(r.lon), F.col("plat") - F.col(r.lat), qx, qy))
+    foot = geo.haversine(F.col("plon"), F.col("plat"), geo.lerp(F.col(r.lon), F.col("lon2"), t), geo.lerp(F.col(r.lat), F.col("lat2"), t))
+    j = points.join(m, list(r.key)).withColumn("_d", geo.haversine(F.col("plon"), F.col("plat"), F.col(r.lon), F.col(r.lat))).withColumn("_foot", F.when(F.col("lon2").isNotNull(), foot))
+    o = W.partitionBy(*r.key, *point_key).orderBy(r.seq)
+    j = j.withColumn("_beside", F.least("_d", "_foot", F.lag("_foot").over(o)))
+    return j.groupBy(*r.key, *point_key).agg(F.min_by("_beside", F.struct("_d", r.seq)).alias("dist_m"))
+
+
+def rounded_curve(v: DataFrame, r: Ring = R, x: str = "lon", y: str = "lat") -> DataFrame:
+    """A closed Catmull-Rom spline through the vertices as cubic legs: from (``x, y``) by the control points ``c1x, c1y, c2x, c2y`` to
+    ``x2, y2``. Rings under three vertices give none."""
+    whole = r.inorder.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    o, n = r.inorder, F.count("*").over(r.by)
+
+    def at(c: str, by: int):
+        if by < 0:
+            return F.coalesce(F.lag(c).over(o), F.last(c).over(whole))
+        return F.coalesce(F.lead(c, by).over(o), F.nth_value(c, by).over(whole) if by == 1 else F.when(F.lead(c, 1).over(o).isNull(), F.nth_value(c, 2).over(whole)).otherwise(F.first(c).over(whole)))
+
+    s = v.withColumn("_n", n)
+    for c in (x, y):
+        s = s.withColumn(f"_{c}0", at(c, -1)).withColumn(f"_{c}2", at(c, 1)).withColumn(f"_{c}3", at(c, 2))
+    control = [((F.col(c) + (F.col(f"_{c}2") - F.col(f"_{c}0")) / 6).alias(f"c1{d}"), (F.col(f"_{c}2") - (F.col(f"_{c}3") - F.col(c)) / 6).alias(f"c2{d}"), F.col(f"_{c}2").alias(f"{d}2")) for c, d in ((x, "x"), (y, "y"))]
+    return s.where("_n >= 3").select(*r.key, r.seq, x, y, *control[0], *control[1])
+
+
 def densified(v: DataFrame, r: Ring = R, most_m: float = 30.0, closed: bool = True) -> DataFrame:
     """Legs over ``most_m`` are cut into equal pieces: ``seq2`` orders the new vertices."""
     m = legs(v, r, closed)
@@ -123,9 +156,11 @@ def rotated(v: DataFrame, starts: DataFrame, r: Ring = R) -> DataFrame:
 
 
 def oriented(v: DataFrame, want: DataFrame, r: Ring = R) -> DataFrame:
-    """Rings whose winding disagrees with ``want(ring key, direction)``, clockwise or counter-clockwise, are reversed."""
+    """Rings whose winding disagrees with ``want(ring key, direction)`` are reversed: ``clockwise`` asks for a negative area, any
+    other word for the opposite; null and '' ask for nothing."""
     area = summary(v, r).select(*r.key, "area_m2")
-    turn = area.join(want, list(r.key), "left").select(*r.key, (((F.col("direction") == "clockwise") & (F.col("area_m2") > 0)) | ((F.col("direction") == "counter-clockwise") & (F.col("area_m2") < 0))).alias("_turn"))
+    asked = F.col("direction").isNotNull() & (F.col("direction") != "")
+    turn = area.join(want, list(r.key), "left").select(*r.key, (asked & ((F.col("area_m2") < 0) != (F.col("direction") == "clockwise"))).alias("_turn"))
     j = v.join(turn, list(r.key), "left").withColumn("_i", F.row_number().over(r.inorder)).withColumn("_n", F.count("*").over(r.by))
     return j.withColumn(r.seq, F.when(F.coalesce("_turn", F.lit(False)), F.col("_n") - F.col("_i") + 1).otherwise(F.col("_i"))).drop("_i", "_n", "_turn")
 

@@ -69,14 +69,16 @@ def peaks(samples: DataFrame, key: list[str], value: str, lap: str, least: str,
 
 def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str, floor: float = 0.00012, ratio: float = 0.32, most_m: float = 650.0, pre_m: float = 75.0, post_m: float = 55.0) -> DataFrame:
     """``start, end`` (fractions) about each peak: out to the last sample on each side at or above the threshold, at most
-    ``most_m`` away, padded, held to 0..1. The nearest sample below the threshold on each side bounds the walk."""
-    s = samples.select(*key, F.col("i").alias("j"), F.col("s").alias("sj"), F.col(value).alias("vj"), "n", "total_m")
+    ``most_m`` away, padded, held to 0..1. The nearest sample below the threshold on each side bounds the walk; each peak
+    meets only the samples within its reach."""
+    s = samples.select(*key, F.col("i").alias("j"), F.col(value).alias("vj"))
+    sizes = samples.groupBy(*key).agg(F.first("n").alias("n"), F.first("total_m").alias("total_m"))
     step = F.col("total_m") / F.col("n")
-    reach = F.ceil(F.lit(most_m) / step)
-    j = tops.join(s, key).withColumn("_thr", F.greatest(F.lit(floor), F.col("peak") * ratio))
-    ahead, back = F.pmod(F.col("j") - F.col("i"), F.col("n")), F.pmod(F.col("i") - F.col("j"), F.col("n"))
-    low = (F.col("vj") < F.col("_thr")) & (F.col("j") != F.col("i"))
-    g = j.groupBy(*key, "number", "i", "n", "total_m").agg(F.min(F.when(low, ahead)).alias("_a"), F.min(F.when(low, back)).alias("_b"), F.max(reach).alias("_r"))
+    t = tops.join(sizes, key).withColumn("_r", F.ceil(F.lit(most_m) / step).cast("int"))
+    near = F.least(F.col("_r"), F.col("n").cast("int") - 1)
+    t = t.withColumn("_by", F.explode(F.sequence(-near, near))).where("_by <> 0").withColumn("j", F.pmod(F.col("i") + F.col("_by"), F.col("n")).cast("int"))
+    low = F.col("vj") < F.greatest(F.lit(floor), F.col("peak") * ratio)
+    g = t.join(s.withColumn("j", F.col("j").cast("int")), [*key, "j"]).groupBy(*key, "number", "i", "n", "total_m", "_r").agg(F.min(F.when(low & (F.col("_by") > 0), F.col("_by"))).alias("_a"), F.min(F.when(low & (F.col("_by") < 0), -F.col("_by"))).alias("_b"))
     right = F.pmod(F.col("i") + F.least(F.coalesce(F.col("_a") - 1, F.col("_r")), F.col("_r")), F.col("n"))
     left = F.pmod(F.col("i") - F.least(F.coalesce(F.col("_b") - 1, F.col("_r")), F.col("_r")), F.col("n"))
     return g.select(*key, "number", "i", F.greatest(F.lit(0.0), (left * step - pre_m) / F.col("total_m")).alias("start"), F.least(F.lit(1.0), (right * step + post_m) / F.col("total_m")).alias("end"))
@@ -85,15 +87,16 @@ def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str
 def corner_layers(vertices: DataFrame, ring=None, step_m: float = 4.0, smooth_m: float = 90.0, percentile: float = 0.82, least: float = 0.0, apart_m: float = 90.0, most: int | None = None) -> DataFrame:
     """Apexes of a ring's curvature, with direction, severity and range: resample, curvature, two smoothings, peaks, ranges."""
     from ringlake.operators.ring import R, resampled
+    from ringlake.session import written
 
     r = ring or R
     key = list(r.key)
-    s = resampled(vertices, r, step_m).withColumn("ds", F.col("total_m") / F.col("n"))
+    s = written(resampled(vertices, r, step_m).withColumn("ds", F.col("total_m") / F.col("n")), "samples")
     k = curvature(s, key, "ds")
     k = _smooth_by(k, key, F.greatest(F.lit(1), F.round(F.lit(smooth_m) / F.col("ds")).cast("int")))
     k = k.withColumn("abs_k", F.abs("kappa"))
     thr = k.groupBy(*key).agg(F.greatest(F.lit(0.00018), nearest_rank(F.collect_list("abs_k"), percentile)).alias("min_k")) if least <= 0 else k.select(*key).distinct().withColumn("min_k", F.lit(least))
-    k = k.join(thr, key)
+    k = written(k.join(thr, key), "curvature")
     top = peaks(k, key, "abs_k", "total_m", "min_k", apart_m, most)
     top = top.join(k.select(*key, "i", "kappa", F.col("abs_k").alias("peak"), "lon", "lat", "total_m", "min_k"), [*key, "i"])
     ranges = grown_ranges(k, top.select(*key, "number", "i", "peak"), key, "abs_k")

@@ -19,35 +19,55 @@ def all_of(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def repeated(rows: DataFrame, by: list[str], rule: str, what: str) -> DataFrame:
-    g = rows.groupBy(*KEY, *[b for b in by if b not in KEY]).agg(F.count("*").alias("n")).where("n > 1")
-    return violation(g, rule, "error", F.concat(F.lit(f"{what} "), F.col(by[-1]).cast("string"), F.lit(" x"), F.col("n").cast("string")))
+def _flagged(rows: DataFrame, *rules: tuple[str, Column, Column]) -> DataFrame:
+    """Violations of one pass over ``rows``: each rule is a name, when a row breaks it, and what it says."""
+    found = [F.when(bad, F.struct(F.lit(name).alias("rule"), F.lit("error").alias("level"), detail.cast("string").alias("detail"))) for name, bad, detail in rules]
+    return rows.select(*KEY, F.inline(F.array_compact(F.array(*found))))
+
+
+def _times(by, order: str) -> tuple[Column, Column]:
+    """How often a row's key occurs, and whether the row is its first."""
+    return F.count("*").over(by), F.row_number().over(by.orderBy(order)) == 1
 
 
 def point_rules(items: DataFrame) -> DataFrame:
     """Point items ``(slug, layout_id, layer_id, id, number, code, labels)``: unique ids; corners numbered 1..N with unique codes
-    and a numbered label."""
-    c = items.where("layer_id = 'corners'")
-    span = c.groupBy(*KEY).agg(F.count("*").alias("n"), F.count_if(F.col("number").isNull()).alias("nulls"), F.min("number").alias("lo"), F.max("number").alias("hi"), F.count_distinct("number").alias("d"))
-    return all_of(
-        repeated(items, [*KEY, "layer_id", "id"], "item_id_unique", "id"),
-        violation(span.where("nulls > 0 or lo <> 1 or hi <> n or d <> n"), "numbers_1_to_n", "error", F.format_string("%d corners, %d to %d", "n", "lo", "hi")),
-        violation(c.where("code is null or code = ''"), "code_present", "error", F.col("id")),
-        repeated(c.where("code <> ''"), [*KEY, "code"], "code_unique", "code"),
-        violation(c.where(F.try_element_at("labels", F.lit("numbered")).isNull()), "numbered_label", "error", F.col("id")),
+    and a numbered label. One shuffle by layout serves all windows."""
+    corner = F.col("layer_id") == "corners"
+    layer = W.partitionBy(*KEY, "layer_id")
+    c = items
+    for name, by in (("id", W.partitionBy(*KEY, "layer_id", "id")), ("code", W.partitionBy(*KEY, "layer_id", "code")), ("number", W.partitionBy(*KEY, "layer_id", "number"))):
+        n, first = _times(by, "id")
+        c = c.withColumn(f"_n_{name}", n).withColumn(f"_first_{name}", first)
+    c = c.withColumn("_n", F.count("*").over(layer)).withColumn("_nulls", F.count(F.when(F.col("number").isNull(), 1)).over(layer)).withColumn("_lo", F.min("number").over(layer)).withColumn("_hi", F.max("number").over(layer))
+    c = c.withColumn("_d", F.sum((F.col("_first_number") & F.col("number").isNotNull()).cast("int")).over(layer)).withColumn("_one", F.row_number().over(layer.orderBy("id")) == 1)
+    off = (F.col("_nulls") > 0) | ~F.col("_lo").eqNullSafe(F.lit(1)) | ~F.col("_hi").eqNullSafe(F.col("_n")) | (F.col("_d") != F.col("_n"))
+    blank = F.coalesce("code", F.lit("")) == ""
+    times = lambda what, col, n: F.concat(F.lit(f"{what} "), F.col(col), F.lit(" x"), F.col(n).cast("string"))
+    return _flagged(
+        c,
+        ("item_id_unique", F.col("_first_id") & (F.col("_n_id") > 1), times("id", "id", "_n_id")),
+        ("numbers_1_to_n", corner & F.col("_one") & off, F.format_string("%d corners, %d to %d", "_n", "_lo", "_hi")),
+        ("code_present", corner & blank, F.col("id")),
+        ("code_unique", corner & ~blank & F.col("_first_code") & (F.col("_n_code") > 1), times("code", "code", "_n_code")),
+        ("numbered_label", corner & F.try_element_at("labels", F.lit("numbered")).isNull(), F.col("id")),
     )
 
 
 def range_rules(items: DataFrame, tolerance: float = 1e-6) -> DataFrame:
-    """Range items ``(slug, layout_id, layer_id, coverage, id, start, end)``: unique ids, start before end, true partitions."""
-    o = W.partitionBy(*KEY, "layer_id").orderBy("start", "end")
-    part = items.where("coverage = 'partition'").withColumn("_d", F.col("start") - F.lag("end").over(o))
-    ends = part.groupBy(*KEY, "layer_id").agg(F.min("start").alias("a"), F.max("end").alias("b"))
-    return all_of(
-        repeated(items, [*KEY, "layer_id", "id"], "range_id_unique", "id"),
-        violation(items.where("not (start < end)"), "start_before_end", "error", F.col("id")),
-        violation(part.where(F.abs("_d") > tolerance), "partition_contiguous", "error", F.col("id")),
-        violation(ends.where((F.abs("a") > tolerance) | (F.abs(F.col("b") - 1.0) > tolerance)), "partition_covers", "error", F.col("layer_id")),
+    """Range items ``(slug, layout_id, layer_id, coverage, id, start, end)``: unique ids, start before end, true partitions; in one pass."""
+    layer = W.partitionBy(*KEY, "layer_id")
+    o = layer.orderBy("start", "end")
+    part = F.col("coverage") == "partition"
+    n, first = _times(W.partitionBy(*KEY, "layer_id", "id"), "start")
+    c = items.withColumn("_n_id", n).withColumn("_first_id", first).withColumn("_d", F.col("start") - F.lag("end").over(o)).withColumn("_one", F.row_number().over(o) == 1)
+    c = c.withColumn("_a", F.min("start").over(layer)).withColumn("_b", F.max("end").over(layer))
+    return _flagged(
+        c,
+        ("range_id_unique", F.col("_first_id") & (F.col("_n_id") > 1), F.concat(F.lit("id "), F.col("id"), F.lit(" x"), F.col("_n_id").cast("string"))),
+        ("start_before_end", ~F.coalesce(F.col("start") < F.col("end"), F.lit(False)), F.col("id")),
+        ("partition_contiguous", F.coalesce(part & (F.abs("_d") > tolerance), F.lit(False)), F.col("id")),
+        ("partition_covers", F.coalesce(part & F.col("_one") & ((F.abs("_a") > tolerance) | (F.abs(F.col("_b") - 1.0) > tolerance)), F.lit(False)), F.col("layer_id")),
     )
 
 
@@ -97,8 +117,13 @@ def outline_rules(rings: DataFrame) -> DataFrame:
     return all_of(violation(rings.where("vertices < 8"), "outline_points", "error", F.col("vertices")), violation(rings.where("not closed"), "outline_closed", "error", F.lit("open")))
 
 
-def roll_up(violations: DataFrame, checks: DataFrame) -> DataFrame:
-    """Bar of each ``(slug, rule)`` of ``checks``: false where an error stands, else true; a slug meets the bar if all do."""
-    bad = violations.where("level = 'error'").select("slug", "rule").distinct().withColumn("bad", F.lit(True))
-    bars = checks.join(bad, ["slug", "rule"], "left").withColumn("ok", ~F.coalesce("bad", F.lit(False)))
-    return bars.groupBy("slug").agg(F.bool_and("ok").alias("meets"), F.count_if(~F.col("ok")).alias("failed"))
+def roll_up(violations: DataFrame, checks: DataFrame, bar: list[str]) -> DataFrame:
+    """Each slug against the rules of ``bar``: a rule is false where an error of it stands, true where ``checks(slug, rule)`` says it was looked
+    at and none stands, else unknown. A slug ``meets`` the bar if all are true; ``failed`` and ``unknown`` list the others in the bar's order."""
+    need = checks.select("slug").distinct().withColumn("rule", F.explode(F.array(*map(F.lit, bar))))
+    seen = checks.select("slug", "rule").distinct().withColumn("_seen", F.lit(True))
+    bad = violations.where("level = 'error'").select("slug", "rule").distinct().withColumn("_bad", F.lit(True))
+    state = need.join(seen, ["slug", "rule"], "left").join(bad, ["slug", "rule"], "left").withColumn("ok", F.when(F.col("_bad"), False).when(F.col("_seen"), True))
+    place = F.array_position(F.array(*map(F.lit, bar)), F.col("rule"))
+    listed = lambda c: F.transform(F.array_sort(F.collect_list(F.when(c, F.struct(place.alias("i"), "rule")))), lambda x: x["rule"])
+    return state.groupBy("slug").agg(F.bool_and(F.coalesce("ok", F.lit(False))).alias("meets"), listed(~F.col("ok")).alias("failed"), listed(F.col("ok").isNull()).alias("unknown"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -16,3 +19,16 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     for k, v in {**base, **conf}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a table in the folder of ``spark.checkpoint.dir`` and read again: what several parts of a plan need is computed once, and lost
+    executors do not bring it back. Only where the session names no folder (tests) is it one of this machine."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="ringlake-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

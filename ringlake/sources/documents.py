@@ -140,3 +140,28 @@ def json_schema(kind: T.DataType) -> dict:
 def write_json_schema(kind: T.DataType, path: str) -> None:
     with open(path, "w") as f:
         json.dump({"$schema": "https://json-schema.org/draft/2020-12/schema", **json_schema(kind)}, f, indent=2, sort_keys=True)
+
+
+def bbox_query(south: float, west: float, north: float, east: float, timeout: int = 180) -> str:
+    """Text that asks a map server for the raceways in a box, with their geometry."""
+    return f'[out:json][timeout:{timeout}];(way["highway"="raceway"]({south},{west},{north},{east}););out geom;'
+
+
+def relation_query(relation: int, timeout: int = 120) -> str:
+    """Text that asks for one relation with its members' geometry."""
+    return f"[out:json][timeout:{timeout}];relation({int(relation)});out geom;"
+
+
+def slugs(spark: SparkSession, folder: str, file: str = "source.json") -> DataFrame:
+    """``slug`` of every track folder that holds ``file``."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", file.rsplit("/", 1)[-1]).load(folder).select("path")
+    return found.select(F.regexp_extract("path", rf"/([^/]+)/{file}$", 1).alias("slug")).where("slug <> ''").distinct()
+
+
+def imported(sources: DataFrame, fetched: DataFrame) -> DataFrame:
+    """What an import of ``sources`` still lacks: ``(slug, kind, key)`` of every source that a track names and ``fetched(slug, kind, key)`` has not."""
+    laps = sources.select("slug", F.explode("layouts").alias("l")).select("slug", F.lit("lap").alias("kind"), F.col("l.lovely").alias("key"))
+    rel = sources.select("slug", F.lit("relation").alias("kind"), F.col("osm.relation").cast("string").alias("key"))
+    box = sources.where(F.col("osm.bbox").isNotNull()).select("slug", F.lit("ways").alias("kind"), F.lit("bbox").alias("key"))
+    need = laps.union(rel).union(box).where("key is not null").distinct()
+    return need.join(fetched, ["slug", "kind", "key"], "left_anti")
