@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import bytescan as B
-from ringlake.llm.spaces import components, free_names, staged
+from ringlake.llm.spaces import components, free_names, staged, widths
 
 LANES = np.uint64(0x0101010101010101)
 
@@ -299,7 +299,8 @@ def compared(tasks: DataFrame, texts: DataFrame, similar: float, shingle: int) -
             yield done()
 
     found = tasks.join(texts, ["id", "mark"]).select("key", "p", "q", "root", "fp", "text")
-    return staged(found.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long, key long").distinct(), "links")
+    # several tasks a shuffle partition, since each holds its texts at once
+    return staged(found.repartition(4 * widths(texts.sparkSession), "key", "p", "q").sortWithinPartitions("key", "p", "q", "fp").mapInArrow(search, "src long, dst long, key long").distinct(), "links")
 
 
 def shared_links(prints: DataFrame, texts: DataFrame, similar: float, shingle: int, shard_cap: int = 2048) -> DataFrame:
