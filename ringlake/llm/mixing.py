@@ -126,7 +126,8 @@ def mix(rows: DataFrame, members_col: str, size_col: str, key: list[str], weight
     ``members_col`` is a sorted array of sources, null standing for itself. ``weights(sources)`` gives their weights.
     A pattern's documents stand in seeded order, those large against the flow's remainder first, larger ones earlier;
     their copies are laid end to end, once for each use, and a copy goes to the source in whose interval its middle
-    falls. Cumulative sums run over hash slices first, so no task orders a whole source. Rows of size 0 are never taken.
+    falls. Cumulative sums run over hash slices first, so no task orders a whole source. What a source's taken tokens then
+    lack or exceed is closed by single documents, whichever is nearest to it in size. Rows of size 0 are never taken.
     Raises beyond ``max_patterns`` membership patterns, which are collected.
     """
     spark = rows.sparkSession
@@ -152,7 +153,7 @@ def mix(rows: DataFrame, members_col: str, size_col: str, key: list[str], weight
         plan.append((list(members), size, at % size if size and at < repeats * size else 0, ends))
     schema = "_members array<string>, _tokens bigint, _rest bigint, _ends array<struct<source string, upto bigint>>"
     plans = F.broadcast(spark.createDataFrame(plan, schema))  # one row a pattern, bounded above
-    slices = max(16, min(65_536, count // 20_000))
+    slices = max(64, min(1 << 20, count // 1000))
     h = F.xxhash64(*key, F.lit(seed))
     known = rows.join(plans, F.col(members_col).eqNullSafe(F.col("_members"))).where(F.col(size_col) > 0)
     big = F.when(F.col(size_col) > F.col("_rest"), F.lit(100)).when(F.col(size_col) * 100 > F.col("_rest"), 40 - F.floor(F.log2(F.col(size_col).cast("double"))).cast("int")).otherwise(F.lit(50))
@@ -167,11 +168,55 @@ def mix(rows: DataFrame, members_col: str, size_col: str, key: list[str], weight
         return F.slice(F.transform(F.filter("_ends", lambda e: at < e["upto"]), lambda e: e["source"]), 1, 1)
 
     copies = F.flatten(F.array(*map(owner, middle)))
-    taken = placed.select(*rows.columns, copies.alias("_copies"))
+    taken = closer(placed.select(*rows.columns, copies.alias("_copies")), members_col, size_col, key, goal, repeats, seed)
     none = rows.where(F.coalesce(F.col(size_col), F.lit(0)) <= 0).withColumn("_copies", F.array().cast("array<string>"))
     return taken.unionByName(none), sizes, goal
 
 
+def closer(taken: DataFrame, members_col: str, size_col: str, key: list[str], goal: dict, repeats: int, seed: int, rounds: int = 6) -> DataFrame:
+    """``taken`` with one copy more or less of a few rows: in each round that of each source's document whose size comes nearest to what the
+    source lacks or exceeds then. A source keeps the moves up to where it was nearest to its goal, so a large document may
+    leave for smaller ones. The driver holds one row a source and round."""
+    spark = taken.sparkSession
+    rows = staged(taken.withColumn("_u", F.monotonically_increasing_id()), "taken")
+    sums = {r[0]: int(r[1]) for r in rows.select(F.explode("_copies").alias("x"), size_col).groupBy("x").agg(F.sum(size_col)).collect()}
+    gap = {x: g - sums.get(x, 0) for x, g in goal.items()}
+    done: list[tuple] = []
+    least = {x: (abs(g), 0) for x, g in gap.items()}  # the nearest so far, and after how many moves
+    count = dict.fromkeys(gap, 0)
+    for _ in range(rounds):
+        if all(abs(g) < 1 for g in gap.values()):
+            break
+        gaps = F.broadcast(spark.createDataFrame([(x, float(g)) for x, g in gap.items() if abs(g) >= 1] or [("", 0.0)], "_x string, _gap double").where("_gap <> 0"))
+        free = rows.join(F.broadcast(spark.createDataFrame([(u,) for u, *_ in done], "_u long")), "_u", "left_anti") if done else rows
+        one = free.select("_u", F.col(size_col).alias("_s"), "_copies", F.xxhash64(*key, F.lit(seed)).alias("_h"), F.explode(members_col).alias("_x2")).join(gaps, F.col("_x").eqNullSafe(F.col("_x2")))
+        may = F.when(F.col("_gap") > 0, F.size("_copies") < repeats).otherwise(F.exists("_copies", lambda c: c.eqNullSafe(F.col("_x2"))))
+        off = F.abs(F.abs("_gap") - F.col("_s"))
+        best = one.where(may).groupBy("_x2").agg(F.min(F.struct(off.alias("off"), "_h", "_u", "_s")).alias("b")).select("_x2", "b._u", "b._s").collect()
+        if not best:
+            break
+        for x, u, s in best:
+            if any(u == d[0] for d in done):
+                continue  # another source's already
+            done.append((u, x, 1 if gap[x] > 0 else -1))
+            gap[x] -= s * done[-1][2]
+            count[x] += 1
+            least[x] = min(least[x], (abs(gap[x]), count[x]))
+    left = {x: n for x, (_, n) in least.items()}
+    kept = []
+    for move in done:
+        if left[move[1]] > 0:
+            left[move[1]] -= 1
+            kept.append(move)
+    done = kept
+    if not done:
+        return rows.drop("_u")
+    moves = F.broadcast(spark.createDataFrame(done, "_u long, _to string, _by int"))
+    at = F.array_position(F.transform("_copies", lambda c: F.coalesce(c, F.lit("\x00"))), F.coalesce("_to", F.lit("\x00"))).cast("int")
+    less = F.filter("_copies", lambda c, i: i + 1 != at)
+    return rows.join(moves, "_u", "left").withColumn("_copies", F.when(F.col("_by") == 1, F.array_append("_copies", F.col("_to"))).when(F.col("_by") == -1, less).otherwise(F.col("_copies"))).drop("_u", "_to", "_by")
+
+
 def cycle_weights(order: list) -> dict:
     return {x: (5, 2, 1)[i % 3] for i, x in enumerate(order)}
 
