@@ -36,25 +36,25 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-only": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only"],
+    "GPL-3.0-or-later": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
-    "GPL-2.0": [
-        "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-only": ["This work is licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only"],
+    "GPL-2.0-or-later": [
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-2.0-only",
         "SPDX-License-Identifier: GPL-2.0-or-later",
     ],
-    "LGPL-2.1": [
+    "LGPL-2.1-only": ["SPDX-License-Identifier: LGPL-2.1-only"],
+    "LGPL-2.1-or-later": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
-    "AGPL-3.0": [
-        "Licensed under the GNU Affero General Public License, version 3.",
-        "SPDX-License-Identifier: AGPL-3.0-only",
+    "AGPL-3.0-only": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "AGPL-3.0-or-later": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
     ],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
@@ -76,7 +76,11 @@ TEMPLATES = {
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "SPDX-License-Identifier: EPL-2.0"],
+    "Zlib": ["SPDX-License-Identifier: Zlib"],
+    "0BSD": ["SPDX-License-Identifier: 0BSD"],
+    "Unlicense": ["SPDX-License-Identifier: Unlicense", "This is free and unencumbered software released into the public domain."],
 }
 CUE = r"(?i)licen[sc]|spdx|permission is hereby|permission to use|redistribution|free software|public domain|cc[ -]by|cc0"
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
@@ -112,6 +116,7 @@ class Scanner:
                 primed = zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 self.all.append((name, w, zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False)))
         self.longest = max(len(w) for _, w, _ in self.all)
+        self.known: dict[bytes, tuple | None] = {}
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
         """Paragraphs of several lines with a cue, windowed about the cue by a template's length on each side where they run long,
@@ -133,14 +138,19 @@ class Scanner:
                         yield span
 
     def pieces(self, text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
-        """The block; a long line also by its sentences with a cue and their successors up to a template's length."""
-        yield a, b
+        """The block, unless it is a line of more than two windows; a long line also by its sentences with a cue, and by those with their
+        successors, up to a template's length on each side of the cue."""
+        reach = 10 * self.longest
+        if b - a <= 48 * self.longest:
+            yield a, b
         if b - a > 300:
             for m in self.cue.finditer(text, a, b):
-                lo = max(text.rfind(". ", a, m.start()), text.rfind("! ", a, m.start())) + 2
-                yield max(a, lo if lo > 1 else a), min(b, m.start() + 10 * self.longest)
-                stop = text.find(". ", m.end(), b)
-                yield max(a, lo if lo > 1 else a), b if stop < 0 else stop + 1
+                left, right = max(a, m.start() - reach), min(b, m.start() + reach)
+                lo = max(text.rfind(". ", left, m.start()), text.rfind("! ", left, m.start())) + 2
+                lo = lo if lo > 1 else left
+                yield lo, right
+                stop = text.find(". ", m.end(), right)
+                yield lo, right if stop < 0 else stop + 1
 
     def settle(self, text: str, a: int, b: int) -> Verdict | None:
         found = [(m.group().lower(), a + m.start(), a + m.end()) for m in WORD.finditer(text[a:b])]
@@ -148,6 +158,16 @@ class Scanner:
             return None
         own = [w for w, _, _ in found]
         flat = " ".join(own).encode()
+        if flat not in self.known:  # the verdict depends on the words alone
+            if len(self.known) > 4096:
+                self.known.clear()
+            self.known[flat] = self.judged(own, flat)
+        if best := self.known[flat]:
+            lo, hi, *rest = best
+            return Verdict(found[lo][1], found[hi - 1][2], *rest)
+        return None
+
+    def judged(self, own: list[str], flat: bytes) -> tuple | None:
         alone = len(self.plain.compress(flat))
         ranked = sorted(((alone - len(c.compress(flat))) / alone, name, i) for i, (name, _, c) in enumerate(self.all))
         best = None
@@ -167,7 +187,7 @@ class Scanner:
             exact = not lacking and not beyond
             rank = (exact, len(want) if exact else 0, share, saving)
             if best is None or rank > best[0]:
-                best = rank, Verdict(found[lo][1], found[hi - 1][2], name, "exact" if exact else "variant", saving, lacking, beyond)
+                best = rank, (lo, hi, name, "exact" if exact else "variant", saving, lacking, beyond)
         return best and best[1]
 
     def settled(self, text: str, a: int, b: int) -> Iterator[Verdict]:
