@@ -14,9 +14,38 @@ from ringlake.llm.substring_dedup import op4_debruijn_substring_dedup
 from ringlake.llm.toxicity import op2_toxicity_noisy_or
 
 
+#: Windows of 35 words grouped and counted; a word goes if one of the last 35 windows that began up to it occurs twice.
+REPEATS = """WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w)), twice AS (SELECT h FROM win GROUP BY 1 HAVING count(*) > 1), bad AS (SELECT doc_id, i FROM win WHERE h IN (FROM twice)),
+words AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+kept AS (SELECT words.doc_id, words.i, word, max(CASE WHEN bad.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM words LEFT JOIN bad ON bad.doc_id = words.doc_id AND bad.i = words.i),
+sums AS (SELECT doc_id, sum(gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS t FROM kept GROUP BY 1)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN sums ON sums.doc_id = w.doc_id"""
+EDITED = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), n AS (SELECT *, length(t) AS n, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nxt FROM d)
+SELECT doc_id, n AS n_chars, sha256(left(t, n - n // 2) || left(nxt, n // 2)) AS edited_sha256 FROM n"""
+#: The level of water over sources: those whose triple size lies under it are full.
+TARGETS = """WITH s AS (SELECT doc_id, source, CAST(len(coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), [])) AS BIGINT) AS size FROM documents), g AS (SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM s GROUP BY 1),
+w AS (SELECT *, [5.0, 2.0, 1.0][(i - 1) % 3 + 1] AS weight, 3.0 * source_size AS cap FROM g), o AS (SELECT *, cap / weight AS ratio, coalesce(sum(cap) OVER (ORDER BY cap / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(weight) OVER (ORDER BY cap / weight, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, sum(source_size) OVER () AS total FROM w),
+l AS (SELECT arg_min(level, (ratio, i)) AS level FROM (SELECT (total - before) / open AS level, ratio, i FROM o) WHERE level <= ratio)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(least(cap, weight * coalesce(level, cap)), 6) AS target FROM s JOIN o ON o.source IS NOT DISTINCT FROM s.source CROSS JOIN l"""
+
+
+def edited_texts(spark, sf_dir: str):
+    """The part of the I-Match query that SQL expresses."""
+    return op5_imatch_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def mix_targets(spark, sf_dir: str):
+    """The part of the mixing query that SQL expresses."""
+    from pyspark.sql import functions as F
+
+    return op6_min_cost_flow_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_license_scan, op2_toxicity_noisy_or, op3_tree_model_html_text, op4_debruijn_substring_dedup, op5_imatch_fingerprints, op6_min_cost_flow_mixing, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op9_keyed_surrogates, op10_byte_cnn_language)}
+    own = (op1_license_scan, op2_toxicity_noisy_or, op3_tree_model_html_text, op4_debruijn_substring_dedup, op5_imatch_fingerprints, op6_min_cost_flow_mixing, op7_simhash_near_dedup, op8_greedy_tiling_decontamination, op9_keyed_surrogates, op10_byte_cnn_language)
+    return {f.__name__: f for f in (*own, edited_texts, mix_targets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_debruijn_substring_dedup": REPEATS, "edited_texts": EDITED, "mix_targets": TARGETS}
