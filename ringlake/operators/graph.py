@@ -189,8 +189,17 @@ def member_segments(relations: DataFrame, key: list[str]) -> DataFrame:
     return ways.where(F.size("m.geometry") >= 2).select(*key, "ord", F.lit("").alias("name"), "expected_m", F.transform("m.geometry", lambda g: F.struct(g["lon"].alias("lon"), g["lat"].alias("lat"))).alias("points"))
 
 
-#: Names of ways that are no part of a lap.
-OFF_LAP = r"(?i)pit|kart|drift|drag|service|access|paddock|parking|skid"
+#: Names of ways that are no part of a lap, and of those that are no corner.
+OFF_LAP = r"(?i)pit|penalty|long lap|safety|kart|karting|moto\b|motorcycle|drift|short|club course|school|oval|ドリフト|ショート|カート|スクール|paddock|service|access"
+NO_CORNER = r"(?i)pit|circuit|ligne droite|straight|long lap|penalty|safety car|porsche center|maison blanche|s du garage|moto"
+
+
+def corner_ways(ways: DataFrame, key: list[str]) -> DataFrame:
+    """``(key, ord, name, points, lon, lat)``: named ways (``elements``) of two points or more whose name may be a corner's, with their mean point."""
+    w = ways.select(*key, F.posexplode("elements").alias("ord", "e")).where((F.col("e.type") == "way") & (F.size("e.geometry") >= 2))
+    w = w.withColumn("name", F.try_element_at("e.tags", F.lit("name"))).where((F.coalesce("name", F.lit("")) != "") & ~F.col("name").rlike(NO_CORNER))
+    mean = lambda c: F.aggregate(F.transform("e.geometry", lambda g: g[c]), F.lit(0.0), lambda a, x: a + x) / F.size("e.geometry")
+    return w.select(*key, "ord", "name", F.transform("e.geometry", lambda g: F.struct(g["lon"].alias("lon"), g["lat"].alias("lat"))).alias("points"), mean("lon").alias("lon"), mean("lat").alias("lat"))
 
 
 def way_segments(ways: DataFrame, key: list[str], drop: str = OFF_LAP) -> DataFrame:

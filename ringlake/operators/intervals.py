@@ -49,8 +49,8 @@ def sector_rows(bounds: DataFrame) -> DataFrame:
     return bounds.select("*", F.inline(F.array(one("S1", F.lit(0.0), F.col("b1")), one("S2", F.col("b1"), F.col("b2")), one("S3", F.col("b2"), F.lit(1.0))))).drop("b1", "b2")
 
 
-def phases(corners: DataFrame, key: list[str], marker: str, number: str, scale: str, lap_m: str, group: str) -> DataFrame:
-    """Adds ``start, apex, end, brakes`` (fractions): braking and exit distances by severity, split with a cyclic neighbour
+def phases(corners: DataFrame, key: list[str], marker: str, number: str, scale: str, lap_m: str, group: str, digits: int | None = 5) -> DataFrame:
+    """Adds ``start, apex, end, brakes`` (fractions, rounded to ``digits`` places unless None): braking and exit distances by severity, split with a cyclic neighbour
     where they overlap or where both corners belong to one non-empty group. Rows without marker or lap length go."""
     c = corners.where(F.col(marker).isNotNull() & (F.col(lap_m) > 0))
     at = F.coalesce(F.nullif(scale, F.lit(0)), F.lit(DEFAULT_SCALE))
@@ -70,7 +70,8 @@ def phases(corners: DataFrame, key: list[str], marker: str, number: str, scale:
     own = F.struct("apex", "_b", "_x", F.col(group).alias("g"))
     end = F.coalesce(border(own, F.col("_n")), cyclic.frac(F.col("apex") + F.col("_x")))
     start = F.coalesce(border(F.col("_p"), own), cyclic.frac(F.col("apex") - F.col("_b")))
-    return c.withColumn("start", start).withColumn("end", end).withColumn("brakes", F.col("_brake_m") > 0).drop("_b", "_x", "_n", "_p", "_brake_m")
+    fixed = (lambda x: x) if digits is None else (lambda x: F.round(x, digits))
+    return c.withColumn("start", fixed(start)).withColumn("end", fixed(end)).withColumn("apex", fixed(F.col("apex"))).withColumn("brakes", F.col("_brake_m") > 0).drop("_b", "_x", "_n", "_p", "_brake_m")
 
 
 def usable_bounds(rows: DataFrame, key: list[str], lap_m: str, marker: str = "marker", start: str = "start", end: str = "end") -> DataFrame:

@@ -37,3 +37,17 @@ def states(profiled: DataFrame, key: list[str], band: float = 0.4) -> DataFrame:
 
     d = neighbour("speed", key, 1) - F.col("speed")
     return profiled.withColumn("state", F.when(d < -band, "brake").when(d > band, "throttle").otherwise("corner"))
+
+
+def sampled(profiled: DataFrame, at: DataFrame, key: list[str], metres: str) -> DataFrame:
+    """Rows of ``at(key, metres, ...)`` with the sample ``i`` they follow, the ``share`` of the way to the next one and the interpolated ``speed``, on
+    profiles ``(key, i, s, step, speed)``; metres wrap at the lap. Samples and places are merged, so each place looks at one sample only."""
+    from ringlake.operators.signal import neighbour
+
+    by = W.partitionBy(*key)
+    p = profiled.withColumn("_next", neighbour("speed", key, 1)).select(*key, F.struct("i", "s", "step", "speed", "_next").alias("_p"), F.col("s").alias("_pos"), "step")
+    both = p.unionByName(at.select(*key, F.struct(*at.columns).alias("_row"), F.col(metres).alias("_m")), allowMissingColumns=True).withColumn("_lap", F.sum("step").over(by))
+    both = both.withColumn("_pos", F.coalesce("_pos", F.pmod("_m", "_lap")))
+    hit = both.withColumn("_p", F.last("_p", ignorenulls=True).over(by.orderBy("_pos", F.col("_p").isNull(), "_p.i").rowsBetween(W.unboundedPreceding, 0))).where("_row is not null and _p is not null")
+    share = F.coalesce((F.col("_pos") - F.col("_p.s")) / F.nullif("_p.step", F.lit(0.0)), F.lit(0.0))
+    return hit.select(*[F.col(f"_row.{c}").alias(c) for c in at.columns], F.col("_p.i").alias("i"), share.alias("share"), (F.col("_p.speed") + (F.col("_p._next") - F.col("_p.speed")) * share).alias("speed"))

@@ -112,11 +112,11 @@ def apex_report(corners: DataFrame, apexes: DataFrame, totals: DataFrame, far_m:
     return apex_distances(corners, apexes, totals).withColumn("far", F.col("metres") > far_m)
 
 
-def phase_preview(corners: DataFrame, groups: DataFrame, apexes: DataFrame | None = None) -> DataFrame:
+def phase_preview(corners: DataFrame, groups: DataFrame, apexes: DataFrame | None = None, digits: int | None = 5) -> DataFrame:
     """``start, apex, end, brakes, span_m`` of corners ``(slug, layout_id, id, number, marker, scale, lap_m)`` under the groups of several members,
     and with ``apexes`` the metres to the nearest one (null over 995)."""
     g = groups.where(F.size("members") > 1).select(*KEY, "label", F.explode("members").alias("id")).groupBy(*KEY, "id").agg(F.max("label").alias("grp"))
-    p = intervals.phases(corners.join(g, [*KEY, "id"], "left"), KEY, "marker", "number", "scale", "lap_m", "grp")
+    p = intervals.phases(corners.join(g, [*KEY, "id"], "left"), KEY, "marker", "number", "scale", "lap_m", "grp", digits)
     out = p.withColumn("span_m", F.round(cyclic.gap(F.col("start"), F.col("end")) * F.col("lap_m")))
     if apexes is not None:
         d = apex_distances(corners, apexes, corners.select(*KEY, F.col("lap_m").alias("total_m")).distinct()).select(*KEY, "id", F.when(F.col("metres") < 995, F.col("metres")).alias("apex_m"))

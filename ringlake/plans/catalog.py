@@ -326,6 +326,15 @@ def speed_states(spark, sf):
     return solver.states(speeds(spark, sf).withColumn("speed", r6("speed")), ["vec_id"]).groupBy("vec_id", "state").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH {SPEED}, p AS (SELECT vec_id, i, sqrt(greatest(0.0, w)) AS speed FROM w WHERE t = 0), n AS (SELECT *, coalesce(lead(speed) OVER o, first_value(speed) OVER o) AS nxt FROM p WINDOW o AS (PARTITION BY vec_id ORDER BY i)),
+d AS (SELECT DISTINCT vec_id, unnest([-37.5, 12.5, 635.0, 1300.0]) AS at FROM signals), q AS (SELECT vec_id, CAST("at" AS DOUBLE) AS "at", CAST("at" - 640.0 * floor("at" / 640.0) AS DOUBLE) AS d FROM d)
+SELECT q.vec_id, "at", CAST(i AS INTEGER) AS i, round(speed + (nxt - speed) * (d - 10.0 * i) / 10.0, 6) AS speed FROM q JOIN n ON n.vec_id = q.vec_id AND n.i = CAST(floor(d / 10.0) AS INTEGER)""".replace("AS at FROM signals", 'AS "at" FROM signals'))
+def speed_samples(spark, sf):
+    p = speeds(spark, sf).withColumn("s", F.col("i") * 10.0)
+    at = read(spark, sf, "embeddings").select("vec_id", F.explode(F.array(*map(F.lit, [-37.5, 12.5, 635.0, 1300.0]))).alias("at"))
+    return solver.sampled(p, at, ["vec_id"], "at").select("vec_id", "at", "i", r6("speed").alias("speed"))
+
+
 # ---- corners -----------------------------------------------------------------------------------------------------
 
 PHASES = f"""{CORNERS}, ph0 AS (SELECT *, [250.0, 180.0, 120.0, 70.0, 35.0, 0.0][scale] / lap_m AS b, [170.0, 130.0, 100.0, 70.0, 45.0, 0.0][scale] / lap_m AS x, marker % 1.0 AS apex FROM corners WHERE lap_m > 0),
@@ -338,7 +347,7 @@ phases AS (SELECT *, CASE WHEN px + b > gp OR (grp <> '' AND grp = pg) THEN (pa
 
 
 def phased(spark, sf) -> DataFrame:
-    return intervals.phases(corners(spark, sf), ["layout"], "marker", "number", "scale", "lap_m", "grp")
+    return intervals.phases(corners(spark, sf), ["layout"], "marker", "number", "scale", "lap_m", "grp", None)
 
 
 @query(f'WITH {PHASES} SELECT layout, number, round(s, 9) AS "start", round(apex, 9) AS apex, round(e, 9) AS "end", scale < 6 AS brakes FROM phases')

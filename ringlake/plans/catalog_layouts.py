@@ -155,7 +155,7 @@ def far_apexes(spark, sf):
 SELECT layout, number, round(s, 9) AS "start", round(e, 9) AS "end", scale < 6 AS brakes, round((round(e, 9) - round(s, 9) + 1.0) % 1.0 * lap_m, 3) AS span FROM phases""")
 def phase_preview(spark, sf):
     c = laid(spark, sf)
-    p = audit.phase_preview(c.drop("grp"), red_groups(c))
+    p = audit.phase_preview(c.drop("grp"), red_groups(c), digits=None)
     return p.select("layout", "number", r6("start", 9).alias("start"), r6("end", 9).alias("end"), "brakes", F.round((r6("end", 9) - r6("start", 9) + 1.0) % 1.0 * F.col("lap_m"), 3).alias("span"))
 
 
@@ -347,6 +347,14 @@ def display_texts(spark, sf):
     return read(spark, sf, "part").select("p_partkey", labels.titled(F.replace("p_brand", F.lit(" "), F.lit("_"))).alias("title"), labels.scale_word(s % 7).alias("severity"), fit(False).alias("x"), fit(True).alias("y"))
 
 
+@query("""SELECT c_custkey, c_name AS name FROM customer""")
+def answers(spark, sf):
+    k = F.col("c_custkey")
+    body = F.to_json(F.struct(F.col("c_name").alias("name")))
+    text = F.when(k % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(k % 3 == 1, F.concat(F.lit("```\n"), body)).otherwise(body)
+    return read(spark, sf, "customer").select("c_custkey", F.from_json(documents.unfenced(text), "name string")["name"].alias("name"))
+
+
 # ---- shapes ------------------------------------------------------------------------------------------------------
 
 

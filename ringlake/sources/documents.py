@@ -165,3 +165,13 @@ def imported(sources: DataFrame, fetched: DataFrame) -> DataFrame:
     box = sources.where(F.col("osm.bbox").isNotNull()).select("slug", F.lit("ways").alias("kind"), F.lit("bbox").alias("key"))
     need = laps.union(rel).union(box).where("key is not null").distinct()
     return need.join(fetched, ["slug", "kind", "key"], "left_anti")
+
+
+def unfenced(answer: Column) -> Column:
+    """A JSON answer without the code fence around it, if it has one."""
+    return F.regexp_replace(F.regexp_replace(answer, r"\A```[^\n]*\n?", ""), r"\n?[^\n]*```\z", "")
+
+
+def generated_at() -> Column:
+    """Now, in UTC, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")

@@ -214,6 +214,24 @@ def test_segments_of_map_elements(spark):
     assert graph.pit_lane_centres(w, ["k"]).first().lon == 0.5
 
 
+def test_corner_ways_and_times(spark):
+    node = lambda n: [{"lat": 1.0 * i, "lon": 2.0 * i} for i in range(n)]
+    way = lambda name, n: {"type": "way", "tags": {"name": name} if name else {}, "geometry": node(n)}
+    w = spark.createDataFrame([json.dumps({"elements": [way("Big Bend", 3), way("Pit exit", 2), way("Circuit", 2), way(None, 2), way("One", 1)]})], "string")
+    w = w.select(F.lit("a").alias("k"), F.from_json("value", documents.WAYS)["elements"].alias("elements"))
+    assert [(r.name, r.ord, r.lon, r.lat) for r in graph.corner_ways(w, ["k"]).collect()] == [("Big Bend", 0, 2.0, 1.0)]
+    from datetime import UTC, datetime
+
+    made = datetime.fromisoformat(spark.range(1).select(documents.generated_at().alias("t")).first().t)
+    assert abs((datetime.now(UTC) - made).total_seconds()) < 60
+
+
+def test_phases_are_rounded(spark):
+    d = spark.createDataFrame([(1, 1, 0.123456789, 3, 3000.0, ""), (1, 2, 0.6, 6, 3000.0, "")], "k int, number int, marker double, scale int, lap_m double, grp string")
+    got = intervals.phases(d, ["k"], "marker", "number", "scale", "lap_m", "grp").orderBy("number").collect()
+    assert [(r.start, r.apex, r.end) for r in got] == [(0.08346, 0.12346, 0.15679), (0.6, 0.6, 0.6)]
+
+
 def test_tools_and_their_layers(spark, tmp_path):
     parts = spark.createDataFrame([("x", 1, 30.0), ("x", 2, 10.0)], "k string, n int, m double")
     layers = spark.createDataFrame([("s", "gp", "old", 1, "[]"), ("s", "gp", "micro", 2, "[1]"), ("t", "gp", "micro", 1, "[2]")], "slug string, layout_id string, layer_id string, i int, items string")
