@@ -9,19 +9,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.functions import cyclic, geo
+from ringlake.operators import slices
 
 
 def ranges_at(points: DataFrame, ranges: DataFrame, key: list[str], at: str, start: str = "start", end: str = "end", closed: bool = False) -> DataFrame:
-    """Points with the ranges that hold them: ``start <= at < end``, or both ends with ``closed``."""
-    ok = (F.col(start) <= F.col(at)) & ((F.col(at) <= F.col(end)) if closed else (F.col(at) < F.col(end)))
-    return points.join(ranges, key).where(ok)
+    """Points with the ranges of their key that hold them: ``start <= at < end``, or both ends with ``closed``.
+
+    A sweep by key and slice: work is that of a sort and of the pairs that come out, for one hot key too. Null keys and positions
+    meet nothing, empty and inverted ranges hold nothing, repeated rows each count.
+    """
+    pairs = slices.met(points, ranges, key, at, start, end, closed)
+    return pairs.select(*[F.col(f"_p.`{c}`").alias(c) for c in [*key, *(c for c in points.columns if c not in key)]], *[F.col(f"_r.`{c}`").alias(c) for c in ranges.columns if c not in key])
 
 
-def first_range_at(points: DataFrame, point_id: list[str], ranges: DataFrame, key: list[str], at: str, order: str, value: str, start: str = "start", end: str = "end") -> DataFrame:
-    """The value of the first range, by ``order``, that holds each point; null where none does."""
-    hit = ranges_at(points.select(*key, *point_id, at), ranges.select(*key, start, end, order, value), key, at, start, end)
-    best = hit.groupBy(*key, *point_id).agg(F.min_by(value, order).alias(value))
-    return points.join(best, [*key, *point_id], "left")
+def first_range_at(points: DataFrame, ranges: DataFrame, key: list[str], at: str, order: str, value: str, start: str = "start", end: str = "end") -> DataFrame:
+    """The points with the ``value`` of the first range, by ``order``, of their key that holds each (``start <= at < end``); null where none does.
+
+    A sweep by key and slice finds one range a point, whatever the number that holds it: work is that of a sort. Points of null
+    keys or positions stay, ranges of a null order count nowhere, equal orders may give either's value.
+    """
+    out = slices.met(points, ranges, key, at, start, end, False, order, value)
+    return out.select(*[F.col(f"_p.`{c}`").alias(c) for c in points.columns if c != value], F.col("_v").alias(value))
 
 
 def bucketed_ranges_at(points: DataFrame, ranges: DataFrame, at: str, buckets: int, start: str = "start", end: str = "end") -> DataFrame:

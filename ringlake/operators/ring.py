@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.functions import geo
+from ringlake.operators import near
 
 
 @dataclass(frozen=True)
@@ -88,36 +89,53 @@ def points_at(v: DataFrame, at: DataFrame, fraction: str = "fraction", r: Ring =
 
 
 def nearest_vertex(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:
-    """For each point (``plon, plat``) its ring's nearest vertex (the first among equals): ``seq, cum_m, fraction, dist_m``."""
-    m = measured(v, r)
+    """For each point (``plon, plat``) its ring's nearest vertex (the first among equals): ``seq, cum_m, fraction, dist_m``.
+
+    Long rings are searched by cells (``near``); points of rings without vertices give no row."""
+    place = near.on_sphere(r.lon, r.lat)
+    j = near.may_be_nearest(points, measured(v, r), list(r.key), near.on_sphere("plon", "plat"), place, place)
     d = geo.haversine(F.col("plon"), F.col("plat"), F.col(r.lon), F.col(r.lat))
-    near = points.join(m, list(r.key)).withColumn("_d", d).groupBy(*r.key, *point_key).agg(F.min_by(F.struct(r.seq, "cum_m", "total_m", F.col("_d").alias("dist_m")), F.struct("_d", r.seq)).alias("n"))
-    return near.select(*r.key, *point_key, F.col(f"n.{r.seq}").alias(r.seq), "n.cum_m", F.coalesce(F.col("n.cum_m") / F.nullif("n.total_m", F.lit(0.0)), F.lit(0.0)).alias("fraction"), "n.dist_m")
+    best = j.withColumn("_d", d).groupBy(*r.key, *point_key).agg(F.min_by(F.struct(r.seq, "cum_m", "total_m", F.col("_d").alias("dist_m")), F.struct("_d", r.seq)).alias("n"))
+    return best.select(*r.key, *point_key, F.col(f"n.{r.seq}").alias(r.seq), "n.cum_m", F.coalesce(F.col("n.cum_m") / F.nullif("n.total_m", F.lit(0.0)), F.lit(0.0)).alias("fraction"), "n.dist_m")
 
 
 def nearest_on_line(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:
-    """The nearest place on any leg, on the plane tangent at the point: ``fraction, dist_m``."""
-    m = measured(v, r)
+    """The nearest place on any leg, on the plane tangent at the point: ``fraction, dist_m``. Long rings are searched by cells of legs."""
     x = lambda c: geo.east(F.col(c), F.col("plon"), F.col("plat"))
     y = lambda c: geo.north(F.col(c), F.col("plat"))
+    ends = [(r.lon, "lon2"), (r.lat, "lat2")]
+    scale = [F.abs(F.cos(F.radians("plat"))), F.lit(1.0)]
+    j = near.may_be_nearest(points, measured(v, r), list(r.key), [F.col("plon"), F.col("plat")], [F.least(*e) for e in ends], [F.greatest(*e) for e in ends], scale)
     qx, qy = x("lon2") - x(r.lon), y("lat2") - y(r.lat)
-    j = points.join(m, list(r.key)).withColumn("_t", geo.along(-x(r.lon), -y(r.lat), qx, qy))
+    j = j.withColumn("_t", geo.along(-x(r.lon), -y(r.lat), qx, qy))
     dx, dy = x(r.lon) + qx * F.col("_t"), y(r.lat) + qy * F.col("_t")
     j = j.withColumn("dist_m", F.sqrt(dx * dx + dy * dy)).withColumn("fraction", F.coalesce((F.col("cum_m") + F.col("_t") * F.col("seg_m")) / F.nullif("total_m", F.lit(0.0)), F.lit(0.0)))
     return j.groupBy(*r.key, *point_key).agg(F.min_by(F.struct("fraction", "dist_m"), F.struct("dist_m", r.seq)).alias("n")).select(*r.key, *point_key, "n.fraction", "n.dist_m")
 
 
 def off_line(v: DataFrame, points: DataFrame, point_key: list[str], r: Ring = R) -> DataFrame:
-    """``dist_m`` from each point (``plon, plat``) to its open line, by the nearest vertex and the two legs beside it."""
-    m = legs(v, r, closed=False)
-    x = lambda c: F.col(c) * F.cos(F.radians("plat"))
-    qx, qy = x("lon2") - x(r.lon), F.col("lat2") - F.col(r.lat)
-    t = F.when((qx == 0) & (qy == 0), 0.0).otherwise(geo.along(x("plon") - x(r.lon), F.col("plat") - F.col(r.lat), qx, qy))
-    foot = geo.haversine(F.col("plon"), F.col("plat"), geo.lerp(F.col(r.lon), F.col("lon2"), t), geo.lerp(F.col(r.lat), F.col("lat2"), t))
-    j = points.join(m, list(r.key)).withColumn("_d", geo.haversine(F.col("plon"), F.col("plat"), F.col(r.lon), F.col(r.lat))).withColumn("_foot", F.when(F.col("lon2").isNotNull(), foot))
-    o = W.partitionBy(*r.key, *point_key).orderBy(r.seq)
-    j = j.withColumn("_beside", F.least("_d", "_foot", F.lag("_foot").over(o)))
-    return j.groupBy(*r.key, *point_key).agg(F.min_by("_beside", F.struct("_d", r.seq)).alias("dist_m"))
+    """``dist_m`` from each point (``plon, plat``) to its open line, by the nearest vertex and the two legs beside it.
+
+    Every vertex carries its neighbours, so only the nearest one's legs are measured; long lines are searched by cells."""
+    before = [F.lag(c).over(r.inorder).alias(f"_{c}") for c in (r.lon, r.lat)]
+    m = legs(v, r, closed=False).select(*r.key, r.seq, r.lon, r.lat, "lon2", "lat2", *before)
+    place = near.on_sphere(r.lon, r.lat)
+    j = near.may_be_nearest(points, m, list(r.key), near.on_sphere("plon", "plat"), place, place)
+    d = geo.haversine(F.col("plon"), F.col("plat"), F.col(r.lon), F.col(r.lat))
+    own = F.struct(F.col(r.lon).alias("x"), F.col(r.lat).alias("y"), F.col("lon2").alias("x2"), F.col("lat2").alias("y2"), F.col(f"_{r.lon}").alias("x0"), F.col(f"_{r.lat}").alias("y0"), F.col("_d").alias("d"), "plon", "plat")
+    best = j.withColumn("_d", d).groupBy(*r.key, *point_key).agg(F.min_by(own, F.struct("_d", r.seq)).alias("n"))
+
+    def foot(leg: Column) -> Column:
+        px, py = F.col("n.plon"), F.col("n.plat")
+        k = F.cos(F.radians(py))
+        qx, qy = (leg["x2"] - leg["x"]) * k, leg["y2"] - leg["y"]
+        t = F.when((qx == 0) & (qy == 0), 0.0).otherwise(geo.along((px - leg["x"]) * k, py - leg["y"], qx, qy))
+        return F.when(leg["x"].isNotNull() & leg["x2"].isNotNull(), geo.haversine(px, py, geo.lerp(leg["x"], leg["x2"], t), geo.lerp(leg["y"], leg["y2"], t)))
+
+    c = lambda n: F.col(f"n.{n}")
+    leg = lambda *n: F.struct(*[c(x).alias(a) for x, a in zip(n, ("x", "y", "x2", "y2"), strict=True)])
+    beside = F.array_min(F.transform(F.array(leg("x", "y", "x2", "y2"), leg("x0", "y0", "x", "y")), foot))
+    return best.select(*r.key, *point_key, F.least(c("d"), beside).alias("dist_m"))
 
 
 def rounded_curve(v: DataFrame, r: Ring = R, x: str = "lon", y: str = "lat") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.functions import labels
+from ringlake.operators import slices
+from ringlake.session import written
 
 
 def neighbour(name: str, key: list[str], by: int, n: Column | None = None) -> Column:
@@ -49,22 +51,47 @@ def nearest_rank(values: Column, q: float) -> Column:
     return F.coalesce(F.try_element_at(F.array_sort(values), at), F.lit(0.0))
 
 
-def peaks(samples: DataFrame, key: list[str], value: str, lap: str, least: str, apart: float, most: int | None = None) -> DataFrame:
-    """``i`` of the kept maxima of ``value``: local maxima at or above ``least``, strongest first, ``apart`` on the lap.
+def apart(rows: DataFrame, key: list[str], at: str, lap: str, strength: Column, by: float, rounds: int = 6) -> DataFrame:
+    """The rows that a greedy choice keeps: strongest first (least ``strength``, which is never equal within a key), each ``by`` or more from all
+    kept before it on a lap of length ``lap``.
 
-    The greedy choice folds over one key's maxima, an array that the ring's resolution bounds; ``s`` places samples.
+    Rounds of local dominance give the same rows: who is strongest of all undecided rows nearer than ``by`` stays, and who is near
+    one that stays goes. Several rounds share one shuffle and one sort by key and place; a lap's ends see each other through
+    copies of what lies within ``by`` of them. Rows are decided in few rounds unless strengths fall steadily along a lap.
+    Distances within a billionth of ``by`` count as apart.
     """
+    unit = 1 << 40  # of the frames, whose bounds are whole numbers: ``by`` has so many
+    reach = int(unit * (1 - 1e-9))
+    if by <= 0:
+        return rows
+    todo = written(rows.withColumn("_w", strength).withColumn("_id", F.monotonically_increasing_id()).withColumn("_at", F.pmod(F.col(at).cast("double"), F.col(lap))).withColumn("_state", F.lit(0)), "undecided")
+    names, done = rows.columns, []
+    near = W.partitionBy(*key).orderBy(F.col("_p") * (unit / by)).rangeBetween(-reach, reach)
+    same = W.partitionBy(*key, "_id")
+    while True:
+        copies = F.array_compact(F.array(F.col("_at"), F.when(F.col("_at") < by, F.col("_at") + F.col(lap)), F.when(F.col("_at") >= F.col(lap) - by, F.col("_at") - F.col(lap))))
+        x = todo.withColumn("_p", F.explode(copies))
+        for _ in range(rounds):
+            best = F.min(F.when(F.col("_state") == 0, F.struct("_w", "_id"))).over(near)
+            x = x.withColumn("_keep", (F.col("_state") == 1) | ((F.col("_state") == 0) & (best["_id"] == F.col("_id"))))
+            x = x.withColumn("_keep", F.bool_or(F.when(F.col("_p") == F.col("_at"), F.col("_keep"))).over(same))  # copies see less around them
+            gone = F.max(F.col("_keep").cast("int")).over(near)
+            x = x.withColumn("_gone", gone).withColumn("_gone", F.max(F.when(F.col("_p") == F.col("_at"), F.col("_gone"))).over(same))
+            x = x.withColumn("_state", F.when(F.col("_keep"), 1).when((F.col("_state") == 0) & (F.col("_gone") == 1), 2).otherwise(F.col("_state"))).drop("_keep", "_gone")
+        todo = written(x.where("_p = _at").drop("_p"), "undecided")
+        if todo.where("_state = 0").isEmpty():
+            return todo.where("_state = 1").select(*names)
+
+
+def peaks(samples: DataFrame, key: list[str], value: str, lap: str, least: str, by: float, most: int | None = None) -> DataFrame:
+    """``number, i, s`` of the kept maxima of ``value``: local maxima at or above ``least``, strongest first, ``by`` apart on the lap, at most
+    ``most`` of them; numbered along the lap. Equal values go by ``i``; ``s`` places samples."""
     m = samples.withColumn("_p", neighbour(value, key, -1)).withColumn("_q", neighbour(value, key, 1))
-    top = m.where((F.col(value) >= F.col(least)) & (F.col(value) >= F.col("_p")) & (F.col(value) > F.col("_q")))
-    g = top.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct((-F.col(value)).alias("w"), "i", "s"))).alias("_c"), F.max(lap).alias("_l"))
-
-    def far(a: Column, b: Column) -> Column:
-        d = F.pmod(F.abs(a - b), F.col("_l"))
-        return F.least(d, F.col("_l") - d) >= apart
-
-    room = (lambda acc: F.size(acc) < most) if most else (lambda acc: F.lit(True))
-    kept = F.aggregate("_c", F.slice("_c", 1, 0), lambda acc, c: F.when(room(acc) & F.forall(acc, lambda k: far(k["s"], c["s"])), F.concat(acc, F.array(c))).otherwise(acc))
-    return g.select(*key, F.inline(F.transform(F.array_sort(F.transform(kept, lambda c: F.struct(c["s"].alias("s"), c["i"].alias("i")))), lambda c, j: F.struct((j + 1).alias("number"), c["i"].alias("i"), c["s"].alias("s")))))
+    top = m.where((F.col(value) >= F.col(least)) & (F.col(value) >= F.col("_p")) & (F.col(value) > F.col("_q"))).select(*key, "i", "s", F.col(value).alias("_v"), F.col(lap).alias("_lap"))
+    kept = apart(top, key, "s", "_lap", F.struct((-F.col("_v")).alias("v"), "i"), by)
+    if most:  # the greedy choice's first ones are the strongest of all that it keeps
+        kept = kept.withColumn("_r", F.row_number().over(W.partitionBy(*key).orderBy(F.col("_v").desc(), "i"))).where(F.col("_r") <= most)
+    return kept.select(*key, F.row_number().over(W.partitionBy(*key).orderBy("s", "i")).alias("number"), "i", "s")
 
 
 def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str, floor: float = 0.00012, ratio: float = 0.32, most_m: float = 650.0, pre_m: float = 75.0, post_m: float = 55.0) -> DataFrame:
@@ -87,16 +114,15 @@ def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str
 def corner_layers(vertices: DataFrame, ring=None, step_m: float = 4.0, smooth_m: float = 90.0, percentile: float = 0.82, least: float = 0.0, apart_m: float = 90.0, most: int | None = None) -> DataFrame:
     """Apexes of a ring's curvature, with direction, severity and range: resample, curvature, two smoothings, peaks, ranges."""
     from ringlake.operators.ring import R, resampled
-    from ringlake.session import written
 
     r = ring or R
     key = list(r.key)
     s = written(resampled(vertices, r, step_m).withColumn("ds", F.col("total_m") / F.col("n")), "samples")
     k = curvature(s, key, "ds")
     k = _smooth_by(k, key, F.greatest(F.lit(1), F.round(F.lit(smooth_m) / F.col("ds")).cast("int")))
-    k = k.withColumn("abs_k", F.abs("kappa"))
-    thr = k.groupBy(*key).agg(F.greatest(F.lit(0.00018), nearest_rank(F.collect_list("abs_k"), percentile)).alias("min_k")) if least <= 0 else k.select(*key).distinct().withColumn("min_k", F.lit(least))
-    k = written(k.join(thr, key), "curvature")
+    k = written(k.withColumn("abs_k", F.abs("kappa")), "curvature")
+    thr = slices.selected(k, key, "abs_k", percentile, "min_k").withColumn("min_k", F.greatest(F.lit(0.00018), F.col("min_k"))) if least <= 0 else k.select(*key).distinct().withColumn("min_k", F.lit(least))
+    k = k.join(thr, key)
     top = peaks(k, key, "abs_k", "total_m", "min_k", apart_m, most)
     top = top.join(k.select(*key, "i", "kappa", F.col("abs_k").alias("peak"), "lon", "lat", "total_m", "min_k"), [*key, "i"])
     ranges = grown_ranges(k, top.select(*key, "number", "i", "peak"), key, "abs_k")

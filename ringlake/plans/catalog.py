@@ -103,7 +103,7 @@ SELECT o_orderkey, "at", (SELECT min(number) FROM parts WHERE l_orderkey = o_ord
 def sector_of(spark, sf):
     p = read(spark, sf, "orders").select("o_orderkey", (F.pmod("o_orderkey", F.lit(97)).cast("double") / 97.0).alias("at"))
     parts = lap_parts(spark, sf).select(F.col("l_orderkey").alias("o_orderkey"), "start", "end", "number", F.col("number").alias("value"))
-    return locate.first_range_at(p, [], parts, ["o_orderkey"], "at", "number", "value").select("o_orderkey", "at", F.col("value").alias("number"))
+    return locate.first_range_at(p, parts, ["o_orderkey"], "at", "number", "value").select("o_orderkey", "at", F.col("value").alias("number"))
 
 
 @query(f"""WITH {PARTS}, probe AS (SELECT o_orderkey, CAST(o_orderkey % 10 AS DOUBLE) / 10.0 AS "at" FROM orders)
@@ -277,7 +277,10 @@ def local_maxima(spark, sf):
     return signal.peaks(s, ["vec_id"], "v", "lap", "least", 0.0).select("vec_id", "number", "i")
 
 
-@query()
+@query(f"""WITH RECURSIVE {SIGNALS}, n AS (SELECT *, coalesce(lag(v) OVER (PARTITION BY vec_id ORDER BY i), last_value(v) OVER (PARTITION BY vec_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS p, coalesce(lead(v) OVER (PARTITION BY vec_id ORDER BY i), first_value(v) OVER (PARTITION BY vec_id ORDER BY i)) AS q FROM signals),
+c AS MATERIALIZED (SELECT vec_id, i, row_number() OVER (PARTITION BY vec_id ORDER BY v DESC, i) AS r FROM n WHERE v >= 0.0 AND v >= p AND v > q),
+g AS (SELECT DISTINCT vec_id, CAST(0 AS BIGINT) AS r, CAST([] AS BIGINT[]) AS kept FROM c UNION ALL SELECT g.vec_id, c.r, CASE WHEN len(kept) < 5 AND len([k FOR k IN kept IF least(abs(k - c.i), 64 - abs(k - c.i)) < 6]) = 0 THEN list_append(kept, c.i) ELSE kept END FROM g JOIN c ON c.vec_id = g.vec_id AND c.r = g.r + 1),
+z AS (SELECT vec_id, unnest(list_sort(arg_max(kept, r))) AS i FROM g GROUP BY 1) SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY i) AS INTEGER) AS number, CAST(i AS INTEGER) AS i FROM z""")
 def peaks_apart(spark, sf):
     s = signals(spark, sf).withColumn("s", F.col("i").cast("double")).withColumn("lap", F.lit(64.0)).withColumn("least", F.lit(0.0))
     return signal.peaks(s, ["vec_id"], "v", "lap", "least", 6.0, 5).select("vec_id", "number", "i")

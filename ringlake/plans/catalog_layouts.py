@@ -97,22 +97,30 @@ def exit_statuses(spark, sf):
     return audit.exit_status(v).withColumn("mode", F.lit("errors")).unionByName(audit.exit_status(v, strict=True).withColumn("mode", F.lit("strict")))
 
 
-@query(f"""WITH {RINGS}, o AS (SELECT *, lead(lon) OVER w AS nx, lead(lat) OVER w AS ny FROM ring WINDOW w AS (PARTITION BY ring ORDER BY seq)), p AS (SELECT ring, seq AS id, lon + CAST(0.0007 AS DOUBLE) * (seq % 3) AS plon, lat AS plat FROM ring WHERE seq % 5 = 1),
+@query(f"""WITH {RINGS}, o AS (SELECT *, lead(lon) OVER w AS nx, lead(lat) OVER w AS ny FROM ring WINDOW w AS (PARTITION BY ring ORDER BY seq)), p AS (SELECT ring, seq AS id, lon + CAST(0.0007 AS DOUBLE) * (seq % 3) AS plon, lat AS plat FROM ring),
 j AS (SELECT p.ring, id, o.seq, lon, lat, nx, ny, plon, plat, {hav('plon', 'plat', 'lon', 'lat')} AS d, cos(radians(plat)) AS k FROM p JOIN o ON o.ring = p.ring),
 t AS (SELECT *, CASE WHEN nx = lon AND ny = lat THEN 0.0 ELSE greatest(0.0, least(1.0, ((plon - lon) * k * (nx - lon) * k + (plat - lat) * (ny - lat)) / (pow((nx - lon) * k, 2) + pow(ny - lat, 2)))) END AS t FROM j),
 f AS (SELECT *, CASE WHEN nx IS NOT NULL THEN {hav('plon', 'plat', '(lon + (nx - lon) * t)', '(lat + (ny - lat) * t)')} END AS foot FROM t), b AS (SELECT *, least(d, foot, lag(foot) OVER (PARTITION BY ring, id ORDER BY seq)) AS beside, row_number() OVER (PARTITION BY ring, id ORDER BY d, seq) AS rn FROM f)
 SELECT ring, id, round(beside, 3) AS dist_m FROM b WHERE rn = 1""")
 def off_line(spark, sf):
     v = rings(spark, sf)
-    p = v.where("seq % 5 = 1").select("ring", F.col("seq").alias("id"), (F.col("lon") + 0.0007 * (F.col("seq") % 3)).alias("plon"), F.col("lat").alias("plat"))
+    p = v.select("ring", F.col("seq").alias("id"), (F.col("lon") + 0.0007 * (F.col("seq") % 3)).alias("plon"), F.col("lat").alias("plat"))
     return ring.off_line(v, p, ["id"]).select("ring", "id", r6("dist_m", 3).alias("dist_m"))
 
 
-@query(f"WITH {RINGS}, p AS (SELECT ring, lon + CAST(0.002 AS DOUBLE) * (seq % 3) AS plon, lat, lon FROM ring WHERE seq = 1) SELECT CAST(ring AS VARCHAR) AS slug, 'on_track' AS rule FROM p WHERE {hav('plon', 'lat', 'lon', 'lat')} > 1e9")
+#: Metres north by which the vertices are moved in turn: two stay within 80 m, and two do not. All lie north of every other leg.
+MOVED = "[0.0, 50.0, 79.0, 81.0, 500.0][(seq - 1) % 5 + 1]"
+
+
+@query(f"""WITH {RINGS}, w AS (SELECT ring, min(lat) AS top, first(lon ORDER BY lat, seq) AS x FROM ring GROUP BY 1), p AS (SELECT r.ring, r.seq, w.top - {MOVED} / 111194.92664455873 AS plat, w.x AS plon, w.top, w.x FROM ring r JOIN w ON w.ring = r.ring)
+SELECT CAST(ring AS VARCHAR) AS slug, 'on_track' AS rule, seq || ' ' || CAST({MOVED} AS INTEGER) || ' m' AS detail FROM p WHERE {hav('plon', 'plat', 'x', 'top')} > 80.0""")
 def on_track(spark, sf):
+    """Points due south of a ring's southernmost vertex, which is then the nearest place, by metres on both sides of the bar."""
     v = outlines(spark, sf)
-    p = v.where("seq = 1").select("slug", "layout_id", F.lit("sf").alias("id"), F.col("lon").alias("plon"), F.col("lat").alias("plat"))
-    return audit.distance_rules(v, p).select("slug", "rule")
+    south = v.groupBy("slug", "layout_id").agg(F.min(F.struct("lat", "seq", "lon")).alias("s"))
+    moved = F.element_at(F.array(*map(F.lit, [0.0, 50.0, 79.0, 81.0, 500.0])), (F.col("seq") - 1) % 5 + 1)
+    p = v.join(south, ["slug", "layout_id"]).select("slug", "layout_id", F.col("seq").cast("string").alias("id"), F.col("s.lon").alias("plon"), (F.col("s.lat") - moved / 111194.92664455873).alias("plat"))
+    return audit.distance_rules(v, p).select("slug", "rule", "detail")
 
 
 @query(f"""WITH {CORNERS}, a AS (SELECT layout, count(*) FILTER (number % 4 <> 0) AS a, count(*) FILTER (number % 5 <> 0) AS b FROM corners GROUP BY 1) SELECT CAST(layout AS VARCHAR) AS slug, b || ' features, ' || a || ' corners' AS detail FROM a WHERE a <> b""")

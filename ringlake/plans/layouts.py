@@ -117,7 +117,7 @@ def wide_corners(corners: DataFrame, key: list[str], layers: list[str], groups:
     its group of several ``(key, label, members)``, its sector, an arrow, the severity in words, apex and range as percent texts."""
     member = groups.where(F.size("members") > 1).select(*key, F.col("label").alias("_g"), F.explode("members").alias("id")).groupBy(*key, "id").agg(F.min("_g").alias("complex"))
     at = corners.where("marker is not null").select(*key, "id", "marker")
-    s = locate.first_range_at(at, ["id"], sectors.select(*key, "start", "end", F.col("label").alias("sector"), F.col("start").alias("_order")), key, "marker", "_order", "sector").select(*key, "id", "sector")
+    s = locate.first_range_at(at, sectors.select(*key, "start", "end", F.col("label").alias("sector"), F.col("start").alias("_order")), key, "marker", "_order", "sector").select(*key, "id", "sector")
     span = locate.by_anchor(ranges.select(*key, F.col("id").alias("_range"), F.coalesce("anchor", F.lit("")).alias("anchor"), "start", "end"), corners.select(*key, "id"), key, "anchor", "_range", "id").where("point is not null")
     span = span.select(*key, F.col("point.id").alias("id"), F.concat_ws(" → ", labels.percent(F.col("start")), labels.percent(F.col("end"))).alias("range"))
     j = corners.join(member, [*key, "id"], "left").join(s, [*key, "id"], "left").join(span, [*key, "id"], "left")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ringlake.operators import intervals, ring
+
 KEY = ["slug", "layout_id"]
 
 
@@ -106,6 +108,34 @@ def coverage_rules(corners: DataFrame, complexes: DataFrame) -> DataFrame:
     )
 
 
+def empty_groups(complexes: DataFrame) -> DataFrame:
+    """Groups ``(slug, layout_id, id, points)`` without a point inside."""
+    return violation(complexes.where(F.coalesce(F.size("points"), F.lit(0)) <= 0), "group_has_points", "warn", F.col("id"))
+
+
+def order_rules(corners: DataFrame) -> DataFrame:
+    """Corners ``(slug, layout_id, number, marker, fraction)`` whose order along the lap disagrees with that of their places on the outline, which
+    count from the first corner's on; corners without a marker or a place are not looked at, nor layouts under three."""
+    c = corners.where("marker is not null and fraction is not null")
+    bad = intervals.inversions(c, KEY, "marker", "fraction", first=["number"]).where("inversions > 0")
+    return violation(bad, "lap_order", "error", F.format_string("%d inversions", "inversions"))
+
+
+def centerline_rules(vertices: DataFrame, r: ring.Ring, most: int = 6) -> DataFrame:
+    """Outlines with suspiciously long legs or sharp turns back, and the first ``most`` of each."""
+    found = ring.anomalies(vertices, r)
+    named = F.struct(F.col(r.seq).alias("seq"), "long_m", "back")
+
+    def rule(bad: str, name: str, show) -> DataFrame:
+        rows = found.where(F.col(bad).isNotNull())
+        first = rows.withColumn("_i", F.row_number().over(W.partitionBy(*KEY).orderBy(r.seq))).where(F.col("_i") <= most)
+        listed = first.groupBy(*KEY).agg(F.array_join(F.transform(F.array_sort(F.collect_list(named)), show), ", ").alias("detail"))
+        return violation(listed, name, "warn", F.col("detail"))
+
+    long_ = rule("long_m", "long_leg", lambda x: F.format_string("%d %.0fm", x["seq"], x["long_m"]))
+    return all_of(long_, rule("back", "turn_back", lambda x: F.format_string("%d %.0f°", x["seq"], x["back"])))
+
+
 def length_rules(layouts: DataFrame, warn: float = 0.03, fail: float = 0.10) -> DataFrame:
     """Traced against declared length."""
     d = layouts.withColumn("_d", F.abs(F.col("traced_m") - F.col("length_m")) / F.nullif("length_m", F.lit(0.0))).where(F.col("_d") > warn)
