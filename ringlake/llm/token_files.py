@@ -7,29 +7,36 @@ import os
 import re
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlake.llm import frames
 from ringlake.llm.spaces import shared_dir, staged, table, widths
 
-#: Before a single space between two characters that are none, byte-level pre-tokens always end.
+#: Where pieces end, for RE2: before a sign that follows a letter, and on both sides of a line feed between other characters.
+SIGN, FEED = r"([A-Za-zÀ-ÖØ-öø-ʯ])([.,;:!?])", r"([^\s\x0b\x1c-\x1f\x85\p{Z}])\n([^\s\x0b\x1c-\x1f\x85\p{Z}])"
+#: Texts in which some space does not stand alone between other characters, or that hold the mark of an end.
+ODD = r"[\s\x0b\x1c-\x1f\x85\p{Z}] | [\s\x0b\x1c-\x1f\x85\p{Z}]|^ | $|\x01"
+#: The same places before a space in such texts.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-#: Characters of texts that are encoded together, units whose ids a worker keeps, and their longest.
-TOGETHER, KEPT, LONGEST = 1 << 20, 400_000, 64
+#: Bytes of texts that are encoded together, pieces whose ids a worker keeps, and pieces that make a row for the library.
+TOGETHER, KEPT, ROW = 1 << 23, 600_000, 16
 #: Ids of one file, at most (but for the last document's).
 FILE_IDS = 1 << 28
 
 
 class Encoder:
-    """Encodes texts by their units where the tokenizer allows it: words that recur are then encoded once.
+    """Encodes texts by their pieces where the tokenizer allows it: a word that recurs is then encoded once.
 
-    With the byte-level pattern no pre-token spans the place before a single space between two other characters, and nothing
-    in it looks back, so the ids of a text are those of its units one after another. Tokenizers of another kind, or with added
-    tokens that hold or strip spaces, encode whole texts.
+    With the byte-level pattern no pre-token spans the place before a space between two characters that are none, between a letter
+    and a sign, or beside a lone line feed, and nothing in the pattern looks back; so the ids of a text are those of its
+    pieces one after another. Arrow cuts and numbers the pieces; only those that a worker has not met go to the library.
+    Tokenizers of another kind, or with added tokens that hold or strip spaces, encode whole texts.
     """
 
     def __init__(self, spec: str):
@@ -39,43 +46,81 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         j = json.loads(spec)
         pre, added = j.get("pre_tokenizer") or {}, j.get("added_tokens") or []
-        loose = any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in added)
-        self.by_unit = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not j.get("normalizer") and not loose and not (j.get("model") or {}).get("dropout") and not j.get("truncation") and not j.get("padding")
-        self.known: dict[str, bytes] = {}
+        loose = any(re.search(r"\s|[^\W\d_][.,;:!?]", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in added)
+        plain = not any(j.get(k) for k in ("normalizer", "truncation", "padding")) and not (j.get("model") or {}).get("dropout")
+        self.by_piece = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and plain and not loose
         self.bytes = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.bytes[i] = len(token)  # one character of the byte-level alphabet stands for a byte
         for t in added:
             self.bytes[t["id"]] = len(t["content"].encode())
-
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _fresh_units(self, units: list[str]) -> dict[str, bytes]:
-        """Units encoded in long rows, which is cheaper than one by one: the bytes of the ids tell where each ends."""
-        plain = [u for u in units if len(u) > 1 and u[0] == " " and not u[1].isspace() and not u[-1].isspace()]
-        out = {}
-        for at in range(0, len(plain), 4096):
-            row = plain[at : at + 4096]
-            ids = np.frombuffer(self._fresh(["".join(row)])[0], "<u4")
-            ends = np.cumsum([len(u.encode()) for u in row])
-            upto = np.searchsorted(np.cumsum(self.bytes[ids]), ends) + 1
-            if not len(ids) or self.bytes[ids].sum() != ends[-1]:
-                continue  # a tokenizer that drops or replaces bytes
-            out.update((u, ids[a:b].tobytes()) for u, a, b in zip(row, [0, *upto[:-1].tolist()], upto.tolist(), strict=True))
-        rest = [u for u in units if u not in out]
-        return out | dict(zip(rest, self._fresh(rest), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        if not self.by_unit:
-            return self._fresh(texts)
-        units = [CUT.split(t) for t in texts]
-        new = list(set().union(*units) - self.known.keys())
-        fresh, known = self._fresh_units(new), self.known
-        if len(known) < KEPT:
-            known.update((k, v) for k, v in fresh.items() if len(k) <= LONGEST)
-        return [b"".join([known[x] if x in known else fresh[x] for x in u]) for u in units]
+        self.known, self.ids, self.n = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _library(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+        n = np.array([len(x) for x in got], np.int64)
+        return np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n
+
+    def _fresh(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces one after another, and how many each has. Words that begin with their space are encoded in rows of some, which is
+        cheaper than one by one: the bytes of the ids tell where each ends."""
+        words = pc.match_substring_regex(pieces, r"^ [^\s\x0b\x1c-\x1f\x85\p{Z}](?:.|\n)*[^\s\x0b\x1c-\x1f\x85\p{Z}]$").to_numpy(zero_copy_only=False)
+        one, many = pieces.filter(pa.array(~words)), pieces.filter(pa.array(words))
+        listed = many.to_pylist()
+        ids, _ = self._library(["".join(listed[a : a + ROW]) for a in range(0, len(listed), ROW)])
+        ends = np.cumsum(pc.binary_length(many).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = np.cumsum(self.bytes[ids])
+        upto = np.searchsorted(at, ends)
+        if len(ends) and (upto[-1] >= len(at) or (at[upto] != ends).any()):  # a tokenizer that drops or replaces bytes
+            self.by_piece = False
+            return self._library(pieces.to_pylist())
+        n = np.zeros(len(pieces), np.int64)
+        n[words] = np.diff(upto + 1, prepend=0)
+        alone, n[~words] = self._library(one.to_pylist())
+        first = np.zeros(len(pieces), np.int64)
+        order = np.concatenate([np.flatnonzero(words), np.flatnonzero(~words)])
+        first[order] = np.cumsum(n[order]) - n[order]
+        return np.concatenate([ids, alone])[_spread(first, n)], n
+
+    def _pieces(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        coded = pieces.dictionary_encode()
+        own = coded.dictionary
+        place = pc.index_in(own, value_set=self.known)
+        new = own.filter(pc.is_null(place))
+        ids, n = self._fresh(new)
+        at = place.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[place.is_null().to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+        flat, size = np.concatenate([self.ids, ids]), np.concatenate([self.n, n])
+        if len(self.known) < KEPT and len(new):
+            self.known, self.ids, self.n = pa.concat_arrays([self.known, new]), flat, size
+        start = np.cumsum(size) - size
+        which = at[coded.indices.to_numpy()]
+        return flat[_spread(start[which], size[which])], size[which]
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts one after another, and how many each has."""
+        if not self.by_piece or not len(texts):
+            return self._library(texts.to_pylist())
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        plain = texts.filter(pa.array(~odd))
+        marked = pc.replace_substring_regex(plain, SIGN, "\\1\x01\\2")
+        marked = pc.replace_substring(pc.replace_substring_regex(marked, FEED, "\\1\x01\n\x01\\2"), " ", "\x01 ")
+        lists = pc.split_pattern(marked, "\x01")
+        rest = [CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        each = np.concatenate([np.diff(lists.offsets.to_numpy()), [len(x) for x in rest]]).astype(np.int64)
+        flat, n = self._pieces(pa.concat_arrays([lists.flatten(), pa.array([x for r in rest for x in r], pa.string())]))
+        own = np.add.reduceat(n, np.cumsum(each) - each)  # every text has a piece, the empty one too
+        if not odd.any():
+            return flat, own
+        order = np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])
+        size, first = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        size[order], first[order] = own, np.cumsum(own) - own
+        return flat[_spread(first, size)], size
+
+
+def _spread(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places ``start`` up to ``start + n`` of each, one after another."""
+    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -92,8 +137,7 @@ def encoder(spec: str) -> Encoder:
 
 def groups(column: pa.Array, most: int = TOGETHER):
     """Ranges of rows whose texts have about ``most`` bytes; a longer text stands alone."""
-    size = np.diff(column.offsets.to_numpy()) if hasattr(column, "offsets") else np.array([len((x.as_py() or "").encode()) for x in column])
-    size = np.asarray(size, np.int64)
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     at, held = 0, 0
     for i, n in enumerate(size.tolist()):
         if held and held + n > most:
@@ -120,7 +164,7 @@ def written_files(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: s
     with open(tokenizer, encoding="utf-8") as f:
         spec = spark.sparkContext.broadcast(f.read())
     folder = folder or f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], "<u4")
 
     def write(batches):
         from pyarrow import fs
@@ -139,7 +183,9 @@ def written_files(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: s
         for b in batches:
             ids = b.column(0).fill_null(frames_null()).to_pylist()
             for x, y in groups(b.column(1)):
-                for i, t in zip(ids[x:y], encode(b.column(1).slice(x, y - x).fill_null("").to_pylist()), strict=True):
+                flat, n = encode(b.column(1).slice(x, y - x).fill_null(""))
+                upto = np.cumsum(n)
+                for i, start, stop in zip(ids[x:y], (upto - n).tolist(), upto.tolist(), strict=True):
                     if open_ and open_[0].n >= FILE_IDS:
                         closed()
                         open_ = None
@@ -148,7 +194,7 @@ def written_files(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: s
                         path = f"{base}/ids-{own.partitionId():06d}-{len(done):04d}-{uuid.uuid4().hex}.pfor"
                         sink = store.open_output_stream(path)
                         open_ = (frames.Writer(sink), sink, path)
-                    open_[0].add(i, np.frombuffer(t + end, "<u4"))
+                    open_[0].add(i, np.concatenate([flat[start:stop], end]))
         if open_:
             closed()
         if done:

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ringlake.llm import catalog, frames, token_files
@@ -63,11 +64,25 @@ def test_encoder_equals_the_library(path):
     rng = random.Random(3)
     bits = ["a", "Z", "é", " ", "  ", "\n", "\t", "'s", "'ll", "1", "23", "!", "?<", "|endoftext|>", "<|endoftext|>", "中", " ", "\x1c", "\x85", "😀", "the", " the"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(["word", "word,", "x.\ny", "a\n\nb", "é!", "d's", "1.5", "\x01"]) for _ in range(rng.randint(1, 9))) for _ in range(2000)]
     e = token_files.Encoder(open(path, encoding="utf-8").read())
     t = tokenizers.Tokenizer.from_file(path)
-    assert e.by_unit == (path == BYTE)
-    for part in (texts[:1500], texts[1500:], texts):
-        assert e.encode(part) == [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch(part, add_special_tokens=False)]
+    assert e.by_piece == (path == BYTE)
+    texts += ["", " ", "plain words only", "a.b,c;d:e!f?g\nh\n\ni\n j", "x's. y'll, z's"]
+    for part in (texts[:1500], texts[1500:], texts, texts[-3:], []):
+        flat, n = e.encode(pa.array(part, pa.string()))
+        want = [x.ids for x in t.encode_batch(part, add_special_tokens=False)]
+        assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for x in want for i in x]
+
+
+@pytest.mark.parametrize("kept", [0, 5])
+def test_encoder_with_a_full_memory(monkeypatch, kept):
+    monkeypatch.setattr(token_files, "KEPT", kept)
+    t = tokenizers.Tokenizer.from_file(BYTE)
+    e = token_files.Encoder(open(BYTE, encoding="utf-8").read())
+    texts = ["the cat, the dog.", "the  cat " + "x" * 100, "cat, dog. the"] * 3
+    for _ in range(2):
+        assert e.encode(pa.array(texts))[0].tolist() == [i for x in t.encode_batch(texts, add_special_tokens=False) for i in x.ids]
 
 
 def test_query(spark, tmp_path, monkeypatch):
