@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -237,31 +238,68 @@ def words_of(attributes: str) -> tuple[list[str], str, bool]:
     return out, state, hidden
 
 
-BITS = 12
+BITS = 14
+#: Tags that set their part of a page apart, and words of a part's heading that say what it is.
+PARTS = frozenset("nav aside footer form header dialog figure table article main section".split())
+HEADINGS = frozenset("comments comment responses replies reply discussion feedback kommentare commentaires comentarios share related newsletter cookies cookie subscribe advertisement sponsored popular trending navigation menu search".split())
 
 
 def features(page: Page) -> list[list[int]]:
-    """Hashed features of every node; sums of text run down once, from the last node to the first."""
+    """Hashed features of every node: its own tag, names, length and share of links; what the parts around it are; how it stands to the page's
+    article. Sums of text run up once, from the last node to the first, and surroundings down once."""
     n = len(page.parent)
-    size, linked, texts, kids = [0] * n, [0.0] * n, [0] * n, [0] * n
+    size, linked, texts, kids, head = [0] * n, [0.0] * n, [0] * n, [0] * n, [""] * n
     for i in range(n - 1, 0, -1):
+        p = page.parent[i]
         if page.text[i] is not None:
             size[i] = len(page.text[i])
             linked[i] = page.linked[i] * size[i]
             texts[i] = 1
-        p = page.parent[i]
+            told = HEADINGS.intersection(page.text[i].lower().split()) if size[i] < 40 else ()
+            head[i] = min(told) if told else ""
         size[p] += size[i]
         linked[p] += linked[i]
         texts[p] += texts[i]
         kids[p] += 1
+        head[p] = head[i] if i == p + 1 or not head[p] and i <= p + 2 else head[p]  # the first run in it
+    known = [KNOWN_WORDS.intersection(ws) | {k for w in ws if w not in KNOWN_WORDS for k in LONG_WORDS if w.startswith(k) or w.endswith(k)} if ws else frozenset() for ws in page.names]
+    apart = [False] * n  # in a part whose name says that it is not the article
+    for i in range(1, n):
+        apart[i] = apart[page.parent[i]] or bool(known[i] & REST_WORDS) and size[i] < 0.9 * size[0]  # else it is a frame of the whole page
+    own = [page.tag[i] for i in range(n) if page.tag[i] in ("article", "main") and not apart[i]]
+    kind = "article" if "article" in own else "main" if own else "named" if any(ws & MAIN_WORDS for ws in known) else "none"
+    part, inside, named, mood = ["body"] * n, [""] * n, [frozenset()] * n, [""] * n
+    first = next((i for i in range(n) if page.tag[i] in ("article", "main") and not apart[i]), 0)
+    around = {first}  # names of what holds the article say nothing about it
+    while first > 0:
+        first = page.parent[first]
+        around.add(first)
     out = []
     for i in range(n):
-        p = page.parent[i]
-        tag = page.tag[i]
+        p, tag, run = page.parent[i], page.tag[i], page.text[i] is not None
+        if i:
+            part[i], inside[i], named[i], mood[i] = part[p], inside[p], named[p], mood[p]
+            if tag in PARTS:
+                part[i] = f"{tag}.{part[p]}" if tag in ("header", "section", "table", "figure") else tag
+                part[i] = ".".join(part[i].split(".")[:3])
+            if tag in ("article", "main"):
+                inside[i] += tag[0] if len(inside[i]) < 3 else ""
+            own = known[i]
+            if own and i not in around:
+                named[i] = named[p] | own
+                mood[i] = "main" if own & MAIN_WORDS and not own & REST_WORDS else "rest" if own & REST_WORDS else mood[p]
+        mark = "#" if run else ""
         density = linked[i] / size[i] if size[i] else 0.0
-        f = [f"t:{tag}", f"p:{page.tag[p] if p >= 0 else '^'}:{'#' if tag == '#text' else ''}", f"l:{'#' if tag == '#text' else ''}{min(8, size[i].bit_length() - 3)}", f"d:{int(density * 4)}:{'#' if tag == '#text' else ''}"]
-        if tag != "#text":
+        long_, links = min(8, size[i].bit_length() - 3), int(density * 4)
+        f = [f"t:{tag}", f"p:{page.tag[p] if p >= 0 else '^'}:{mark}", f"l:{mark}{long_}", f"d:{links}:{mark}", f"o:{kind}:{inside[i]}:{mark}", f"g:{part[i]}:{kind}:{inside[i]}", f"x:{links}:{kind}:{inside[i]}:{part[i]}", f"gt:{part[i]}:{tag}", f"y:{long_}:{kind}:{inside[i]}", f"b:{mood[i]}:{inside[i]}:{mark}", f"b:{mood[i]}"]
+        f += [f"a:{w}" for w in sorted(named[i])]
+        if head[i]:
+            f += [f"w:{mark}", f"w:{head[i]}"]
+        if run:
+            f.append(f"k:{page.tag[p]}:{min(3, kids[p])}")
+        else:
             f.append(f"m:{int((size[i] / texts[i]) ** 0.5 / 3) if texts[i] else -1}")
+            f.append(f"k:{tag}:{min(3, kids[i])}")
             f += [f"n:{w}" for w in page.names[i]]
         out.append([slot(x) for x in f])
     return out
@@ -337,7 +375,7 @@ def states(page: Page) -> np.ndarray:
     return np.where(has.all(1), MIXED, np.where(has[:, 1], CONTENT, REST))
 
 
-def train(pages: list[str], rounds: int = 150, rate: float = 0.05, shrink: float = 2e-4) -> Model:
+def train(pages: list[str], rounds: int = 120, rate: float = 0.15, shrink: float = 2e-5) -> Model:
     """Unary weights by softmax regression on node labels, pair potentials from counts of label pairs against chance."""
     parsed = [parse(p) for p in pages]
     forest = Forest(parsed)
@@ -362,8 +400,8 @@ def extract(pages: list[str | None], model: Model, at_least: float = 0.5) -> lis
     return ["\n".join(t for t, keep in zip(p.text, content[a : a + len(p.parent)], strict=True) if keep and t) for p, a in zip(parsed, forest.first.tolist(), strict=False)]
 
 
-def main_text(pages: DataFrame, model: Model, id_col: str = "page_id", html_col: str = "html", block_pages: int = 128) -> DataFrame:
-    """``(id, text, n_chars)`` for every row: whole pages, nothing capped.
+def main_text(pages: DataFrame, model: Model, id_col: str = "page_id", html_col: str = "html", block_bytes: int = 1 << 21) -> DataFrame:
+    """``(id, text, n_chars)`` for every row: whole pages, nothing capped. Pages are held in blocks of about ``block_bytes``.
 
     The key may be any column, a struct too. Null, empty and textless pages give an empty text; hidden elements, scripts and
     comments give none, and what an unclosed tag or comment holds to the page's end is no text, as in browsers. Repeated rows and null ids keep their row, an empty table gives
@@ -373,8 +411,10 @@ def main_text(pages: DataFrame, model: Model, id_col: str = "page_id", html_col:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, block_pages):
-                part = batch.slice(a, block_pages)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            edge = np.flatnonzero(np.diff(np.cumsum(size + 1) // block_bytes, prepend=-1))  # a block more with each so many bytes
+            for a, b in zip(edge.tolist(), [*edge[1:].tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, b - a)
                 texts = extract(part.column(1).to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["id", "text", "n_chars"])
 
@@ -382,7 +422,7 @@ def main_text(pages: DataFrame, model: Model, id_col: str = "page_id", html_col:
 
 
 #: Names that training pages give to their regions.
-CONTENT_NAMES = "content article post entry story main body text page-content article-body post-content entry-content story-body".split()
+CONTENT_NAMES = "content article post entry story main body text page-content article-body post-content entry-content story-body prose".split()
 REST_NAMES = {
     "nav": "nav menu navbar navigation main-menu breadcrumb breadcrumbs pagination topbar toc".split(),
     "header": "header masthead site-header banner branding logo top".split(),
@@ -391,42 +431,63 @@ REST_NAMES = {
     "ad": "ad ads advert advertisement sponsored promo banner-ad sponsor adsbox".split(),
     "notice": "notice cookie cookie-notice cookie-banner consent alert gdpr popup modal newsletter subscribe signup paywall".split(),
     "form": "form search search-form login contact-form subscribe-form".split(),
-    "comments": "comments comment-list comment comment-body reader-comments responses respond replies discussion thread disqus".split(),
+    "comments": "comments comment-list comment comment-body reader-comments responses respond replies discussion thread disqus feedback".split(),
     "share": "share social social-links share-buttons byline-share tags meta-links".split(),
 }
+MAIN_WORDS = frozenset(w for name in CONTENT_NAMES for w in name.split("-")) - {"page", "main", "body", "text"}
+REST_WORDS = frozenset(w for names in REST_NAMES.values() for name in names for w in name.split("-")) - MAIN_WORDS - {"page", "main", "body", "text", "content", "list", "links", "top"}
+KNOWN_WORDS = frozenset(w for names in (CONTENT_NAMES, *REST_NAMES.values()) for name in names for w in name.split("-"))
+LONG_WORDS = sorted(w for w in KNOWN_WORDS if len(w) > 3)
+#: Alphabets of training pages; the last is written without spaces.
+ALPHABETS = ["abcdefghijklmnopqrstuvwxyz"] * 4 + ["абвгдежзиклмнопрстуфхцчшыэюя", "αβγδεζηθικλμνξοπρστυφχψω", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "一二三人大小中国上下天地日月山水火木金土年時生学"]
+
 
+def labelled_pages(n: int = 600, seed: int = 1) -> list[str]:
+    """Training pages of many layouts, drawn by rule; ``data-state`` marks content and rest.
 
-def labelled_pages(n: int = 400, seed: int = 1) -> list[str]:
-    """Training pages of many layouts, drawn by rule; ``data-state`` marks content and rest."""
+    Articles hold lists of links, forms and comments, some are one short line, some stand in writing without spaces; sites have plain
+    headers before their article, parts without names, and names that say nothing.
+    """
     rng = random.Random(seed)
+    letters = ALPHABETS[0]
 
     def words(a: int, b: int) -> str:
-        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 11))) for _ in range(rng.randint(a, b))) + rng.choice(["", ".", "."])
+        gap = "" if letters is ALPHABETS[-1] else " "
+        return gap.join("".join(rng.choice(letters) for _ in range(rng.randint(1, 11 if gap else 3))) for _ in range(rng.randint(a, b))) + rng.choice(["", ".", "."])
 
-    def attrs(names: list[str], state: str = "", often: float = 0.85) -> str:
+    def odd_name() -> str:
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7)))
+
+    def attrs(names: list[str], state: str = "", often: float = 0.85, told: float = 0.8) -> str:
         out = f' data-state="{state}"' if state else ""
         if rng.random() < often:
-            name = rng.choice(names)
-            out += rng.choice([f' class="{name}"', f' id="{name}"', f' class="{name} {rng.choice(["box", "wrap", "col", "block", "clearfix"])}"'])
+            name = rng.choice(names) if rng.random() < told else odd_name()
+            out += rng.choice([f' class="{name}"', f' id="{name}"', f" class={name}", f' class="{name} {rng.choice(["box", "wrap", "col", "block", "clearfix", odd_name()])}"'])
         return out
 
     def links(k: int) -> str:
-        return "".join(rng.choice(["<li>{}</li>", "{}", "<p>{}</p>", "<div>{}</div>"]).format(f'<a href="/x">{words(1, 4)}</a>') for _ in range(k))
+        one = rng.choice(["<li>{}</li>", "{}", "<p>{}</p>", "<div>{}</div>", "<span>{}</span> "])
+        return "".join((one if rng.random() < 0.9 else "<li>{}</li>").format(f'<a href="/x">{words(1, 4)}</a>') for _ in range(k))
 
     def paragraphs(lo: int, hi: int) -> str:
         out = ""
         for _ in range(rng.randint(lo, hi)):
             r = rng.random()
-            if r < 0.72:
+            if r < 0.66:
                 n = rng.choice([(1, 4), (5, 20), (20, 90), (20, 90)])
                 t = words(*n)
                 if rng.random() < 0.25:
                     t = t.replace(" ", f' <a href="/y">{words(1, 3)}</a> ', 1)
-                out += rng.choice([f"<p>{t}</p>", f"<p>{t}", f"<p><b>{t}<br>", f"<div>{t}</div>", f"<p><em>{t}</em></p>", f"{t}<br>"])
-            elif r < 0.8:
+                elif rng.random() < 0.06:
+                    t = f'<a href="/y">{t}</a>'
+                out += rng.choice([f"<p>{t}</p>", f"<p>{t}", f"<p><b>{t}<br>", f"<div>{t}</div>", f"<p><em>{t}</em></p>", f"{t}<br>", f"<section><h2>{words(1, 5)}</h2><p>{t}</p></section>"])
+            elif r < 0.74:
                 out += f"<h{(k := rng.randint(2, 4))}>{words(1, 8)}</h{k}>"
             elif r < 0.86:
-                out += "<ul>" + "".join(f"<li>{words(2, 20)}</li>" for _ in range(rng.randint(1, 6))) + "</ul>"
+                tag = rng.choice(["ul", "ul", "ol"])
+                item = lambda: f'<a href="/z">{words(1, 6)}</a>' + rng.choice(["", f" {words(1, 9)}"])
+                linked = rng.random() < 0.5
+                out += f"<{tag}>" + "".join(f"<li>{item() if linked and rng.random() < 0.9 else words(1, 20)}</li>" for _ in range(rng.randint(1, 7))) + f"</{tag}>"
             elif r < 0.9:
                 out += f"<blockquote>{rng.choice(['<p>{}</p>', '{}']).format(words(5, 40))}</blockquote>"
             elif r < 0.94:
@@ -437,51 +498,61 @@ def labelled_pages(n: int = 400, seed: int = 1) -> list[str]:
                 out += f"<figure><img src='x'><figcaption>{words(3, 15)}</figcaption></figure>"
         return out
 
+    def comments(tag: str, names: list[str], state: str, told: float) -> str:
+        one = [f'<{(t := rng.choice(["div", "li", "article"]))}{attrs(names, told=told)}><{(q := rng.choice(["p", "h4", "span", "div", "b"]))}>{words(1, 3)}</{q}><p>{words(2, 60)}</p></{t}>' for _ in range(rng.randint(1, 5))]
+        title = f"<h3>{rng.choice([words(1, 3), 'Comments', '3 Comments', 'Responses', 'Leave a reply', 'Discussion'])}</h3>"
+        form = f"<form><textarea></textarea><label>{words(1, 2)}</label><button>{words(1, 1)}</button></form>"
+        return f"<{tag}{attrs(names, state, 1.0, told)}>{rng.choice(['', title, title])}{''.join(one)}{rng.choice(['', form])}</{tag}>"
+
     def rest(kind: str) -> str:
         names, state = REST_NAMES[kind], "rest"
         if kind == "nav":
             tag = rng.choice(["nav", "nav", "div", "ul"])
-            inner = f"<ul>{links(rng.randint(2, 9))}</ul>" if tag != "ul" else links(rng.randint(2, 9))
+            inner = f"<ul>{links(rng.randint(1, 9))}</ul>" if tag != "ul" else links(rng.randint(1, 9))
         elif kind == "header":
-            tag = rng.choice(["header", "div"])
-            inner = f"<{(h := rng.choice(['h1', 'div', 'p']))}>{words(1, 5)}</{h}>" + (links(rng.randint(0, 5)))
+            tag = rng.choice(["header", "header", "div"])
+            inner = f"<{(h := rng.choice(['h1', 'h1', 'div', 'p', 'h2']))}>{words(1, 5)}</{h}>" + rng.choice(["", f"<p>{words(2, 9)}</p>", links(rng.randint(0, 5))])
         elif kind == "footer":
             tag = rng.choice(["footer", "footer", "div"])
-            inner = rng.choice([f"&copy; {words(1, 3)} &middot; {words(1, 12)}", f"<p>&copy; {words(2, 14)}</p>{links(rng.randint(0, 6))}"])
+            inner = rng.choice([f"&copy; {words(1, 3)} &middot; {words(1, 12)}", f"<p>&copy; {words(2, 14)}</p>{links(rng.randint(0, 6))}", f"<p>{words(2, 30)}</p>"])
         elif kind == "aside":
             tag = rng.choice(["aside", "aside", "div", "section"])
-            inner = f"<h3>{words(1, 4)}</h3>" + rng.choice([f"<ul>{links(rng.randint(2, 7))}</ul>", paragraphs(1, 3)])
+            inner = rng.choice(["", f"<h3>{words(1, 4)}</h3>"]) + rng.choice([f"<ul>{links(rng.randint(1, 7))}</ul>", links(rng.randint(1, 3)), paragraphs(1, 3)])
         elif kind == "ad":
             tag, inner = rng.choice(["div", "div", "aside", "section"]), rng.choice([words(2, 40), f"<p>{words(2, 40)}</p>", f'<a href="/b">{words(2, 12)}</a>'])
         elif kind == "notice":
-            tag, inner = rng.choice(["div", "section", "p", "aside"]), words(4, 40) + rng.choice(["", f' <a href="/c">{words(1, 2)}</a>', f"<button>{words(1, 2)}</button>"])
+            tag, inner = rng.choice(["div", "section", "p", "aside", "dialog"]), words(4, 40) + rng.choice(["", f' <a href="/c">{words(1, 2)}</a>', f"<button>{words(1, 2)}</button>"])
         elif kind == "form":
-            tag, inner = rng.choice(["form", "form", "div"]), f"<label>{words(1, 3)}</label><input name='q'>{words(0, 12)}<button>{words(1, 1)}</button>"
+            tag = rng.choice(["form", "form", "form", "div"])
+            field_ = lambda: rng.choice([f"<label>{words(1, 4)}</label><input name=q>", f"<p>{words(1, 5)} <input name=q></p>", f"<div><label>{words(1, 4)} <input></label></div>"])
+            inner = "".join(field_() for _ in range(rng.randint(1, 4))) + rng.choice(["", words(0, 12)]) + f"<button>{words(1, 1)}</button>"
         elif kind == "share":
             tag, inner = rng.choice(["div", "ul", "p"]), links(rng.randint(1, 5))
         else:
-            tag = rng.choice(["section", "div", "ol", "aside"])
-            one = [f'<{(t := rng.choice(["div", "li", "article"]))}{attrs(names)}><{(q := rng.choice(["p", "h4", "span", "div"]))}>{words(1, 3)}</{q}><p>{words(2, 60)}</p></{t}>' for _ in range(rng.randint(1, 5))]
-            inner = rng.choice(["", f"<h3>{words(1, 3)}</h3>"]) + "".join(one)
-        own = tag in ("nav", "footer", "aside", "form", "header")
-        return f"<{tag}{attrs(names, state, 0.5 if own else 1.0)}>{inner}</{tag}>"
+            return comments(rng.choice(["section", "div", "ol", "aside"]), names, state, 0.9)
+        own = tag in ("nav", "footer", "aside", "form", "header", "dialog")
+        return f"<{tag}{attrs(names, state, 0.5 if own else 1.0, 0.8 if own else 1.0)}>{inner}</{tag}>"
 
     out = []
     for _ in range(n):
+        letters = rng.choice(ALPHABETS)
         kinds = lambda pool, hi: [rest(rng.choice(pool)) for _ in range(rng.randint(0, hi))]
-        inside = paragraphs(1, 14)
-        if rng.random() < 0.35:  # rest amid the article
-            inside += rest(rng.choice(["ad", "share", "notice", "aside", "form"])) + paragraphs(1, 5)
-        title = rng.choice(["", f"<h1>{words(2, 12)}</h1>"])
+        inside = paragraphs(1, 14) if rng.random() < 0.7 else rng.choice([f"<p>{words(1, 12)}</p>", f"<p>{words(3, 30)}</p>" + paragraphs(0, 2)])
+        for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):  # rest amid the article
+            inside += rest(rng.choice(["ad", "share", "notice", "aside", "form", "form", "nav"])) + paragraphs(1, 3)
+        if rng.random() < 0.18:
+            inside += rest("comments")
+        title = rng.choice(["", f"<h1>{words(1, 12)}</h1>", f"<h1>{words(1, 12)}</h1>"])
         if rng.random() < 0.25:
             title = f"<header>{title or f'<h1>{words(2, 9)}</h1>'}</header>"
-        tag = rng.choice(["article", "article", "main", "div", "section", "td"])
-        wrapped = tag == "td"
-        body = f"<{tag}{attrs(CONTENT_NAMES, 'content', 0.5 if tag in ('article', 'main') else 0.9)}>{title}{inside}</{tag}>"
-        body = f"<table><tr>{body}</tr></table>" if wrapped else body
-        if rng.random() < 0.08:
+        tag = rng.choice(["article", "article", "article", "main", "main", "div", "section", "td"])
+        body = f"<{tag}{attrs(CONTENT_NAMES, 'content', 0.5 if tag in ('article', 'main') else 1.0, 0.8 if tag in ('article', 'main') else 1.0)}>{title}{inside}</{tag}>"
+        body = f"<table><tr>{body}</tr></table>" if tag == "td" else body
+        if tag == "article" and rng.random() < 0.35:
+            body = f"<main{attrs(CONTENT_NAMES, '', 0.3)}>{rng.choice(['', rest('nav'), rest('notice')])}{body}{rng.choice(['', '', rest('aside'), rest('comments'), rest('share')])}</main>"
+        if rng.random() < 0.06:
             body = f'<div data-state="content">{title}{inside}</div>'
-        parts = [*kinds(["nav", "header", "notice", "ad", "form"], 4), body, *kinds(["comments", "footer", "aside", "share", "nav", "ad", "notice"], 4)]
+        parts = [*kinds(["nav", "header", "header", "notice", "ad", "form"], 4), body, *kinds(["comments", "footer", "footer", "aside", "share", "nav", "ad", "notice"], 4)]
         text = "".join(parts)
         for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
             wrap = rng.choice(["div", "div", "section", "x-" + rng.choice("abcd")])
