@@ -8,8 +8,10 @@ word, version number or clause among the template's own words makes it a variant
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -84,7 +86,8 @@ TEMPLATES = {
 }
 CUE = r"(?i)licen[sc]|spdx|permission is hereby|permission to use|redistribution|free software|public domain|cc[ -]by|cc0"
 WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
-LINE = re.compile(r"[^\n]+")
+#: Lines and sentences, each with the end that closes it.
+SEGMENT = re.compile(r"[^\n]*?(?:[.!?](?=\s)|\n|\Z)")
 PARAGRAPH = re.compile(r"(?:[^\n]*\S[^\n]*(?:\n|\Z))+")
 
 
@@ -104,109 +107,112 @@ class Verdict:
 
 
 class Scanner:
-    """Compressors primed with each template; plain data, made where it is used."""
+    """Compressors primed with each template; plain data, made where it is used.
 
-    def __init__(self, level: int = 3, tops: int = 5, near: float = 0.75):
-        self.cue, self.tops, self.near = re.compile(CUE), tops, near
+    A paragraph's words are listed once. Its segments with a cue, sentences and lines, are settled first; what a segment states
+    exactly stands, unless a longer template goes on from there. Each cue that is left gets one window of words about it, a longest
+    template's length on each side but not into what is settled, for wordings that run over lines and sentences. So a text
+    takes as many settlings as it has segments, cues and statements, however they crowd.
+    """
+
+    def __init__(self, level: int = 3, near: float = 0.75):
+        self.cue, self.near = re.compile(CUE), near
         self.plain = zstandard.ZstdCompressor(level=level, write_checksum=False, write_content_size=False)
         self.all = []
         for name, texts in TEMPLATES.items():
             for t in texts:
                 w = words(t)
                 primed = zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                primed.precompute_compress(level=level)
                 self.all.append((name, w, zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False, write_content_size=False, write_dict_id=False)))
-        self.longest = max(len(w) for _, w, _ in self.all)
+        self.counts = [Counter(w) for _, w, _ in self.all]
+        flat = [f" {' '.join(w)} " for _, w, _ in self.all]
+        #: Templates that another one holds: what states them exactly may state the longer one.
+        self.begun = [any(f != g and f in g for g in flat) for f in flat]
+        self.reach = max(len(w) for _, w, _ in self.all) * 5 // 4
         self.known: dict[bytes, tuple | None] = {}
 
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """Paragraphs of several lines with a cue, windowed about the cue by a template's length on each side where they run long,
-        then the cue's own lines."""
-        seen = set()
-        for p in PARAGRAPH.finditer(text):
-            lines = [(p.start() + m.start(), p.start() + m.end()) for m in LINE.finditer(p[0])]
-            hits = [i for i, (a, b) in enumerate(lines) if self.cue.search(text, a, b)]
-            for i in hits:
-                lo = hi = i
-                while lo > 0 and lines[i][1] - lines[lo - 1][0] < 16 * self.longest:
-                    lo -= 1
-                while hi + 1 < len(lines) and lines[hi + 1][1] - lines[i][0] < 16 * self.longest:
-                    hi += 1
-                for a, b in ((lo, hi), (i, i)):
-                    span = lines[a][0], lines[b][1]
-                    if span not in seen:
-                        seen.add(span)
-                        yield span
-
-    def pieces(self, text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
-        """The block, unless it is a line of more than two windows; a long line also by its sentences with a cue, and by those with their
-        successors, up to a template's length on each side of the cue."""
-        reach = 10 * self.longest
-        if b - a <= 48 * self.longest:
-            yield a, b
-        if b - a > 300:
-            for m in self.cue.finditer(text, a, b):
-                left, right = max(a, m.start() - reach), min(b, m.start() + reach)
-                lo = max(text.rfind(". ", left, m.start()), text.rfind("! ", left, m.start())) + 2
-                lo = lo if lo > 1 else left
-                yield lo, right
-                stop = text.find(". ", m.end(), right)
-                yield lo, right if stop < 0 else stop + 1
-
-    def settle(self, text: str, a: int, b: int) -> Verdict | None:
-        found = [(m.group().lower(), a + m.start(), a + m.end()) for m in WORD.finditer(text[a:b])]
-        if not found:
-            return None
-        own = [w for w, _, _ in found]
+    def judged(self, own: list[str]) -> tuple | None:
+        """``first word, end, template, verdict, saving, lacking, beyond`` of a block's best wording. Templates too few of whose words the block has
+        cannot be confirmed and are not tried; all others that shorten the block are."""
         flat = " ".join(own).encode()
-        if flat not in self.known:  # the verdict depends on the words alone
-            if len(self.known) > 4096:
-                self.known.clear()
-            self.known[flat] = self.judged(own, flat)
-        if best := self.known[flat]:
-            lo, hi, *rest = best
-            return Verdict(found[lo][1], found[hi - 1][2], *rest)
-        return None
-
-    def judged(self, own: list[str], flat: bytes) -> tuple | None:
-        alone = len(self.plain.compress(flat))
-        ranked = sorted(((alone - len(c.compress(flat))) / alone, name, i) for i, (name, _, c) in enumerate(self.all))
+        if flat in self.known:  # the verdict depends on the words alone
+            return self.known[flat]
+        if len(self.known) > 4096:
+            self.known.clear()
+        have = Counter(own)
+        may = [i for i, c in enumerate(self.counts) if sum(min(n, have[w]) for w, n in c.items() if w in have) >= self.near * len(self.all[i][1])]
+        alone = len(self.plain.compress(flat)) if may else 1
+        ranked = sorted(((alone - len(self.all[i][2].compress(flat))) / alone, i) for i in may)
         best = None
-        for saving, name, i in sorted(ranked, key=lambda r: (-r[0], r[1], r[2]))[: self.tops]:
+        for saving, i in sorted(ranked, key=lambda r: (-r[0], self.all[r[1]][0], r[1])):
             if saving <= 0:
                 break
-            want = self.all[i][1]
-            ops = difflib.SequenceMatcher(None, own, want, autojunk=False).get_opcodes()
-            same = [(x, y) for op, x, y, _, _ in ops if op == "equal"]
-            share = sum(y - x for x, y in same) / len(want)
-            if not same or share < self.near:
-                continue
-            lo, hi = same[0][0], same[-1][1]
-            lacking = [w for op, _, _, x, y in ops if op in ("insert", "replace") for w in want[x:y]]
-            beyond = [w for op, x, y, _, _ in ops if op == "delete" for w in own[max(x, lo) : min(y, hi)]]
-            beyond += [w for op, x, y, p, q in ops if op == "replace" and lo <= x <= hi for w in own[x : y if y <= hi else min(y, x + q - p)]]
-            exact = not lacking and not beyond
-            rank = (exact, len(want) if exact else 0, share, saving)
-            if best is None or rank > best[0]:
-                best = rank, (lo, hi, name, "exact" if exact else "variant", saving, lacking, beyond)
-        return best and best[1]
-
-    def settled(self, text: str, a: int, b: int) -> Iterator[Verdict]:
-        """The verdict on a block, then those on what lies before and after it as long as a cue is left there."""
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            if self.cue.search(text, a, b) and (v := self.settle(text, a, b)):
-                yield v
-                todo += [(a, v.start), (v.end, b)]
+            found = self.compared(own, i, saving)
+            if found and (best is None or found[0] > best[0]):
+                best = found
+        self.known[flat] = best and best[1]
+        return self.known[flat]
+
+    def compared(self, own: list[str], i: int, saving: float) -> tuple | None:
+        """The exact differences between a block and a template."""
+        name, want, _ = self.all[i]
+        ops = difflib.SequenceMatcher(None, own, want, autojunk=False).get_opcodes()
+        same = [(x, y) for op, x, y, _, _ in ops if op == "equal"]
+        share = sum(y - x for x, y in same) / len(want)
+        if not same or share < self.near or same[-1][1] - same[0][0] > 2 * len(want) + 8:  # words of it, far apart
+            return None
+        lo, hi = same[0][0], same[-1][1]
+        lacking = [w for op, _, _, x, y in ops if op in ("insert", "replace") for w in want[x:y]]
+        beyond = [w for op, x, y, _, _ in ops if op == "delete" for w in own[max(x, lo) : min(y, hi)]]
+        beyond += [w for op, x, y, p, q in ops if op == "replace" and lo <= x <= hi for w in own[x : y if y <= hi else min(y, x + q - p)]]
+        exact = not lacking and not beyond
+        return (exact, len(want) if exact else 0, share, saving), (lo, hi, i, "exact" if exact else "variant", saving, lacking, beyond)
 
     def scan(self, text: str) -> list[Verdict]:
-        """Non-overlapping verdicts in text order; of overlapping ones exact beats variant, then longer beats shorter."""
-        got = [v for a, b in self.blocks(text) for x, y in self.pieces(text, a, b) for v in self.settled(text, x, y)]
+        """Non-overlapping verdicts in text order."""
         out: list[Verdict] = []
-        for v in sorted(got, key=lambda v: (v.verdict != "exact", v.start - v.end, v.start, v.license)):
-            if all(v.end <= o.start or v.start >= o.end for o in out):
-                out.append(v)
-        return sorted(out, key=lambda v: v.start)
+        for p in PARAGRAPH.finditer(text):
+            if self.cue.search(text, p.start(), p.end()):
+                out += self.paragraph(text, p.start(), p.end())
+        return out
+
+    def paragraph(self, text: str, a: int, b: int) -> list[Verdict]:
+        found = [(m.start(), m.end()) for m in WORD.finditer(text, a, b)]
+        own = [text[x:y].lower() for x, y in found]
+        starts = [x for x, _ in found]
+        at = lambda c: bisect.bisect_left(starts, c)
+        cues = sorted({min(bisect.bisect_right(starts, m.start()) - 1 if starts and m.start() >= starts[0] else 0, len(own) - 1) for m in self.cue.finditer(text, a, b)}) if own else []
+        taken: list[tuple[int, int]] = []  # word ranges of the accepted statements, in order
+        said: dict[int, tuple] = {}
+
+        def free(c: int) -> tuple[int, int] | None:
+            """The words about a cue up to accepted statements; none if one holds it."""
+            k = bisect.bisect_right(taken, (c, len(own)))
+            lo = taken[k - 1][1] if k else 0
+            return None if lo > c else (max(lo, c - self.reach), min(taken[k][0] if k < len(taken) else len(own), c + self.reach))
+
+        def accept(lo: int, hi: int, v: tuple) -> None:
+            bisect.insort(taken, (lo, hi))
+            said[lo] = (hi, *v)
+
+        edge, loose = a, {}
+        for m in SEGMENT.finditer(text, a, b):  # a segment's words, up to the end that closes it
+            lo, hi, edge = at(edge), at(m.end()), m.end()
+            while lo < hi <= lo + 2 * self.reach and bisect.bisect_left(cues, hi) > bisect.bisect_left(cues, lo) and (v := self.judged(own[lo:hi])):
+                if v[3] != "exact" or self.begun[v[2]]:
+                    loose[lo + v[0]] = (lo + v[1], *v[2:])
+                    break
+                accept(lo + v[0], lo + v[1], v[2:])
+                lo += v[1]
+        for c in cues:
+            while (span := free(c)) and (v := self.judged(own[span[0] : span[1]])):
+                accept(span[0] + v[0], span[0] + v[1], v[2:])
+        for lo, (hi, *v) in loose.items():  # what no window has found to be part of something else
+            k = bisect.bisect_left(taken, (lo, 0))
+            if (k == len(taken) or taken[k][0] >= hi) and (k == 0 or taken[k - 1][1] <= lo):
+                accept(lo, hi, tuple(v))
+        return [Verdict(found[lo][0], found[hi - 1][1], self.all[said[lo][1]][0], *said[lo][2:]) for lo, hi in taken]
 
 
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -499,6 +500,40 @@ def test_empty_tables(spark):
     assert imatch.with_edited(none, imatch.lexicon(none)).count() == 0 and licenses.licences(none).count() == 0
 
 
+def test_equal_rows_of_the_mix_stay_apart(spark):
+    import corpus_pipeline
+
+    five = [(1, "a b c", "en", "s", 5)] * 5 + [(None, "d e", "en", None, 3)] * 3 + [(2, "f " * 40, "en", "t", 80), (3, None, "en", "s", 0)]
+    d = spark.createDataFrame(five, "doc_id long, text string, lang string, source string, n_chars long").withColumn("copies", F.lit("clash")).withColumn("_row", F.lit(0))
+    got = corpus_pipeline.mix_sources(spark, d, "").collect()
+    taken = Counter((r.doc_id, r.text) for r in got)
+    assert taken[1, "a b c"] <= 5 and taken[None, "d e"] <= 3 and taken[3, None] == 0 and all(1 <= r.copies <= 3 for r in got)
+    words = Counter()
+    for r in got:
+        words[r.source] += r.copies * r["size"]
+    assert all(abs(words[r.source] - r.target) <= 3 for r in got if r.source != "t")
+
+
+def test_crowded_licence_lines_take_linear_time():
+    began = time.time()
+    got = licenses.Scanner().scan("\n".join(f"Released under the MIT License. {i}" for i in range(10_000)))
+    assert len(got) == 10_000 and {(v.license, v.verdict) for v in got} == {("MIT", "exact")}
+    more = licenses.Scanner().scan("\n".join(f"Released under the MIT Licence {i} of old" for i in range(2_000)))
+    assert len(more) == 2_000 and {(v.license, v.verdict) for v in more} == {("MIT", "variant")}
+    licenses.Scanner().scan("license of " * 50_000)
+    licenses.Scanner().scan(" ".join(f"a license of {i} kinds" for i in range(10_000)))
+    assert time.time() - began < 25
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", ". ", "\n\n"])
+def test_statements_beside_each_other(gap):
+    """Every template's wording, one after another: each is found whole, the longer of those that begin alike."""
+    every = [(n, t) for n, ts in licenses.TEMPLATES.items() for t in ts if len(licenses.words(t)) > 3]
+    text = gap.join(t for _, t in every)
+    got = [v.license for v in licenses.Scanner().scan(text) if v.verdict == "exact"]
+    assert Counter(got) == Counter(n for n, _ in every)
+
+
 def test_pipeline_stages(spark, tmp_path, corpus):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(8)
