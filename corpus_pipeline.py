@@ -55,10 +55,10 @@ def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     seeded order are between equal rows; texts are counted whole, an empty table stays empty, further columns pass through.
     """
     names = ["size", "source_size", "target", "copies"]
-    i, m = free_names(docs, "id", "mark")
-    key, mark = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), F.xxhash64("text")
-    found = mixing.mixed_documents(docs, with_mark=True).where("copies > 0").select(F.coalesce("id", F.lit(-(1 << 63))).alias(i), F.col("mark").alias(m), "source", *names).distinct()
-    return docs.drop(*names).withColumn(i, key).withColumn(m, mark).join(found.withColumnRenamed("source", "_" + i), [i, m]).where(F.col("source").eqNullSafe(F.col("_" + i))).drop(i, m, "_" + i)
+    (row,) = free_names(docs, "row")
+    rows = staged(docs.drop(*names).withColumn(row, F.monotonically_increasing_id()), "mix-rows")  # numbered once, so that equal rows stay apart
+    found = mixing.mixed_documents(rows, keep=row).where("copies > 0").select(row, *names)
+    return rows.join(found, row).drop(row)
 
 
 STAGES = [

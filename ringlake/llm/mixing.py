@@ -173,42 +173,36 @@ def mix(rows: DataFrame, members_col: str, size_col: str, key: list[str], weight
     return taken.unionByName(none), sizes, goal
 
 
-def closer(taken: DataFrame, members_col: str, size_col: str, key: list[str], goal: dict, repeats: int, seed: int, rounds: int = 6) -> DataFrame:
-    """``taken`` with one copy more or less of a few rows: in each round that of each source's document whose size comes nearest to what the
-    source lacks or exceeds then. A source keeps the moves up to where it was nearest to its goal, so a large document may
-    leave for smaller ones. The driver holds one row a source and round."""
+def closer(taken: DataFrame, members_col: str, size_col: str, key: list[str], goal: dict, repeats: int, seed: int) -> DataFrame:
+    """``taken`` with one copy more or less of a few rows, so that each source's taken tokens come as near to its goal as single documents bring them.
+
+    One pass gathers for each source a row of every size class (a fourth of a power of two) that may take a copy more, and one that may
+    lose its copy; the driver then takes whichever brings a source nearest to its goal, again and again as long as one
+    does. It holds up to some 500 rows a source, however many documents there are.
+    """
     spark = taken.sparkSession
     rows = staged(taken.withColumn("_u", F.monotonically_increasing_id()), "taken")
     sums = {r[0]: int(r[1]) for r in rows.select(F.explode("_copies").alias("x"), size_col).groupBy("x").agg(F.sum(size_col)).collect()}
     gap = {x: g - sums.get(x, 0) for x, g in goal.items()}
-    done: list[tuple] = []
-    least = {x: (abs(g), 0) for x, g in gap.items()}  # the nearest so far, and after how many moves
-    count = dict.fromkeys(gap, 0)
-    for _ in range(rounds):
-        if all(abs(g) < 1 for g in gap.values()):
-            break
-        gaps = F.broadcast(spark.createDataFrame([(x, float(g)) for x, g in gap.items() if abs(g) >= 1] or [("", 0.0)], "_x string, _gap double").where("_gap <> 0"))
-        free = rows.join(F.broadcast(spark.createDataFrame([(u,) for u, *_ in done], "_u long")), "_u", "left_anti") if done else rows
-        one = free.select("_u", F.col(size_col).alias("_s"), "_copies", F.xxhash64(*key, F.lit(seed)).alias("_h"), F.explode(members_col).alias("_x2")).join(gaps, F.col("_x").eqNullSafe(F.col("_x2")))
-        may = F.when(F.col("_gap") > 0, F.size("_copies") < repeats).otherwise(F.exists("_copies", lambda c: c.eqNullSafe(F.col("_x2"))))
-        off = F.abs(F.abs("_gap") - F.col("_s"))
-        best = one.where(may).groupBy("_x2").agg(F.min(F.struct(off.alias("off"), "_h", "_u", "_s")).alias("b")).select("_x2", "b._u", "b._s").collect()
-        if not best:
-            break
-        for x, u, s in best:
-            if any(u == d[0] for d in done):
-                continue  # another source's already
-            done.append((u, x, 1 if gap[x] > 0 else -1))
-            gap[x] -= s * done[-1][2]
-            count[x] += 1
-            least[x] = min(least[x], (abs(gap[x]), count[x]))
-    left = {x: n for x, (_, n) in least.items()}
-    kept = []
-    for move in done:
-        if left[move[1]] > 0:
-            left[move[1]] -= 1
-            kept.append(move)
-    done = kept
+    if all(abs(g) < 1 for g in gap.values()):
+        return rows.drop("_u")
+    h = F.xxhash64(*key, F.lit(seed))
+    one = rows.select("_u", F.col(size_col).alias("_s"), "_copies", h.alias("_h"), F.explode(members_col).alias("_x"))
+    way = F.array_compact(F.array(F.when(F.size("_copies") < repeats, 1), F.when(F.exists("_copies", lambda c: c.eqNullSafe(F.col("_x"))), -1)))
+    ranks = F.floor(F.log2(F.col("_s").cast("double")) * 4).cast("int")
+    least = one.withColumn("_by", F.explode(way)).groupBy("_x", "_by", ranks.alias("_class")).agg(F.min(F.struct("_h", "_u", "_s")).alias("b")).select("_x", "_by", "b._u", "b._s").collect()
+    may: dict = {}
+    for x, by, u, size in sorted(least, key=lambda r: (r[0] is None, r[0] or "", r[3], r[1], r[2])):
+        may.setdefault(x, []).append((by, u, int(size)))
+    done, used = [], set()
+    for x, g in gap.items():
+        while free := [(abs(g - by * size), size, by, u) for by, u, size in may.get(x, []) if u not in used]:
+            off, size, by, u = min(free)
+            if off >= abs(g):
+                break
+            g -= by * size
+            used.add(u)
+            done.append((u, x, by))
     if not done:
         return rows.drop("_u")
     moves = F.broadcast(spark.createDataFrame(done, "_u long, _to string, _by int"))
@@ -221,18 +215,18 @@ def cycle_weights(order: list) -> dict:
     return {x: (5, 2, 1)[i % 3] for i, x in enumerate(order)}
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", repeats: int = 3, seed: int = 17, with_mark: bool = False) -> DataFrame:
-    """``(id, size, source, source_size, target, copies)`` for every row; ``with_mark`` adds the text's hash.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", repeats: int = 3, seed: int = 17, keep: str | None = None) -> DataFrame:
+    """``(id, size, source, source_size, target, copies)`` for every row, and its column ``keep``.
 
     Sources by code point, null last, weigh 5, 2, 1 in turn. Null and wordless texts have size 0 and are never taken.
     Repeated rows each count; ties in the seeded order are between equal rows; an empty table gives no rows; other
     columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"), *([F.col(keep).alias("kept")] if keep else []))
     sized = staged(word_counts(rows.withColumn("mark", F.xxhash64("text")), "text").withColumn("members", F.array("source")), "sizes")
     out, sizes, goal = mix(sized, "members", "size", ["id", "mark"], cycle_weights, repeats, seed)
     facts = docs.sparkSession.createDataFrame([(x, int(sizes[x]), float(goal[x])) for x in sizes], "_s string, source_size bigint, target double")
-    return out.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("_s"))).select("id", "size", "source", "source_size", "target", F.size("_copies").alias("copies"), *(["mark"] if with_mark else []))
+    return out.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("_s"))).select("id", "size", "source", "source_size", "target", F.size("_copies").alias("copies"), *([F.col("kept").alias(keep)] if keep else []))
 
 
 def op6_min_cost_flow_mixing(spark, sf_dir: str) -> DataFrame:
