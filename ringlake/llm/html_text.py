@@ -14,6 +14,7 @@ import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -244,6 +245,12 @@ PARTS = frozenset("nav aside footer form header dialog figure table article main
 HEADINGS = frozenset("comments comment responses replies reply discussion feedback kommentare commentaires comentarios share related newsletter cookies cookie subscribe advertisement sponsored popular trending navigation menu search".split())
 
 
+@lru_cache(1 << 14)
+def within(word: str) -> tuple[str, ...]:
+    """Known words that a name begins or ends with."""
+    return tuple(k for k in LONG_WORDS if word.startswith(k) or word.endswith(k))
+
+
 def features(page: Page) -> list[list[int]]:
     """Hashed features of every node: its own tag, names, length and share of links; what the parts around it are; how it stands to the page's
     article. Sums of text run up once, from the last node to the first, and surroundings down once."""
@@ -262,7 +269,7 @@ def features(page: Page) -> list[list[int]]:
         texts[p] += texts[i]
         kids[p] += 1
         head[p] = head[i] if i == p + 1 or not head[p] and i <= p + 2 else head[p]  # the first run in it
-    known = [KNOWN_WORDS.intersection(ws) | {k for w in ws if w not in KNOWN_WORDS for k in LONG_WORDS if w.startswith(k) or w.endswith(k)} if ws else frozenset() for ws in page.names]
+    known = [KNOWN_WORDS.intersection(ws) | {k for w in ws if w not in KNOWN_WORDS for k in within(w)} if ws else frozenset() for ws in page.names]
     apart = [False] * n  # in a part whose name says that it is not the article
     for i in range(1, n):
         apart[i] = apart[page.parent[i]] or bool(known[i] & REST_WORDS) and size[i] < 0.9 * size[0]  # else it is a frame of the whole page
@@ -305,6 +312,7 @@ def features(page: Page) -> list[list[int]]:
     return out
 
 
+@lru_cache(1 << 16)
 def slot(x: str) -> int:
     h = 2166136261
     for c in x.encode():
