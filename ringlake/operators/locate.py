@@ -6,6 +6,7 @@ import difflib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.functions import cyclic, geo
@@ -74,8 +75,6 @@ def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, k
 
     Points and the targets of three laps are merged by their place, so each point looks only at its neighbours.
     """
-    from pyspark.sql import Window as W
-
     t = targets.select(*key, F.struct(F.col(target_id).alias("id"), F.col(target_at).alias("at")).alias("_t"), cyclic.frac(F.col(target_at)).alias("_p"))
     t = t.withColumn("_p", F.explode(F.array(F.col("_p") - 1.0, F.col("_p"), F.col("_p") + 1.0)))
     p = points.select(*key, F.struct(*point_id, F.col(at).alias("_at")).alias("_row"), cyclic.frac(F.col(at)).alias("_p"))
@@ -122,27 +121,61 @@ def by_name(left: DataFrame, names: list[Column], index: DataFrame, index_key: s
     return out.withColumn("hit", F.coalesce(*hits)).drop(*hits)
 
 
-def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b, strict=True)])
+def _ratios(cutoff: float):
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x: str, y: str) -> float:
+            m = difflib.SequenceMatcher(None, y, x)
+            return m.ratio() if m.quick_ratio() >= cutoff else 0.0
 
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
-def fuzzy_names(left: DataFrame, name: str, index: DataFrame, index_name: str, cutoff: float = 0.82) -> DataFrame:
-    """Adds ``match, ratio``: the index name of the highest Ratcliff-Obershelp ratio at or above the cutoff, the greatest
-    name among equals.
+    return score
+
+
+def _matched(la: Column, lb: Column, cutoff: float) -> Column:
+    """Characters that must match for the ratio to reach the cutoff."""
+    return F.ceil((la + lb) * cutoff / 2 - 1e-9)
+
+
+def fuzzy_candidates(left: DataFrame, name: str, index: DataFrame, index_name: str, cutoff: float = 0.82) -> DataFrame:
+    """Distinct pairs ``a, b`` of names among which are all whose Ratcliff-Obershelp ratio reaches the cutoff.
 
-    Names meet through shared character pairs, and only where lengths and common letters allow the ratio: both are upper
-    bounds of it, so no match is lost. The ratio itself, which no built-in gives, runs in batches over distinct pairs.
+    Of ``la + lb`` characters at least ``M = cutoff * (la + lb) / 2`` match on each side, in at most ``la + lb - 2 * M + 1`` blocks, so
+    the names share that many character pairs less than ``M``. Hence they share one among each name's rarest pairs, as many
+    as leave no room for the rest: only those are joined, and common pairs meet nobody. Pairs that stand once in both names
+    must also stand about as far from the start. Needs a cutoff over two thirds.
     """
-    ratio = F.pandas_udf(_ratios, "double")
+    if cutoff <= 2 / 3:
+        raise ValueError("the bound on shared pairs needs a cutoff over two thirds")
 
-    def grams(df: DataFrame, col: str, out: str) -> DataFrame:
-        c = F.col(out)
+    def grams(df: DataFrame, col: str) -> DataFrame:
+        c = F.col("_n")
         pairs = F.when(F.length(c) < 2, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))
-        return df.select(F.col(col).alias(out)).where(F.length(c) > 0).distinct().withColumn("_g", F.explode(F.array_distinct(pairs)))
+        g = df.select(F.col(col).alias("_n")).where(F.length("_n") > 0).distinct().select("_n", F.posexplode(pairs).alias("_at", "_g"))
+        same = W.partitionBy("_n", "_g")
+        return g.withColumn("_k", F.row_number().over(same.orderBy("_at"))).withColumn("_of", F.count("*").over(same))
+
+    a, b = grams(left, name), grams(index, index_name)
+    often = a.select("_g", "_k").unionByName(b.select("_g", "_k")).groupBy("_g", "_k").agg(F.count("*").alias("_f"))
+
+    def rarest(g: DataFrame, out: str) -> DataFrame:
+        n = F.length("_n")
+        other = F.ceil(n * cutoff / (2 - cutoff) - 1e-9)  # the shortest partner's length
+        shared = F.greatest(F.lit(1), 3 * _matched(n, other, cutoff) - n - other - 1)
+        first = F.row_number().over(W.partitionBy("_n").orderBy("_f", "_g", "_k"))
+        kept = g.join(often, ["_g", "_k"]).withColumn("_i", first).where(F.col("_i") <= F.greatest(F.lit(1), n - 1) - shared + 1)
+        return kept.select("_g", "_k", F.col("_n").alias(out), F.col("_at").alias(f"_at_{out}"), F.col("_of").alias(f"_of_{out}"))
 
-    cand = grams(left, name, "a").join(grams(index, index_name, "b"), "_g").groupBy("a", "b").agg(F.count("*").alias("_n"))
     la, lb = F.length("a"), F.length("b")
-    cand = cand.where(2.0 * F.least(la, lb) / (la + lb) >= cutoff).select("a", "b")
-    scored = cand.withColumn("ratio", ratio("a", "b")).where(F.col("ratio") >= cutoff)
+    far = F.abs(F.col("_at_a") - F.col("_at_b")) > la + lb - 2 * _matched(la, lb, cutoff)
+    j = rarest(a, "a").join(rarest(b, "b"), ["_g", "_k"])
+    return j.where(2.0 * F.least(la, lb) / (la + lb) >= cutoff - 1e-9).where(~(far & (F.col("_of_a") == 1) & (F.col("_of_b") == 1))).select("a", "b").distinct()
+
+
+def fuzzy_names(left: DataFrame, name: str, index: DataFrame, index_name: str, cutoff: float = 0.82) -> DataFrame:
+    """Adds ``match, ratio``: the index name of the highest Ratcliff-Obershelp ratio at or above the cutoff, the greatest
+    name among equals. The ratio itself, which no built-in gives, runs in batches over the candidates. Null and empty names match nothing."""
+    ratio = F.pandas_udf(_ratios(cutoff), "double")
+    scored = fuzzy_candidates(left, name, index, index_name, cutoff).withColumn("ratio", ratio("a", "b")).where(F.col("ratio") >= cutoff)
     best = scored.groupBy("a").agg(F.max(F.struct("ratio", "b")).alias("m")).select(F.col("a").alias(name), F.col("m.b").alias("match"), F.col("m.ratio").alias("ratio"))
     return left.join(best, name, "left")

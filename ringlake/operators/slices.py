@@ -193,31 +193,34 @@ def selected(rows: DataFrame, key: list[str], value: str, q: float, out: str, fe
     equal values end a search.
     """
     x = rows.select(*key, F.col(value).cast("double").alias("_x"))
-    n = x.groupBy(*key).agg(F.count("_x").alias("_m")).withColumn("_k", F.bround((F.col("_m") - 1) * F.lit(q)).cast("long"))
-    left = n.withColumn("_from", F.lit(None).cast("double")).withColumn("_to", F.lit(None).cast("double"))
-    parts: list[DataFrame] = []
-    within = (F.col("_from").isNull() | (F.col("_x") >= F.col("_from"))) & (F.col("_to").isNull() | (F.col("_x") <= F.col("_to")))
+    n = x.groupBy(*key).agg(F.count("_x").alias("_m"))
+    left = n.select(*key, "_m", F.bround((F.col("_m") - 1) * F.lit(q)).cast("long").alias("_k"), F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"))
+    x, parts = x.where("_x is not null"), []
+    within = (F.col("_lo").isNull() | (F.col("_x") > F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_x") < F.col("_hi")))
 
     def closed(which: DataFrame) -> DataFrame:
-        held = x.where("_x is not null").join(which, key).where(within)
+        held = x.join(which, key).where(within)
         return held.withColumn("_i", F.row_number().over(W.partitionBy(*key).orderBy("_x"))).where(F.col("_i") == F.col("_k") + 1).select(*key, F.col("_x").alias(out))
 
     while (left.agg(F.max("_m")).first()[0] or 0) > few:
         left = written(left, "ranks")
         parts.append(closed(left.where(F.col("_m") <= few)))
-        held = x.where("_x is not null").join(left.where(F.col("_m") > few), key).where(within)
+        held = x.join(left.where(F.col("_m") > few), key).where(within)
         bar = F.percentile_approx("_x", F.array(*[F.lit(i / bars) for i in range(bars + 1)]), F.lit(10_000))
-        sketch = held.groupBy(*key).agg(bar.alias("_h"), F.first("_m").alias("_m"), F.first("_k").alias("_k"), F.first("_from").alias("_f"), F.first("_to").alias("_t"))
+        one = [F.first(c).alias(c) for c in ("_m", "_k", "_lo", "_hi")]
         i = F.floor(F.col("_k") * bars / F.col("_m")).cast("int")
-        near = lambda j: F.try_element_at("_h", j + 1)
-        bracket = sketch.select(*key, "_m", "_k", F.when(i > 0, near(i - 1)).otherwise(F.col("_f")).alias("_from"), F.when(i + 2 <= bars, near(i + 2)).otherwise(F.col("_t")).alias("_to"), F.col("_f"), F.col("_t"))
-        bracket = written(bracket, "brackets")
-        before = (F.col("_f").isNull() | (F.col("_x") >= F.col("_f"))) & (F.col("_t").isNull() | (F.col("_x") <= F.col("_t")))
-        seen = x.where("_x is not null").join(bracket, key).where(before)
-        exact = seen.groupBy(*key).agg(F.first("_k").alias("_k"), F.first("_from").alias("_from"), F.first("_to").alias("_to"), F.count_if(F.col("_x") < F.col("_from")).alias("_below"), F.count_if(within).alias("_n"))
-        exact = written(exact.select(*key, F.col("_n").alias("_m"), (F.col("_k") - F.col("_below")).alias("_k"), "_from", "_to"), "ranks")
-        parts.append(exact.where("_from = _to").select(*key, F.col("_from").alias(out)))
-        left = exact.where("_from is null or _to is null or _from < _to")
+        bracket = written(held.groupBy(*key).agg(bar.alias("_h"), *one).select(*key, "_k", "_lo", "_hi", F.element_at("_h", F.greatest(i, F.lit(1))).alias("_a"), F.element_at("_h", F.least(i + 3, F.lit(bars + 1))).alias("_b")), "brackets")
+        a, b, v = F.col("_a"), F.col("_b"), F.col("_x")
+        counts = [F.count_if(v < a).alias("_n1"), F.count_if(v == a).alias("_n2"), F.count_if((v > a) & (v < b)).alias("_n3"), F.count_if((v == b) & (b > a)).alias("_n4"), F.count_if(v > b).alias("_n5")]
+        seen = x.join(bracket, key).where(within).groupBy(*key).agg(*[F.first(c).alias(c) for c in ("_k", "_lo", "_hi", "_a", "_b")], *counts)
+        # where the rank falls: below, on or between the bracket's ends, or above; ends that it is not on are left out for good
+        upto = [F.lit(0), *[sum((F.col(f"_n{j}") for j in range(2, c + 1)), F.col("_n1")) for c in range(1, 5)]]
+        k = F.col("_k")
+        case = lambda low, at, mid, top, over: F.when(k < upto[1], low).when(k < upto[2], at).when(k < upto[3], mid).when(k < upto[4], top).otherwise(over)
+        none = F.lit(None).cast("double")
+        exact = written(seen.select(*key, case(F.col("_n1"), F.lit(0), F.col("_n3"), F.lit(0), F.col("_n5")).alias("_m"), case(k, F.lit(0), k - upto[2], F.lit(0), k - upto[4]).alias("_k"), case(F.col("_lo"), none, a, none, b).alias("_lo"), case(a, none, b, none, F.col("_hi")).alias("_hi"), case(none, a, none, b, none).alias("_x")), "ranks")
+        parts.append(exact.where("_x is not null").select(*key, F.col("_x").alias(out)))
+        left = exact.where("_x is null").drop("_x")
     parts.append(closed(left))
     found = reduce(DataFrame.unionByName, parts)
     return n.select(*key).join(found, key, "left").withColumn(out, F.coalesce(out, F.lit(0.0)))
