@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.operators import intervals, locate, ring, slices
-from ringlake.plans import quality
+from ringlake.plans import generate, quality
+from ringlake.functions import labels
 from ringlake.plans.catalog import CORNERS, LEGS, RINGS, TURNS, corners, hav, query, r6, read, rings
 from ringlake.plans.catalog_layouts import SLUGGED, outlines
+from ringlake.sources import track_folders
 
 # ---- places in the ranges of a hot key -----------------------------------------------------------------------------
 
@@ -42,8 +48,6 @@ pt AS (SELECT ring % 3 AS ring, ring AS id, round(avg(lon), 6) AS plon, CAST(0.0
 
 
 def long_rings(spark, sf):
-    from pyspark.sql import Window as W
-
     v = rings(spark, sf)
     p = v.groupBy((F.col("ring") % 3).alias("ring"), F.col("ring").alias("id")).agg(F.round(F.avg("lon"), 6).alias("plon")).withColumn("plat", F.lit(0.05))
     three = W.partitionBy(F.col("ring") % 3).orderBy("ring", "seq")
@@ -103,3 +107,64 @@ def centerline_faults(spark, sf):
 def empty_groups(spark, sf):
     c = corners(spark, sf).where("grp = 'R'").select(F.col("layout").cast("string").alias("slug"), F.lit("x").alias("layout_id"), F.col("grp").alias("id"), F.when(F.col("scale") < 3, F.col("number")).alias("p"))
     return quality.empty_groups(c.groupBy("slug", "layout_id", "id").agg(F.collect_list("p").alias("points"))).select("slug", "rule", "detail")
+
+
+# ---- from sources to layouts ---------------------------------------------------------------------------------------
+
+
+def circuit_sources(spark, sf):
+    """Each ring as a circuit: its legs as loose segments, every fourth vertex as a corner, pairs of which share a name."""
+    v = outlines(spark, sf).withColumn("lon", F.col("lon") / 100).withColumn("lat", F.col("lat") / 100)
+    m = ring.measured(v, SLUGGED)
+    point = lambda x, y: F.struct(F.col(x).alias("lon"), F.col(y).alias("lat"))
+    segments = m.select("slug", "layout_id", F.col("seq").alias("ord"), F.lit("").alias("name"), F.array(point("lon", "lat"), point("lon2", "lat2")).alias("points"))
+    layouts = m.groupBy("slug", "layout_id").agg(F.max("total_m").alias("length_m"))
+    c = m.where("seq % 4 = 1").withColumn("number", F.row_number().over(W.partitionBy("slug", "layout_id").orderBy("seq")))
+    name = F.concat(F.lit("N"), F.floor((F.col("number") - 1) / 2).cast("string"))
+    c = c.select("slug", "layout_id", F.concat(F.lit("t"), F.col("number").cast("string")).alias("id"), "number", F.col("number").cast("string").alias("code"), F.create_map(F.lit("numbered"), labels.numbered(F.col("number")), F.lit("driver"), name).alias("labels"),
+                 name.alias("label"), F.lit(True).alias("named"), (F.col("cum_m") / F.col("total_m")).alias("marker"), (F.col("number") % 6 + 1).alias("scale"), F.lit("").alias("grp"), F.col("lon").alias("plon"), F.col("lat").alias("plat"))
+    starts = v.where("seq = 1").select("slug", "layout_id", F.col("lon").alias("plon"), F.col("lat").alias("plat"))
+    return segments, layouts, c, c.select("slug", "layout_id", "marker", "plon", "plat"), starts
+
+
+@query(f"""WITH {LEGS.replace("CAST(1e-3 AS DOUBLE)", "CAST(1e-3 AS DOUBLE) / 100")}, s AS (SELECT CAST(ring AS VARCHAR) AS slug, 1 + sum(CASE WHEN seg_m > 30.0 THEN CAST(floor(seg_m / 30.0) AS INTEGER) + 1 ELSE 1 END) AS vertices, true AS near FROM legs GROUP BY ring),
+c AS (SELECT CAST(ring AS VARCHAR) AS slug, row_number() OVER (PARTITION BY ring ORDER BY seq) AS number FROM ring WHERE seq % 4 = 1), g AS (SELECT slug, (number - 1) // 2 AS g, count(*) AS n, max(number % 6 + 1) AS scale FROM c GROUP BY ALL)
+SELECT s.slug, CAST(vertices AS BIGINT) AS vertices, near, true AS closed, (SELECT count(*) FROM c WHERE c.slug = s.slug) AS corners, (SELECT count(*) FROM g WHERE g.slug = s.slug AND NOT (n = 1 AND scale >= 5)) AS complexes FROM s""")
+def generated_layouts(spark, sf):
+    """All steps from loose segments to layouts."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ringlake-")).rstrip("/")
+    made = generate.generated(generate.Steps(spark, f"{folder}/generated-{uuid.uuid4().hex}"), *circuit_sources(spark, sf), methods=("relation",))
+    count = lambda t, n: made[t].groupBy("slug").agg(F.count("*").alias(n))
+    out = made["traced"].select("slug", "vertices", (F.abs(F.col("traced_m") / F.col("length_m") - 1) < 0.002).alias("near"), "closed").join(count("corners", "corners"), "slug", "left").join(count("complexes", "complexes"), "slug", "left")
+    return out.na.fill(0, ["corners", "complexes"])
+
+
+# ---- track folders -------------------------------------------------------------------------------------------------
+
+
+def written_tracks(spark, sf) -> str:
+    """Each ring as a track folder, its vertices as corners and as the outline; the folder's path."""
+    track_folders.register(spark)
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ringlake-")).rstrip("/")
+    path = f"{folder}/tracks-{uuid.uuid4().hex}"
+    v = ring.measured(outlines(spark, sf), SLUGGED)
+    g = v.groupBy("slug").agg(F.array_sort(F.collect_list(F.struct("seq", (F.col("cum_m") / F.nullif("total_m", F.lit(0.0))).alias("marker"), F.array("lon", "lat").alias("p")))).alias("v"), F.max("total_m").alias("length_m"))
+    item = lambda x: F.struct(F.concat(F.lit("t"), x["seq"].cast("string")).alias("id"), x["seq"].alias("number"), x["marker"].alias("marker"), x["p"].alias("location"), F.create_map(F.lit("numbered"), labels.numbered(x["seq"])).alias("labels"))
+    layer = F.array(F.struct(F.lit("corners").alias("id"), F.transform("v", item).alias("items")))
+    layout = F.struct(F.lit("main").alias("id"), "length_m", F.struct(F.lit("raw/main.geojson").alias("centerline")).alias("geometry"), layer.alias("point_layers"))
+    document = F.to_json(F.struct("slug", F.array(layout).alias("layouts")))
+    shape = F.to_json(F.struct(F.lit("LineString").alias("type"), F.transform("v", lambda x: x["p"]).alias("coordinates")))
+    one = lambda f, c: F.struct(F.lit(f).alias("file"), c.alias("content"))
+    g.select("slug", F.inline(F.array(one("track.json", document), one("raw/main.geojson", shape)))).write.format("track_folders").mode("append").save(path)
+    return path
+
+
+@query(f"WITH {LEGS} SELECT CAST(ring AS VARCHAR) AS slug, 't' || seq AS id, CAST(seq AS INTEGER) AS number, round(cum_m / nullif(total_m, 0), 9) AS marker, lon, lat FROM measured")
+def track_folder_items(spark, sf):
+    items = spark.read.format("track_folders").option("table", "items").load(written_tracks(spark, sf))
+    return items.where("layer_id = 'corners'").select("slug", "id", "number", r6("marker", 9).alias("marker"), "lon", "lat")
+
+
+@query(f"WITH {RINGS}, n AS (SELECT ring, max(seq) AS n, count(DISTINCT (lon, lat)) AS d, first(lon ORDER BY seq) AS x, first(lat ORDER BY seq) AS y, last(lon ORDER BY seq) AS lx, last(lat ORDER BY seq) AS ly FROM ring GROUP BY 1) SELECT CAST(r.ring AS VARCHAR) AS slug, CAST(seq AS INTEGER) AS seq, lon, lat FROM ring r JOIN n ON n.ring = r.ring WHERE NOT (n > 1 AND x = lx AND y = ly AND seq = n)")
+def track_folder_vertices(spark, sf):
+    return spark.read.format("track_folders").option("table", "vertices").load(written_tracks(spark, sf)).select("slug", "seq", "lon", "lat")

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringlake.operators import align, ring
+from ringlake.operators import align, graph, intervals, ring
+from ringlake.plans import audit, quality
 from ringlake.session import written
 
+KEY = quality.KEY
+LAYOUT = ring.Ring(key=tuple(KEY))
+#: Rules that a generated layout is held to.
+BAR = ["outline_points", "outline_closed", "length_deviation", "item_id_unique", "numbers_1_to_n", "code_present", "numbered_label", "corner_grouped", "lap_order", "on_track"]
+
 
 def chosen(candidates: DataFrame, expected: DataFrame, r: ring.Ring = ring.R) -> DataFrame:
     """The vertices of each ring's best candidate ``(key, source, rank, seq, lon, lat)`` by ``ring.quality`` against ``expected(key, expected_m)``, the least
@@ -44,3 +54,62 @@ def placed(emitted: DataFrame, marked: DataFrame, r: ring.Ring = ring.R) -> Data
     """``marked(key, marker, ...)`` with the place of each marker on the emitted ring, whatever placed it before; rows without a marker go."""
     at = ring.points_at(emitted, marked.where("marker is not null"), "marker", r)
     return at.withColumn("lon", F.round("lon", 6)).withColumn("lat", F.round("lat", 6))
+
+
+class Steps:
+    """Named steps of a plan, each a table under ``folder``. A step whose table was finished before is read, not run again, so a plan that was stopped
+    goes on where it stopped; ``again`` names steps to run anew, with all that come after them."""
+
+    def __init__(self, spark: SparkSession, folder: str, again: tuple[str, ...] = ()):
+        self.spark, self.folder, self.again, self.ran = spark, folder.rstrip("/"), again, []
+
+    def finished(self, name: str) -> bool:
+        try:
+            return bool(self.spark.read.format("binaryFile").load(f"{self.folder}/{name}/_SUCCESS").select("path").head(1))
+        except AnalysisException:
+            return False
+
+    def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if self.ran or name in self.again or not self.finished(name):
+            make().write.mode("overwrite").parquet(f"{self.folder}/{name}")
+            self.ran.append(name)
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+
+def generated(steps: Steps, segments: DataFrame, layouts: DataFrame, corners: DataFrame, anchors: DataFrame, starts: DataFrame, methods: tuple[str, ...] = ("relation", "stitch")) -> dict[str, DataFrame]:
+    """From sources to verified layouts; all tables have the key ``slug, layout_id``.
+
+    ``segments(ord, name, points)`` are assembled to laps by each of the ``methods``, and the line that fits ``layouts(length_m)`` best becomes the
+    outline, tied to ``anchors(marker, plon, plat)`` and ``starts(plon, plat)``. On it come ``corners(id, number, code, labels, label, named, marker,
+    scale, grp, plon, plat)``, their phases and groups, and the timing sectors; at last every rule of ``BAR`` is looked at. Returns the tables
+    by name: ``lines, chosen, outline, traced, corners, phases, complexes, sectors, violations, bar``. Layouts without a line have no
+    outline and fail the bar; corners without a marker have no place, and null lengths expect nothing.
+    """
+    s, r = steps, LAYOUT
+    goal = layouts.select(*KEY, F.col("length_m").cast("double").alias("expected_m"))
+    drawn = segments.join(goal, KEY, "left")
+    lines = s.step("lines", lambda: reduce(DataFrame.unionByName, [graph.assembled(drawn, KEY, how).withColumn("source", F.lit(how)).withColumn("rank", F.lit(i)) for i, how in enumerate(methods)]))
+    line = s.step("chosen", lambda: chosen(lines, goal, r))
+    rim = s.step("outline", lambda: outline(line, anchors, starts, r))
+    ends = rim.groupBy(*KEY).agg((F.min_by(F.struct(r.lon, r.lat), r.seq) == F.max_by(F.struct(r.lon, r.lat), r.seq)).alias("closed"))
+    size = s.step("traced", lambda: ring.summary(rim, r).select(*KEY, "vertices", F.col("length_m").alias("traced_m")).join(ends, KEY).join(layouts.select(*KEY, "length_m"), KEY).withColumn("lap_m", F.coalesce(F.nullif("length_m", F.lit(0.0)), "traced_m")))
+    at = s.step("corners", lambda: placed(rim, corners, r).join(size.select(*KEY, "lap_m"), KEY))
+    phased = s.step("phases", lambda: intervals.phases(at, KEY, "marker", "number", "scale", "lap_m", "grp").select(*KEY, "id", "number", "start", "apex", "end", "brakes"))
+    groups = s.step("complexes", lambda: intervals.complexes(at, KEY, "number", "grp", "label", "named", "scale"))
+    sectors = s.step("sectors", lambda: intervals.sector_rows(intervals.three_sectors(at, KEY, "marker")))
+    given = corners.where("plon is not null and plat is not null")
+
+    def faults() -> DataFrame:
+        on = ring.nearest_on_line(rim, given.select(*KEY, "id", "number", "marker", "plon", "plat"), ["id", "number", "marker"], r)
+        items = corners.select(*KEY, F.lit("corners").alias("layer_id"), "id", "number", "code", "labels")
+        named = groups.select(*KEY, F.explode("members").alias("number")).join(corners.select(*KEY, "number", "id"), [*KEY, "number"]).groupBy(*KEY).agg(F.collect_list("id").alias("members"))
+        lost = layouts.join(size.select(*KEY), KEY, "left_anti")
+        return quality.all_of(
+            quality.outline_rules(size), quality.violation(lost, "outline_points", "error", F.lit("no line")), quality.length_rules(size), quality.point_rules(items), quality.order_rules(on),
+            audit.distance_rules(rim, given.select(*KEY, "id", "plon", "plat")), quality.coverage_rules(corners, named),
+        )
+
+    found = s.step("violations", faults)
+    checks = layouts.select("slug", F.explode(F.array(*map(F.lit, BAR))).alias("rule"))
+    bar = s.step("bar", lambda: quality.roll_up(found, checks, BAR))
+    return {"lines": lines, "chosen": line, "outline": rim, "traced": size, "corners": at, "phases": phased, "complexes": groups, "sectors": sectors, "violations": found, "bar": bar}
