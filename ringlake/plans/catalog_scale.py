@@ -13,7 +13,7 @@ from ringlake.plans import generate, quality
 from ringlake.functions import labels
 from ringlake.plans.catalog import CORNERS, LEGS, RINGS, TURNS, corners, hav, query, r6, read, rings
 from ringlake.plans.catalog_layouts import SLUGGED, outlines
-from ringlake.sources import track_folders
+from ringlake.sources import override_documents, track_folders
 
 # ---- places in the ranges of a hot key -----------------------------------------------------------------------------
 
@@ -168,3 +168,25 @@ def track_folder_items(spark, sf):
 @query(f"WITH {RINGS}, n AS (SELECT ring, max(seq) AS n, count(DISTINCT (lon, lat)) AS d, first(lon ORDER BY seq) AS x, first(lat ORDER BY seq) AS y, last(lon ORDER BY seq) AS lx, last(lat ORDER BY seq) AS ly FROM ring GROUP BY 1) SELECT CAST(r.ring AS VARCHAR) AS slug, CAST(seq AS INTEGER) AS seq, lon, lat FROM ring r JOIN n ON n.ring = r.ring WHERE NOT (n > 1 AND x = lx AND y = ly AND seq = n)")
 def track_folder_vertices(spark, sf):
     return spark.read.format("track_folders").option("table", "vertices").load(written_tracks(spark, sf)).select("slug", "seq", "lon", "lat")
+
+
+# ---- override documents --------------------------------------------------------------------------------------------
+
+#: One document a customer: some fields for all layouts, some for the main one, and nulls that clear.
+DOCUMENT = """'{"_comment":"x","*":{"corners":{"1":{"driver":"all ' || c_custkey || '","scale":3},"2":{"marker":0.5}},"errors_summary":"s"}' ||
+CASE c_custkey % 4 WHEN 0 THEN ',"main":{"corners":{"1":{"driver":null,"official":"O"}}}' WHEN 1 THEN ',"main":{"corners":{"1":{"scale":null},"2":{"driver":"two","scale":7}},"errors_summary":null}' WHEN 2 THEN ',"other":{"corners":{"1":{"driver":"no"}}}' ELSE '' END || '}'"""
+
+
+@query("""WITH c AS (SELECT c_custkey, c_custkey % 4 AS m, unnest([1, 2]) AS number FROM customer) SELECT c_custkey, CAST(number AS INTEGER) AS number,
+  CASE WHEN number = 1 THEN CASE WHEN m = 0 THEN NULL ELSE 'all ' || c_custkey END ELSE CASE WHEN m = 1 THEN 'two' ELSE 'own' END END AS driver, CASE WHEN number = 1 AND m = 0 THEN 'O' END AS official,
+  CASE WHEN number = 1 THEN CASE WHEN m = 1 THEN NULL ELSE 3 END ELSE CASE WHEN m = 1 THEN 7 ELSE 1 END END AS scale, CASE WHEN number = 2 THEN CAST(0.5 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END AS marker, CASE WHEN m = 1 THEN NULL ELSE 's' END AS summary FROM c""")
+def override_documents_merged(spark, sf):
+    """Absent fields inherit, null ones clear, and a layout's own block goes before that of all."""
+    o = override_documents
+    d = read(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("slug"), F.lit("main").alias("layout_id"), F.expr(DOCUMENT).alias("document"))
+    b = o.blocks(d, d)
+    whole = o.layout_overrides(b).where("field = 'errors_summary'").select("slug", F.try_variant_get("value", "$", "string").alias("summary"))
+    c = d.select("c_custkey", "slug", F.explode(F.array(F.lit(1), F.lit(2))).alias("number")).withColumn("key", F.col("number").cast("string"))
+    j = c.join(o.field_map(o.corner_overrides(b)).select("slug", F.col("number").alias("key"), "fields"), ["slug", "key"], "left").join(whole, "slug", "left")
+    one = lambda own, name, kind: o.overridden(F.lit(own).cast(kind), F.col("fields"), name, kind).alias(name)
+    return j.select("c_custkey", "number", one("own", "driver", "string"), one(None, "official", "string"), one(1, "scale", "int"), one(0.1, "marker", "double"), "summary")
