@@ -46,17 +46,24 @@ def either(names: list[str]) -> str:
     return "(?:" + "|".join(f"{c}(?:{'|'.join(sorted(r, key=len, reverse=True))})" for c, r in by.items()) + ")"
 
 
+#: Small words inside family names, which stay as they are, and nouns that make a given name part of something else.
+PARTICLES = "van|von|der|den|de|del|della|di|da|dos|du|la|le|ter|ten|zu|zur|bin|ibn|al"
+THINGS = "Period|Station|Street|Road|Avenue|Square|Park|Bridge|Tower|University|College|School|Hospital|Church|Falls|Lake|River|Island|Airport|Hotel|Museum"
+PART = r"(?:\p{Lu}['’])?\p{Lu}\p{Ll}++"
+#: What follows a title or a given name: up to two more parts, with small words before them.
+FAMILY = rf"(?:(?:{PARTICLES}) ){{0,2}}{PART}"
 BARE = rf"(?=\p{{Lu}})(?<!\p{{L}}){either([n for v in KNOWN.values() for n in v])}(?!\p{{L}})"
+CAPITALS = rf"(?=\p{{Lu}}\p{{Lu}})(?<!\p{{L}}){either([n.upper() for v in KNOWN.values() for n in v])}(?!\p{{L}})"
 PATTERNS = {
-    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++@[\p{L}0-9-]++(?:\.[\p{L}0-9-]++)+",
     "secret": r"(?<![\p{L}0-9_-])(?:[0-9a-f]{32,}+|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{16,}+)(?![\p{L}0-9_-])",
     "iban": r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "ip6": r"(?<![\p{L}0-9:.])(?=[A-Fa-f:]*+[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Fa-f:]))(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*+)?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*+)?)(?![\p{L}0-9:])",
-    "phone": r"(?<![\p{L}0-9])\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![\p{L}0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![\p{L}0-9])\+[0-9]{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![\p{L}0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![\p{L}0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])|(?<![\p{L}0-9.,:/-])0[1-9][0-9]{1,3}[ /-][0-9]{5,8}(?![0-9.,:/-]?[0-9])",
     "ssn": r"(?<![\p{L}0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": r"(?<![\p{L}0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? \p{{Lu}}\p{{Ll}}++(?:[ -]\p{{Lu}}\p{{Ll}}++){{0,2}}|{BARE}(?:[ -]\p{{Lu}}\p{{Ll}}++){{1,2}}",
+    "name": rf"(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? {FAMILY}(?:[ -]{FAMILY}){{0,2}}|{BARE}(?: (?!(?:{THINGS})(?!\p{{L}}))|-)(?:{FAMILY})(?:[ -]{FAMILY}){{0,1}}|{CAPITALS}(?:[ -]\p{{Lu}}{{2,}}+){{1,2}}(?!\p{{L}})",
 }
 #: Given names by gender and script, and name syllables by script.
 GIVEN = {
@@ -71,7 +78,7 @@ SYLLABLES = {"latin": "ba be bo da de do ka ke ko la le lo ma me mo na ne no ra
              "cyrillic": "ба бе бо да де до ка ке ко ла ле ло ма ме мо на не но ра ре ро са се со та те то ва ве во ви зу".split()}
 ANY = "|".join(PATTERNS.values())
 #: A text without any of these has no entity.
-CUE = rf"[0-9@]|(?<![\p{{L}}0-9_-])(?:[a-f]{{32}}|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{{16}})|(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? \p{{Lu}}|{BARE}[ -]\p{{Lu}}"
+CUE = rf"[0-9@]|(?<![\p{{L}}0-9_-])(?:[a-f]{{32}}|(?:sk|pk|ghp|xoxb|AKIA)[_-]?[A-Za-z0-9_-]{{16}})|(?<!\p{{L}})(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? (?:(?:{PARTICLES}) )*+\p{{Lu}}|{BARE}[ -](?:(?:{PARTICLES}) )*+\p{{Lu}}|{CAPITALS}[ -]\p{{Lu}}"
 TITLE = rf"^(?:{TITLES_F}|{TITLES_M}|{TITLES_N})\.? "
 
 
@@ -79,8 +86,8 @@ def kind(s: Column) -> Column:
     """Type of a detected entity, by what tells its pattern apart."""
     bare = F.regexp_replace(s, "[ -]", "")
     return (
-        F.when(F.contains(s, F.lit("@")), "email").when(s.rlike(r"^\p{L}[\p{L}-]*\.? \p{Lu}\p{Ll}|^\p{Lu}\p{Ll}+-\p{Lu}\p{Ll}"), "name").when(s.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip").when(F.contains(s, F.lit(":")), "ip6")
-        .when(s.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban").when(s.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(s.rlike(r"^[+(]|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"), "phone")
+        F.when(F.contains(s, F.lit("@")), "email").when(s.rlike(rf"^\p{{L}}[\p{{L}}-]*\.? (?:(?:{PARTICLES}) )*\p{{Lu}}['’\p{{L}}]|^\p{{Lu}}\p{{L}}+-\p{{Lu}}"), "name").when(s.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), "ip").when(F.contains(s, F.lit(":")), "ip6")
+        .when(s.rlike(r"^[A-Z]{2}[0-9]{2}"), "iban").when(s.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn").when(s.rlike(r"^[+(]|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$|^0[1-9][0-9]{1,3}[ /-][0-9]{5,8}$"), "phone")
         .when(bare.rlike(r"^[0-9]{13,19}$"), "card").otherwise("secret")
     )
 
@@ -112,7 +119,7 @@ def gender(part: Column, title: Column) -> Column:
     among = lambda c, names: c.rlike(f"^(?:{'|'.join(names)})$")
     of = None
     for sex in "fmn":
-        of = (F if of is None else of).when(among(part, KNOWN[sex]), sex)
+        of = (F if of is None else of).when(among(F.initcap(part), KNOWN[sex]), sex)
     return of.when(title.rlike(f"^(?:{TITLES_F})\\b"), "f").when(title.rlike(f"^(?:{TITLES_M})\\b"), "m").otherwise("n")
 
 
@@ -125,7 +132,8 @@ def units(e: Column) -> Column:
     def parts(title: Column, words: Column) -> Column:
         def of(w, i):
             last = i == F.size(words) - 1
-            return F.transform(F.split(w, "-"), lambda p: unit(F.when(last, "family").otherwise("given"), p, F.lower(p), F.when(last, "n").otherwise(gender(p, title))))
+            small = w.rlike(f"^(?:{PARTICLES})$")
+            return F.transform(F.split(w, "-"), lambda p: unit(F.when(small, "particle").when(last, "family").otherwise("given"), p, F.lower(p), F.when(last | small, "n").otherwise(gender(p, title))))
 
         return F.flatten(F.transform(words, of))
 
@@ -252,7 +260,7 @@ def surrogate(s: Column, k: Column, c: Column, key: str, draw: Column, g: Column
         iban = let(shaped(F.substring(c, 5, 100), h), lambda a: laid(s, F.concat(F.left(c, F.lit(2)), F.lpad((98 - mod97(F.concat(a, F.left(c, F.lit(2)), F.lit("00")))).cast("string"), 2, "0"), a)))
         return (
             F.when(k == "email", email).when(k == "ip", ip).when(k == "ip6", ip6).when(k.isin("phone", "card", "ssn"), plain).when(k == "iban", iban)
-            .when(k.isin("given", "family"), F.when(c.rlike(r"\p{IsCyrillic}"), name_part(k, "cyrillic", h, g, draw)).otherwise(name_part(k, "latin", h, g, draw))).otherwise(hexed)
+            .when(k == "particle", s).when(k.isin("given", "family"), let(F.when(c.rlike(r"\p{IsCyrillic}"), name_part(k, "cyrillic", h, g, draw)).otherwise(name_part(k, "latin", h, g, draw)), lambda n: F.when(s.rlike(r"^\p{Lu}['’\p{Lu}]+$"), F.upper(n)).otherwise(n))).otherwise(hexed)
         )
 
     return let(digest(key, k, c, draw), of)
@@ -269,7 +277,7 @@ def draws(found: DataFrame, key: str, most_rounds: int = 24) -> DataFrame | None
     spark = found.sparkSession
     seen = F.collect_set("gender")
     both = F.array_contains(seen, "f") & F.array_contains(seen, "m")
-    each = found.groupBy("kind", "canon").agg(F.min("form").alias("form"), F.when(both, "n").when(F.array_contains(seen, "f"), "f").when(F.array_contains(seen, "m"), "m").otherwise("n").alias("gender"), (F.size(seen) > 1).alias("mixed"))
+    each = found.where("kind <> 'particle'").groupBy("kind", "canon").agg(F.min("form").alias("form"), F.when(both, "n").when(F.array_contains(seen, "f"), "f").when(F.array_contains(seen, "m"), "m").otherwise("n").alias("gender"), (F.size(seen) > 1).alias("mixed"))
     state, n = staged(each.withColumn("draw", F.lit(0)), "pii"), widths(spark)
     for k in range(most_rounds + 1):
         # one small file comes back as one split, but its surrogates are work for many tasks
@@ -289,7 +297,7 @@ def draws(found: DataFrame, key: str, most_rounds: int = 24) -> DataFrame | None
     return None if late.isEmpty() else late
 
 
-def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True, found_col: str | None = "_found") -> DataFrame:
+def replaced(docs: DataFrame, key: str, text_col: str = "text", check: bool = True, found_col: str | None = "_found") -> DataFrame:
     """All columns of ``docs`` with entities in ``text_col`` replaced, and ``found_col array<struct<kind, surrogate>>`` in text order,
     which replaces a column of that name (``None``: no such column).
 
@@ -300,16 +308,17 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
         raise ValueError("surrogates need a key of their own")
     text = F.col(f"`{text_col}`").cast("string")
     entities = F.when(text.rlike(CUE), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    own_e, own_late, own_m, own_id, own_mark, own_found = free_names(docs, "e", "late", "m", "id", "mark", "found")
-    late = draws(docs.select(F.explode(entities).alias("e")).select(F.inline(units(F.col("e"))["units"])), key) if check else None
-    rows = docs.withColumn(own_e, entities)
+    own_e, own_p, own_row, own_late, own_found = free_names(docs, "e", "p", "row", "late", "found")
+    # detected once: a text with entities is kept as what lies between them
+    some = docs.withColumn(own_e, entities).withColumn(own_p, F.when(F.size(own_e) > 0, F.split(text, ANY, -1)))
+    own_text = F.when(F.size(own_e) == 0, F.col(f"`{text_col}`")).alias(text_col)
+    rows = staged(some.select(*[own_text if c == text_col else F.col(f"`{c}`") for c in docs.columns], own_e, own_p, F.monotonically_increasing_id().alias(own_row)), "pii-rows")
+    late = draws(rows.select(F.explode(own_e).alias("e")).select(F.inline(units(F.col("e"))["units"])), key) if check else None
     name = lambda u: F.concat_ws("|", u["kind"], u["canon"])
     if late is not None:  # the few units with a later draw reach their documents by a join
-        mark = [F.col(f"`{id_col}`").alias(own_id), F.xxhash64(text).alias(own_mark)]
-        own = docs.select(*mark, F.explode(F.array_distinct(F.flatten(F.transform(entities, lambda e: units(e)["units"])))).alias("u")).select(own_id, own_mark, "u.kind", "u.canon").distinct()
-        own = own.join(late, ["kind", "canon"]).groupBy(own_id, own_mark).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.struct("draw", "gender").alias("v")))).alias(own_late))
-        own = staged(own, "pii")
-        rows = rows.withColumn(own_m, F.xxhash64(text)).join(own, (F.col(f"`{id_col}`").eqNullSafe(F.col(own_id))) & (F.col(own_m) == F.col(own_mark)), "left").drop(own_id, own_mark, own_m)
+        own = rows.select(own_row, F.explode(F.array_distinct(F.flatten(F.transform(own_e, lambda e: units(e)["units"])))).alias("u")).select(own_row, "u.kind", "u.canon").distinct()
+        own = own.join(late, ["kind", "canon"]).groupBy(own_row).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.struct("draw", "gender").alias("v")))).alias(own_late))
+        rows = rows.join(staged(own, "pii"), own_row, "left")
         at = lambda u: F.try_element_at(own_late, name(u))
         pick = lambda u: (F.coalesce(at(u)["draw"], F.lit(0)), F.coalesce(at(u)["gender"], u["gender"]))
     else:
@@ -326,8 +335,7 @@ def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str =
         return let(units(e), of)
 
     rows = rows.withColumn(own_found, F.transform(own_e, swap))
-    pieces = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col(own_found), lambda p, f: F.concat(p, F.coalesce(f["surrogate"], F.lit("")))), "")
+    joined = F.array_join(F.zip_with(own_p, F.col(own_found), lambda p, f: F.concat(p, F.coalesce(f["surrogate"], F.lit("")))), "")
     new = F.when(F.size(own_e) > 0, joined).otherwise(F.col(f"`{text_col}`"))
     kept = [new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != found_col]
     return rows.select(*kept, *([F.col(own_found).alias(found_col)] if found_col else []))

@@ -112,3 +112,21 @@ def test_query_equals_the_operator(spark, tmp_path):
     show = lambda df: sorted(map(str, df.select("doc_id", "text", F.size("_found" if "_found" in df.columns else "entities").alias("n")).collect()))
     assert show(got) == show(want) and sorted(r.n_entities for r in got.collect()) == [0, 0, 2, 2, 2]
     assert not [n for n in got._jdf.queryExecution().toString().split() if "Python" in n or "Arrow" in n]
+
+
+FOUND = ["Mr. Mehmet Öztürk", "JOHN SMITH", "Dr. van der Berg", "Mrs. O'Brien", "jane.doe@müller.de", "030 1234567", "Anna de la Cruz", "Maria O’Neill", "Frau Jean-Luc Picard", "Peter-Paul Rubens", "Ms. García-López"]
+LEFT = ["Grace Period", "Victoria Station", "the 2024 Park", "Mark 12 34", "van der", "10 2030 40", "0.5 12345", "MARKET SHARE"]
+
+
+def test_names_of_all_forms(spark):
+    rows = [(i, f"We met {x}, as said.") for i, x in enumerate(FOUND + LEFT)] + [(100, "John Smith and JOHN SMITH and Mr. Smith; Dr. van der Berg, Anna van der Berg.")]
+    got = {r.doc_id: r for r in pii.replaced(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    for i, x in enumerate(FOUND):
+        assert x not in got[i].text and len(got[i]._found) == 1, (x, got[i].text)
+        assert got[i].text.startswith("We met ") and got[i].text.endswith(", as said.")
+    for i, x in enumerate(LEFT, len(FOUND)):
+        assert got[i].text == f"We met {x}, as said.", got[i].text
+    # one surrogate in every spelling; small words stay, capitals stay capitals
+    first, second, third, fourth, fifth = (f.surrogate for f in got[100]._found)
+    assert second == first.upper() and third == "Mr. " + first.split(" ")[1] and fourth.startswith("Dr. van der ") and fifth.split(" ")[1:] == fourth.split(" ")[1:]
+    assert got[2].text == f"We met {fourth}, as said." and got[1].text == f"We met {second}, as said."
