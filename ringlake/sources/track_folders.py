@@ -155,7 +155,8 @@ class Written(WriterCommitMessage):
 
 class Writer(DataSourceWriter):
     """Writes rows ``(slug, file, content)`` as files. Each task writes under a name of its own beside the tracks; the files come to
-    their places when all tasks have succeeded, and none does otherwise."""
+    their places when all tasks have succeeded, and none does otherwise. What a task writes after an abort stays in a folder that
+    readers skip."""
 
     def __init__(self, path: str, names: list[str]):
         if sorted(names) != ["content", "file", "slug"]:
