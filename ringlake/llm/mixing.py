@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -176,9 +177,9 @@ def mix(rows: DataFrame, members_col: str, size_col: str, key: list[str], weight
 def closer(taken: DataFrame, members_col: str, size_col: str, key: list[str], goal: dict, repeats: int, seed: int) -> DataFrame:
     """``taken`` with one copy more or less of a few rows, so that each source's taken tokens come as near to its goal as single documents bring them.
 
-    One pass gathers for each source a row of every size class (a fourth of a power of two) that may take a copy more, and one that may
-    lose its copy; the driver then takes whichever brings a source nearest to its goal, again and again as long as one
-    does. It holds up to some 500 rows a source, however many documents there are.
+    One pass gathers for each source a row of every size class (a sixteenth of a power of two) that may take a copy more, and one that may
+    lose its copy; the driver then takes whichever one, or two where one leaves over a thousandth, brings a source nearest to
+    its goal, again and again as long as that helps. It holds up to some 700 rows a source, however many documents there are.
     """
     spark = taken.sparkSession
     rows = staged(taken.withColumn("_u", F.monotonically_increasing_id()), "taken")
@@ -189,20 +190,30 @@ def closer(taken: DataFrame, members_col: str, size_col: str, key: list[str], go
     h = F.xxhash64(*key, F.lit(seed))
     one = rows.select("_u", F.col(size_col).alias("_s"), "_copies", h.alias("_h"), F.explode(members_col).alias("_x"))
     way = F.array_compact(F.array(F.when(F.size("_copies") < repeats, 1), F.when(F.exists("_copies", lambda c: c.eqNullSafe(F.col("_x"))), -1)))
-    ranks = F.floor(F.log2(F.col("_s").cast("double")) * 4).cast("int")
+    ranks = F.floor(F.log2(F.col("_s").cast("double")) * 16).cast("int")
     least = one.withColumn("_by", F.explode(way)).groupBy("_x", "_by", ranks.alias("_class")).agg(F.min(F.struct("_h", "_u", "_s")).alias("b")).select("_x", "_by", "b._u", "b._s").collect()
     may: dict = {}
     for x, by, u, size in sorted(least, key=lambda r: (r[0] is None, r[0] or "", r[3], r[1], r[2])):
         may.setdefault(x, []).append((by, u, int(size)))
     done, used = [], set()
     for x, g in gap.items():
-        while free := [(abs(g - by * size), size, by, u) for by, u, size in may.get(x, []) if u not in used]:
-            off, size, by, u = min(free)
+        while free := [m for m in may.get(x, []) if m[1] not in used]:
+            step = np.array([by * size for by, _, size in free], float)
+            one_off = np.abs(g - step)
+            took, off = [int(one_off.argmin())], float(one_off.min())
+            if off > max(1.0, goal[x] / 1000):
+                row = np.array([u for _, u, _ in free])
+                pair = np.abs(g - step[:, None] - step[None, :])
+                pair[row[:, None] == row[None, :]] = np.inf
+                if pair.min() < off:
+                    took, off = list(map(int, np.unravel_index(pair.argmin(), pair.shape))), float(pair.min())
             if off >= abs(g):
                 break
-            g -= by * size
-            used.add(u)
-            done.append((u, x, by))
+            for k in took:
+                by, u, size = free[k]
+                g -= by * size
+                used.add(u)
+                done.append((u, x, by))
     if not done:
         return rows.drop("_u")
     moves = F.broadcast(spark.createDataFrame(done, "_u long, _to string, _by int"))
