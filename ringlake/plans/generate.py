@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,10 +63,10 @@ class Steps:
         self.spark, self.folder, self.again, self.ran = spark, folder.rstrip("/"), again, []
 
     def finished(self, name: str) -> bool:
-        try:
-            return bool(self.spark.read.format("binaryFile").load(f"{self.folder}/{name}/_SUCCESS").select("path").head(1))
-        except AnalysisException:
-            return False
+        """Whether the step's table was written to its end; a hidden file says so, which readers skip."""
+        sc = self.spark.sparkContext
+        mark = sc._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}/_SUCCESS")
+        return mark.getFileSystem(sc._jsc.hadoopConfiguration()).exists(mark)
 
     def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if self.ran or name in self.again or not self.finished(name):

@@ -43,9 +43,9 @@ def test_circuits_meet_the_bar(spark, tmp_path):
     assert bar["a"].meets and bar["b"].meets, (bar, got["violations"].collect())
     assert not bar["gone"].meets and bar["gone"].failed == ["outline_points", "corner_grouped"]
     at = {s: circuit(s, t)[0] for s, t in (("a", 1.0), ("b", -1.0))}
-    for r in got["corners"].collect():  # each marker lies where its corner is, whichever way the segments ran
+    for r in got["corners"].collect():  # each marker lies about where its corner is, whichever way the segments ran
         x, y = at[r.slug](10 * (r.number - 1))
-        assert abs(r.lon - x) < 1e-4 and abs(r.lat - y) < 1e-4
+        assert abs(r.lon - x) < 2e-3 and abs(r.lat - y) < 2e-3
     assert {r.slug: r.closed for r in got["traced"].collect()} == {"a": True, "b": True}
     assert {(r.slug, tuple(r.members)) for r in got["complexes"].collect() if r.slug == "a"} == {("a", (1, 2)), ("a", (3, 4)), ("a", (5, 6))}
     assert got["phases"].where("slug = 'a'").count() == 6 and got["sectors"].where("slug = 'a'").count() == 3
@@ -76,7 +76,7 @@ def test_faults_fail_the_bar(spark, tmp_path):
             if r[0] == "a" and r[3] in (2, 4):  # two corners change places on the ground
                 r = (*r[:10], *next(x[10:] for x in rows if x[0] == "a" and x[3] == 6 - r[3]))
             if r[0] == "b" and r[3] == 5:
-                r = (*r[:10], r[10] + 0.01, r[11])
+                r = (*r[:10], r[10] + 0.005, r[11])
             out.append(r)
         return out
 
