@@ -71,7 +71,7 @@ def near_points(a: DataFrame, b: DataFrame, key: list[str], most: float = 0.0035
 
 
 def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, key: list[str], at: str, target_at: str, target_id: str) -> DataFrame:
-    """Each point's nearest target on the lap, the least target id among equals.
+    """Each point's nearest target on the lap, the least target id among equals (to nine digits, so that rounding decides nothing).
 
     Points and the targets of three laps are merged by their place, so each point looks only at its neighbours.
     """
@@ -82,7 +82,8 @@ def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, k
     last = lambda o: F.last("_t", ignorenulls=True).over(o.rowsBetween(W.unboundedPreceding, 0))
     by = W.partitionBy(*key)
     both = both.withColumn("_a", last(by.orderBy("_p", F.col("_t").isNull(), F.col("_t.id").desc()))).withColumn("_b", last(by.orderBy(F.col("_p").desc(), F.col("_t").isNull(), F.col("_t.id").desc())))
-    far = lambda c: F.struct(cyclic.distance(F.col("_row._at"), F.col(f"{c}.at")).alias("d"), F.col(f"{c}.id").alias("id"))
+    apart = lambda c: cyclic.distance(F.col("_row._at"), F.col(f"{c}.at"))
+    far = lambda c: F.struct(F.round(apart(c), 9).alias("near"), F.col(f"{c}.id").alias("id"), apart(c).alias("d"))
     near = both.where(F.col("_row").isNotNull() & F.col("_a").isNotNull()).withColumn("n", F.least(far("_a"), far("_b")))
     return near.select(*key, *[F.col(f"_row.{c}").alias(c) for c in point_id], F.col("n.id").alias(target_id), F.col("n.d").alias("lap_distance"))
 
