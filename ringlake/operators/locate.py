@@ -44,7 +44,8 @@ def near_points(a: DataFrame, b: DataFrame, key: list[str], most: float = 0.0035
     """Pairs within a lap distance (``marker``, ``marker2``) or within metres (``lon, lat``, ``lon2, lat2``).
 
     Rows meet only in neighbouring cells of the lap or of space, so a large key does not pair all its rows. Cells of space
-    are cubes about the globe, which have no seams: a chord is never longer than its arc.
+    are cubes about the globe, which have no seams: a chord is never longer than its arc. Cubes are four times as wide as the
+    reach, so most rows of ``b`` stand in few; they are merged, since the copies that a broadcast would hold are not in its estimate.
     """
     lap = cyclic.distance(F.col("marker"), F.col("marker2"))
     m = geo.haversine(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))
@@ -58,15 +59,15 @@ def near_points(a: DataFrame, b: DataFrame, key: list[str], most: float = 0.0035
         return F.floor(cyclic.frac(F.col(at)) * cells).cast("int")
 
     def cube(x: str, y: str) -> list[Column]:
-        lon, lat, unit = F.radians(x), F.radians(y), geo.RADIUS_M / (most_m * (1 + 1e-6))
-        return [F.floor(v * unit).cast("long") for v in (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))]
+        lon, lat, unit = F.radians(x), F.radians(y), geo.RADIUS_M / (4 * most_m * (1 + 1e-6))
+        return [v * unit for v in (F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat))]
 
     around = F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.pmod(slot("marker2") + d, F.lit(cells)))))
     by_lap = measured(a.withColumn("_c", slot("marker")).join(b.withColumn("_c", around), [*key, "_c"]).drop("_c")).where(close)
     p, q, names = a, b, ["_x", "_y", "_z"]
     for n, v, w in zip(names, cube("lon", "lat"), cube("lon2", "lat2"), strict=True):
-        p, q = p.withColumn(n, v), q.withColumn(n, F.explode(F.array(w - 1, w, w + 1)))
-    by_place = measured(p.join(q, [*key, *names]).drop(*names)).where(~close & (F.col("dist_m") < most_m))
+        p, q = p.withColumn(n, F.floor(v).cast("long")), q.withColumn(n, F.explode(F.array_distinct(F.array(F.floor(w - 0.25).cast("long"), F.floor(w + 0.25).cast("long")))))
+    by_place = measured(p.join(q.hint("merge"), [*key, *names]).drop(*names)).where(~close & (F.col("dist_m") < most_m))
     return by_lap.unionByName(by_place)
 
 
