@@ -22,7 +22,7 @@ SCHEMAS = {
     "vertices": "slug string, layout_id string, seq int, lon double, lat double",
 }
 #: Tracks that one task reads, at least where there are many, and parts of the table at most.
-TOGETHER, PARTS = 8, 4096
+TOGETHER, PARTS = 64, 4096
 
 
 def register(spark: SparkSession) -> None:
@@ -71,6 +71,15 @@ def text_of(store, path: str) -> str | None:
         return None
 
 
+def made_dir(store, path: str, made: set) -> None:
+    """Makes a file's folder, unless one that is ``made`` holds it: a folder's files come together."""
+    folder = path.rpartition("/")[0]
+    if not any(m == folder or m.startswith(f"{folder}/") for m in made):
+        made.clear()
+        made.add(folder)
+        store.create_dir(folder, recursive=True)
+
+
 class Reader(DataSourceReader):
     """Deals out the tracks; a filter on ``slug`` picks folders, so no other file is opened."""
 
@@ -165,13 +174,13 @@ class Writer(DataSourceWriter):
 
     def write(self, rows: Iterator) -> Written:
         store, base = store_of(self.path)
-        own, files = uuid.uuid4().hex, []
+        own, files, made = uuid.uuid4().hex, [], set()
         for r in rows:
             slug, file = r["slug"], r["file"]
             if not slug or not file or ".." in f"{slug}/{file}".split("/"):
                 raise ValueError(f"no place for {slug}/{file}")
             to = f"{base}/_writing-{self.job}/{own}/{slug}/{file}"
-            store.create_dir(to.rpartition("/")[0], recursive=True)
+            made_dir(store, to, made)
             with store.open_output_stream(to) as f:
                 f.write((r["content"] or "").encode("utf-8"))
             files.append(f"{own}/{slug}/{file}")
@@ -179,10 +188,11 @@ class Writer(DataSourceWriter):
 
     def commit(self, messages: list[Written | None]) -> None:
         store, base = store_of(self.path)
+        made: set = set()
         for m in messages:
             for f in m.files if m else []:
                 to = f"{base}/{f.partition('/')[2]}"
-                store.create_dir(to.rpartition("/")[0], recursive=True)
+                made_dir(store, to, made)
                 store.move(f"{base}/_writing-{self.job}/{f}", to)
         self._clear(store, base)
 

@@ -61,3 +61,12 @@ def test_written_files_come_back_and_failures_leave_nothing(spark, tmp_path):
         bad.repartition(5).write.format("track_folders").mode("append").save(path)
     assert sorted(x for x in os.listdir(path) if not x.startswith("_")) == sorted(f"s{i}" for i in range(40))  # a task that outlives the abort may leave a hidden folder
     assert read(spark, str(tmp_path / "nowhere"), "items").count() == 0
+
+
+def test_many_tracks_go_to_few_tasks(spark, tmp_path):
+    track_folders.register(spark)
+    for i in range(130):
+        os.makedirs(tmp_path / f"s{i}")
+        (tmp_path / f"s{i}" / "track.json").write_text('{"layouts": [{"id": "a"}]}')
+    assert len(track_folders.Reader(str(tmp_path), "layouts", "track.json").partitions()) == 3
+    assert read(spark, str(tmp_path), "layouts").count() == 130
