@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.functions import labels
-from ringlake.operators import slices
 from ringlake.session import written
 
 
@@ -88,10 +89,23 @@ def peaks(samples: DataFrame, key: list[str], value: str, lap: str, least: str,
     ``most`` of them; numbered along the lap. Equal values go by ``i``; ``s`` places samples."""
     m = samples.withColumn("_p", neighbour(value, key, -1)).withColumn("_q", neighbour(value, key, 1))
     top = m.where((F.col(value) >= F.col(least)) & (F.col(value) >= F.col("_p")) & (F.col(value) > F.col("_q"))).select(*key, "i", "s", F.col(value).alias("_v"), F.col(lap).alias("_lap"))
+    return _strongest(top, key, by, most).select(*key, "number", "i", "s")
+
+
+def _strongest(top: DataFrame, key: list[str], by: float, most: int | None) -> DataFrame:
+    """The maxima ``(key, i, s, _v, _lap, ...)`` that the greedy choice keeps, with their ``number``."""
     kept = apart(top, key, "s", "_lap", F.struct((-F.col("_v")).alias("v"), "i"), by)
     if most:  # the greedy choice's first ones are the strongest of all that it keeps
-        kept = kept.withColumn("_r", F.row_number().over(W.partitionBy(*key).orderBy(F.col("_v").desc(), "i"))).where(F.col("_r") <= most)
-    return kept.select(*key, F.row_number().over(W.partitionBy(*key).orderBy("s", "i")).alias("number"), "i", "s")
+        kept = kept.withColumn("_r", F.row_number().over(W.partitionBy(*key).orderBy(F.col("_v").desc(), "i"))).where(F.col("_r") <= most).drop("_r")
+    return kept.withColumn("number", F.row_number().over(W.partitionBy(*key).orderBy("s", "i")))
+
+
+def _grown(i: Column, n: Column, total_m: Column, reach: Column, a: Column, b: Column, pre_m: float, post_m: float) -> tuple[Column, Column]:
+    """``start, end`` of a range about sample ``i`` whose first samples below the threshold lie ``a`` places on and ``b`` back (null: none in reach)."""
+    right = F.pmod(i + F.least(F.coalesce(a - 1, reach), reach), n)
+    left = F.pmod(i - F.least(F.coalesce(b - 1, reach), reach), n)
+    step = total_m / n
+    return F.greatest(F.lit(0.0), (left * step - pre_m) / total_m), F.least(F.lit(1.0), (right * step + post_m) / total_m)
 
 
 def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str, floor: float = 0.00012, ratio: float = 0.32, most_m: float = 650.0, pre_m: float = 75.0, post_m: float = 55.0) -> DataFrame:
@@ -106,38 +120,68 @@ def grown_ranges(samples: DataFrame, tops: DataFrame, key: list[str], value: str
     t = t.withColumn("_by", F.explode(F.sequence(-near, near))).where("_by <> 0").withColumn("j", F.pmod(F.col("i") + F.col("_by"), F.col("n")).cast("int"))
     low = F.col("vj") < F.greatest(F.lit(floor), F.col("peak") * ratio)
     g = t.join(s.withColumn("j", F.col("j").cast("int")), [*key, "j"]).groupBy(*key, "number", "i", "n", "total_m", "_r").agg(F.min(F.when(low & (F.col("_by") > 0), F.col("_by"))).alias("_a"), F.min(F.when(low & (F.col("_by") < 0), -F.col("_by"))).alias("_b"))
-    right = F.pmod(F.col("i") + F.least(F.coalesce(F.col("_a") - 1, F.col("_r")), F.col("_r")), F.col("n"))
-    left = F.pmod(F.col("i") - F.least(F.coalesce(F.col("_b") - 1, F.col("_r")), F.col("_r")), F.col("n"))
-    return g.select(*key, "number", "i", F.greatest(F.lit(0.0), (left * step - pre_m) / F.col("total_m")).alias("start"), F.least(F.lit(1.0), (right * step + post_m) / F.col("total_m")).alias("end"))
+    start, end = _grown(*map(F.col, ["i", "n", "total_m", "_r", "_a", "_b"]), pre_m, post_m)
+    return g.select(*key, "number", "i", start.alias("start"), end.alias("end"))
 
 
 def corner_layers(vertices: DataFrame, ring=None, step_m: float = 4.0, smooth_m: float = 90.0, percentile: float = 0.82, least: float = 0.0, apart_m: float = 90.0, most: int | None = None) -> DataFrame:
-    """Apexes of a ring's curvature, with direction, severity and range: resample, curvature, two smoothings, peaks, ranges."""
+    """Apexes of a ring's curvature, with direction, severity and range: resample, curvature, two smoothings, peaks, ranges.
+
+    Vertices are dealt by ring once, and all up to the maxima with their ranges, a few for each ring, is done where a ring's samples are
+    made: no sample is shuffled or written. Rings without a key or a length have none."""
     from ringlake.operators.ring import R, resampled
 
     r = ring or R
     key = list(r.key)
-    s = written(resampled(vertices, r, step_m).withColumn("ds", F.col("total_m") / F.col("n")), "samples")
-    k = curvature(s, key, "ds")
-    k = _smooth_by(k, key, F.greatest(F.lit(1), F.round(F.lit(smooth_m) / F.col("ds")).cast("int")))
-    k = written(k.withColumn("abs_k", F.abs("kappa")), "curvature")
-    thr = slices.selected(k, key, "abs_k", percentile, "min_k").withColumn("min_k", F.greatest(F.lit(0.00018), F.col("min_k"))) if least <= 0 else k.select(*key).distinct().withColumn("min_k", F.lit(least))
-    k = k.join(thr, key)
-    top = peaks(k, key, "abs_k", "total_m", "min_k", apart_m, most)
-    top = top.join(k.select(*key, "i", "kappa", F.col("abs_k").alias("peak"), "lon", "lat", "total_m", "min_k"), [*key, "i"])
-    ranges = grown_ranges(k, top.select(*key, "number", "i", "peak"), key, "abs_k")
-    return top.join(ranges, [*key, "number", "i"]).select(*key, "number", (F.col("s") / F.col("total_m")).alias("marker"), F.when(F.col("kappa") > 0, "left").otherwise("right").alias("direction"), labels.scale_of_radius(F.col("peak")).alias("scale"), "lon", "lat", "start", "end", "peak", "min_k", "total_m")
-
-
-def _smooth_by(samples: DataFrame, key: list[str], window: Column) -> DataFrame:
-    """Two moving means, of the window and of half of it, whose width may differ from ring to ring: by differences of a running sum."""
-    out = samples.withColumn("_w1", odd(window)).withColumn("_w2", odd(F.greatest(F.lit(1), F.floor(window / 2).cast("int"))))
-    for w in ("_w1", "_w2"):
-        upto = out.withColumn("_c", F.sum("kappa").over(W.partitionBy(*key).orderBy("i").rowsBetween(W.unboundedPreceding, 0)))
-        g = upto.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "_c"))), lambda x: x["_c"]).alias("_v"), F.max(w).alias("_w"))
-        half, size = F.floor(F.col("_w") / 2).cast("int"), F.size("_v")
-        lap = F.element_at("_v", -1)
-        at = lambda j: F.floor(j / size) * lap + F.element_at("_v", (F.pmod(j, size) + 1).cast("int"))
-        mean = F.transform(F.sequence(F.lit(0), size - 1), lambda i: (at(i + half) - at(i - half - 1)) / F.col("_w"))
-        out = out.drop("kappa").join(g.select(*key, F.posexplode(mean).alias("i", "kappa")), [*key, "i"])
-    return out.drop("_w1", "_w2")
+    s = resampled(vertices.dropna(subset=key), r, step_m).where("total_m > 0").withColumn("ds", F.col("total_m") / F.col("n"))
+    g = curvature(s, key, "ds").groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("i", "kappa", "lon", "lat"))).alias("_s"), *[F.first(c).alias(c) for c in ("n", "ds", "total_m")])
+    wide = F.greatest(F.lit(1), F.round(F.lit(smooth_m) / F.col("ds")).cast("int"))
+    mean = F.arrow_udf(_smoothed_lines, "array<double>")
+    g = g.withColumn("_k", mean(F.col("_s.kappa"), odd(wide), odd(F.greatest(F.lit(1), F.floor(wide / 2).cast("int")))))
+    tops = g.select(*key, F.col("total_m").alias("_lap"), "total_m", F.inline(_tops(percentile, least)))
+    kept = _strongest(tops, key, apart_m, most)
+    return kept.select(*key, "number", (F.col("s") / F.col("total_m")).alias("marker"), F.when(F.col("kappa") > 0, "left").otherwise("right").alias("direction"), labels.scale_of_radius(F.col("_v")).alias("scale"), "lon", "lat", "start", "end", F.col("_v").alias("peak"), "min_k", "total_m")
+
+
+def _smoothed_lines(lines: pa.Array, first: pa.Array, second: pa.Array) -> pa.Array:
+    """Two moving means of each closed line, over odd windows that may differ from line to line: by differences of a running sum. Nulls add
+    nothing, and sums before a line's first value are null."""
+    values, ends = lines.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(lines.value_lengths().to_numpy()))
+    out = np.empty(len(values))
+    for a, b, *windows in zip(ends[:-1], ends[1:], first.to_numpy(), second.to_numpy(), strict=True):
+        v, i = values[a:b], np.arange(b - a)
+        for w in windows:
+            none = np.isnan(v)
+            upto = np.cumsum(np.where(none, 0.0, v))
+            upto[np.logical_and.accumulate(none)] = np.nan
+            high, low = i + w // 2, i - w // 2 - 1
+            v = ((high // len(v)) * upto[-1] + upto[high % len(v)] - ((low // len(v)) * upto[-1] + upto[low % len(v)])) / w
+        out[a:b] = v
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, from_pandas=True))
+
+
+def _tops(percentile: float, least: float, floor: float = 0.00012, ratio: float = 0.32, most_m: float = 650.0, pre_m: float = 75.0, post_m: float = 55.0) -> Column:
+    """Structs ``s, i, _v, kappa, lon, lat, start, end, min_k`` of the maxima of a line ``_k``: at or above the percentile of its absolute
+    values, and grown as ``grown_ranges`` does."""
+    n, total = F.col("n"), F.col("total_m")
+    of = lambda name, i: F.element_at(name, i + 1)
+    high = lambda i: F.abs(of("_k", F.pmod(i, n)))
+    if least <= 0:
+        ranked = F.sort_array(F.array_compact(F.transform("_k", F.abs)))
+        at = F.bround((F.size(ranked) - 1) * F.lit(percentile)).cast("int") + 1
+        min_k = F.greatest(F.lit(0.00018), F.coalesce(F.try_element_at(ranked, at), F.lit(0.0)))
+    else:
+        min_k = F.lit(least)
+    reach = F.ceil(F.lit(most_m) / (total / n)).cast("int")
+    near = F.sequence(F.lit(1), F.least(reach, n - 1))
+
+    def top(i: Column, bar: Column) -> Column:
+        low = F.greatest(F.lit(floor), high(i) * ratio)
+        a, b = (F.try_element_at(F.filter(near, lambda d: high(i + d if on else i - d) < low), F.lit(1)) for on in (True, False))
+        start, end = _grown(i, n, total, reach, a, b, pre_m, post_m)
+        return F.struct((i * total / n).alias("s"), i.alias("i"), high(i).alias("_v"), of("_k", i).alias("kappa"), of("_s.lon", i).alias("lon"), of("_s.lat", i).alias("lat"), start.alias("start"), end.alias("end"), bar.alias("min_k"))
+
+    def found(bar: Column) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: (high(i) >= bar) & (high(i) >= high(i - 1)) & (high(i) > high(i + 1))), lambda i: top(i, bar))
+
+    return F.transform(F.array(min_k), found)[0]  # the threshold is found once a line, not for each sample
