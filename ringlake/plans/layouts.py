@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ringlake.functions import labels
-from ringlake.operators import locate, ring
+from ringlake.operators import ring
 
 
 def layer_items(layouts: Column, of: str, layer_id: str) -> Column:
@@ -114,13 +115,25 @@ def range_points(vertices: DataFrame, points: DataFrame, r: ring.Ring = ring.R)
 
 def wide_corners(corners: DataFrame, key: list[str], layers: list[str], groups: DataFrame, sectors: DataFrame, ranges: DataFrame, default: str = "driver") -> DataFrame:
     """One row a corner ``(key, id, number, code, labels, direction, scale, marker)``: shown name, a column for each label layer but the numbered one,
-    its group of several ``(key, label, members)``, its sector, an arrow, the severity in words, apex and range as percent texts."""
-    member = groups.where(F.size("members") > 1).select(*key, F.col("label").alias("_g"), F.explode("members").alias("id")).groupBy(*key, "id").agg(F.min("_g").alias("complex"))
-    at = corners.where("marker is not null").select(*key, "id", "marker")
-    s = locate.first_range_at(at, sectors.select(*key, "start", "end", F.col("label").alias("sector"), F.col("start").alias("_order")), key, "marker", "_order", "sector").select(*key, "id", "sector")
-    span = locate.by_anchor(ranges.select(*key, F.col("id").alias("_range"), F.coalesce("anchor", F.lit("")).alias("anchor"), "start", "end"), corners.select(*key, "id"), key, "anchor", "_range", "id").where("point is not null")
-    span = span.select(*key, F.col("point.id").alias("id"), F.concat_ws(" → ", labels.percent(F.col("start")), labels.percent(F.col("end"))).alias("range"))
-    j = corners.join(member, [*key, "id"], "left").join(s, [*key, "id"], "left").join(span, [*key, "id"], "left")
+    its group of several ``(key, label, members)``, its sector, an arrow, the severity in words, apex and range as percent texts.
+
+    All that a key has meets in windows over it, so sides that are dealt by key already are not shuffled again, and nothing is joined. Of
+    sectors that overlap the one that starts first counts. Null keys and ids meet nothing."""
+    own = F.struct("id", "number", "code", "labels", "direction", "scale", "marker").alias("_row")
+    o = W.partitionBy(*key).orderBy("_pos", "_end")
+    seen = F.greatest("_pos", F.max("_end").over(o.rowsBetween(W.unboundedPreceding, -1)))  # where no earlier sector hides it
+    s = sectors.where("start < end").dropna(subset=key).select(*key, F.col("start").cast("double").alias("_pos"), F.col("end").cast("double").alias("_end"), "label")
+    s = s.withColumn("_pos", seen).where("_pos < _end").select(*key, "_pos", F.struct("_end", "label").alias("_s"))
+    upto = W.partitionBy(*key).orderBy("_pos", F.col("_row").isNotNull()).rowsBetween(W.unboundedPreceding, 0)
+    c = corners.select(*key, F.col("marker").cast("double").alias("_pos"), F.col("id").alias("_at"), own).unionByName(s, allowMissingColumns=True)
+    c = c.withColumn("_s", F.last("_s", ignorenulls=True).over(upto)).where("_row is not null").select(*key, "_at", "_row", F.when(F.col("_pos") < F.col("_s._end"), F.col("_s.label")).alias("sector"))
+    span = ranges.dropna(subset=key).select(*key, F.coalesce("anchor", F.lit("")).alias("_at"), F.col("id").alias("_own"), F.concat_ws(" → ", labels.percent(F.col("start")), labels.percent(F.col("end"))).alias("range"))
+    at = W.partitionBy(*key, "_at")
+    j = c.unionByName(span, allowMissingColumns=True).withColumn("_known", F.bool_or(F.col("_row").isNotNull()).over(at))
+    j = j.withColumn("_at", F.when(F.col("_known"), F.col("_at")).otherwise(F.col("_own"))).drop("_own", "_known").where("_row is not null or _at is not null")
+    member = groups.where(F.size("members") > 1).dropna(subset=key).select(*key, F.col("label").alias("complex"), F.explode("members").alias("_at")).where("_at is not null")
+    j = j.unionByName(member, allowMissingColumns=True).withColumn("complex", F.min("complex").over(at)).withColumn("_ranges", F.collect_list("range").over(at)).where("_row is not null")
+    j = j.select(*key, "_row.*", "complex", "sector", F.explode_outer("_ranges").alias("range"))
     words = F.trim(F.concat_ws(" ", F.col("scale").cast("string"), labels.scale_word(F.col("scale"))))
     return j.select(*key, "number", F.coalesce("code", F.col("number").cast("string")).alias("code"), labels.resolved(F.col("labels"), default).alias("shown"), *[F.coalesce(F.try_element_at("labels", F.lit(x)), F.lit("")).alias(x) for x in layers if x != "numbered"],
                     F.coalesce("complex", F.lit("")).alias("complex"), F.coalesce("sector", F.lit("")).alias("sector"), F.when(F.col("direction") == "left", "←").when(F.col("direction") == "right", "→").otherwise("").alias("dir"), words.alias("severity"),
