@@ -72,7 +72,8 @@ def near_points(a: DataFrame, b: DataFrame, key: list[str], most: float = 0.0035
 
 
 def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, key: list[str], at: str, target_at: str, target_id: str) -> DataFrame:
-    """Each point's nearest target on the lap, the least target id among equals (to nine digits, so that rounding decides nothing).
+    """Each point's nearest target on the lap, the least target id among equals (to nine digits, so that rounding decides nothing), with its
+    ``lap_distance``, and the ``least_distance`` of all targets, which may be another's among equals.
 
     Points and the targets of three laps are merged by their place, so each point looks only at its neighbours.
     """
@@ -86,7 +87,7 @@ def nearest_cyclic(points: DataFrame, point_id: list[str], targets: DataFrame, k
     apart = lambda c: cyclic.distance(F.col("_row._at"), F.col(f"{c}.at"))
     far = lambda c: F.struct(F.round(apart(c), 9).alias("near"), F.col(f"{c}.id").alias("id"), apart(c).alias("d"))
     near = both.where(F.col("_row").isNotNull() & F.col("_a").isNotNull()).withColumn("n", F.least(far("_a"), far("_b")))
-    return near.select(*key, *[F.col(f"_row.{c}").alias(c) for c in point_id], F.col("n.id").alias(target_id), F.col("n.d").alias("lap_distance"))
+    return near.select(*key, *[F.col(f"_row.{c}").alias(c) for c in point_id], F.col("n.id").alias(target_id), F.col("n.d").alias("lap_distance"), F.least(apart("_a"), apart("_b")).alias("least_distance"))
 
 
 def close_pairs(rows: DataFrame, key: list[str], number: str, at: str, most: float = 0.003) -> DataFrame:
